@@ -44,7 +44,7 @@ def plain(df: DataFrame, averages: Sequence[str] = ()) -> DataFrame:
         if isinstance(f.dataType, DecimalType):
             value = value.cast("double")
         if f.name in averages:
-            value = F.round(value, AVERAGE_DIGITS)
+            value = fn.round_to(value, AVERAGE_DIGITS)
         out.append(value.alias(f.name))
     return df.select(*out)
 

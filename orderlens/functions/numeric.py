@@ -41,9 +41,10 @@ def money_avg(total: Column, count: Column) -> Column:
 
 
 def round_to(value: Column, digits: int) -> Column:
-    """Round half away from zero. Going through a decimal first makes a value that
-    misses a tie only by floating error round like the exact quotient."""
-    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+    """Round a double half away from zero: scaled, rounded to a whole number, scaled
+    back, so that each step is the plain floating-point operation."""
+    scale = F.lit(float(10**digits))
+    return F.round(value.cast("double") * scale, 0) / scale
 
 
 def cents_to_dollars(cents: Column, precision: int = 2) -> Column:

@@ -149,10 +149,10 @@ def top_products_by_revenue(products: DataFrame, limit: int = 20) -> DataFrame:
     by_revenue = [F.desc("net_revenue"), F.asc("product_id")]
     return best.withColumns(
         {
-            "revenue_rank": F.row_number().over(W.orderBy(*by_revenue)),
-            "category_revenue_rank": F.row_number().over(
-                W.partitionBy("category").orderBy(*by_revenue)
-            ),
+            "revenue_rank": F.row_number().over(W.orderBy(*by_revenue)).cast("bigint"),
+            "category_revenue_rank": F.row_number()
+            .over(W.partitionBy("category").orderBy(*by_revenue))
+            .cast("bigint"),
         }
     ).orderBy("revenue_rank")
 
