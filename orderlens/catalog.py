@@ -17,7 +17,7 @@ from orderlens.operators.calendar import spine_of
 from orderlens.operators.history import join_as_of, scd2_apply, scd2_as_of
 from orderlens.operators.incremental import changed_rows, incremental_merge, sync_columns, upsert
 from orderlens.operators.ranking import ntile, row_number
-from orderlens.operators.rollup import distinct, nested_rollup, total
+from orderlens.operators.rollup import distinct, nested_rollup
 from orderlens.operators.windows import first_of, moving_average, previous, running_total
 from orderlens.params import REASON_CATEGORIES
 from orderlens.plans import analyses, core, enrich, finance, marketing, samples, staging
@@ -176,16 +176,17 @@ def _(s: Shop):
 
 @query("conditional_distinct")
 def _(s: Shop):
-    done = c("is_completed")
     return nested_rollup(
         staging.stg_orders(s.orders, P),
         by=["user_id"],
         nest=["order_id"],
         measures={
             "total_orders": distinct("order_id"),
-            "completed_orders": distinct("order_id", done),
-            "cancelled_orders": distinct("order_id", c("is_cancelled")),
-            "high_value_orders": distinct("order_id", done & c("is_high_value_order")),
+            "completed_orders": distinct("order_id", "is_completed"),
+            "cancelled_orders": distinct("order_id", "is_cancelled"),
+            "high_value_orders": distinct(
+                "order_id", "is_completed AND is_high_value_order"
+            ),
         },
     )
 
@@ -461,16 +462,15 @@ FACT_COLUMNS = (
 
 def facts_before_cut(s: Shop) -> DataFrame:
     """Order facts as they were on the cut date: later orders and returns unknown."""
-    known = replace(
-        s,
+    known = s.replace(
         orders=s.orders.filter(c("order_date") < F.lit(CUT)),
         returns=s.returns.filter(c("return_date") < F.lit(CUT)),
     )
-    return core.fct_orders(known, P).select(*FACT_COLUMNS)
+    return core.fct_order_figures(known, P).select(*FACT_COLUMNS)
 
 
 def facts_now(s: Shop) -> DataFrame:
-    return core.fct_orders(s, P).select(*FACT_COLUMNS)
+    return core.fct_order_figures(s, P).select(*FACT_COLUMNS)
 
 
 @query("incremental_merge")
@@ -629,7 +629,9 @@ def _(read, folder):
 @query("executive_summary")
 def _(s: Shop):
     return analyses.executive_summary(
-        core.fct_orders(s, P), core.dim_customers(s, P), core.mart_product_performance(s, P)
+        core.fct_order_figures(s, P),
+        core.dim_customers(s, P),
+        core.mart_product_performance(s, P),
     )
 
 
@@ -639,7 +641,7 @@ query("customer_segmentation_summary")(
 query("top_products_by_revenue")(
     lambda s: analyses.top_products_by_revenue(core.mart_product_performance(s, P))
 )
-query("weekly_revenue_trend")(lambda s: analyses.weekly_revenue_trend(core.fct_orders(s, P)))
+query("weekly_revenue_trend")(lambda s: analyses.weekly_revenue_trend(core.fct_order_figures(s, P)))
 query("cohort_retention_matrix")(lambda s: analyses.cohort_retention_matrix(s, P))
 query("clv_premium_top10")(
     lambda s: samples.customers_by_value(core.dim_customers(s, P), "BUILDING")
@@ -648,7 +650,7 @@ query("high_return_products")(
     lambda s: samples.high_return_products(core.mart_product_performance(s, P), 0.02)
 )
 query("returned_orders_recent")(lambda s: samples.latest_returned_orders(core.fct_orders(s, P)))
-query("monthly_trends")(lambda s: samples.monthly_trends(core.fct_orders(s, P)))
+query("monthly_trends")(lambda s: samples.monthly_trends(core.fct_order_figures(s, P)))
 query("items_revenue_returns")(lambda s: samples.items_revenue_returns(core.fct_order_items(s, P)))
 query("daily_recent")(lambda s: samples.daily_recent(finance.fct_daily_revenue(s, P)))
 
@@ -727,7 +729,7 @@ def _(s: Shop):
 
 @query("dq_between")
 def _(s: Shop):
-    orders = core.fct_orders(s, P)
+    orders = core.fct_order_figures(s, P)
     return dq.failing(orders, dq.not_between("subtotal", 0, 5_000_000)).select(
         "order_id", "subtotal"
     )

@@ -14,38 +14,40 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class Measure:
+    """What to compute of a group; ``value`` is an SQL expression over the input row."""
+
     kind: str
-    value: Column
+    value: str
     level: str | None = None
 
 
-def total(value: str | Column) -> Measure:
-    return Measure("sum", _column(value))
+def total(value: str) -> Measure:
+    return Measure("sum", value)
 
 
-def smallest(value: str | Column) -> Measure:
-    return Measure("min", _column(value))
+def smallest(value: str) -> Measure:
+    return Measure("min", value)
 
 
-def largest(value: str | Column) -> Measure:
-    return Measure("max", _column(value))
+def largest(value: str) -> Measure:
+    return Measure("max", value)
 
 
-def rows(when: Column | None = None) -> Measure:
+def rows(when: str | None = None) -> Measure:
     """Number of rows, or of rows for which ``when`` holds."""
-    return Measure("sum", F.lit(1) if when is None else F.when(when, 1).otherwise(0))
+    return Measure("sum", "1" if when is None else f"if({when}, 1, 0)")
 
 
-def distinct(level: str, when: Column | None = None) -> Measure:
+def distinct(level: str, when: str | None = None) -> Measure:
     """Number of distinct non-NULL ids of a nested level, among rows with ``when``."""
-    seen = F.col(level).isNotNull()
-    return Measure("distinct", seen if when is None else seen & F.coalesce(when, F.lit(False)), level)
+    seen = f"{level} IS NOT NULL"
+    return Measure("distinct", seen if when is None else f"{seen} AND ifnull({when}, false)", level)
 
 
 def nested_rollup(
@@ -61,29 +63,22 @@ def nested_rollup(
         if m.kind == "distinct" and m.level not in nest:
             raise ValueError(f"{name}: {m.level!r} is not one of the levels {list(nest)}")
 
-    first = []
-    for name, m in measures.items():
-        step = {"sum": F.sum, "min": F.min, "max": F.max, "distinct": F.max}[m.kind]
-        first.append(step(m.value).alias(name))
-    out = df.groupBy(*by, *nest).agg(*first)
-
-    counted: set[str] = set()
-    for depth in range(len(nest) - 1, -1, -1):
-        level = nest[depth]
-        steps = []
+    def group(df: DataFrame, keys: Sequence[str], steps: Mapping[str, str]) -> DataFrame:
+        return df.groupBy(*keys).agg(*[F.expr(f"{step} AS {n}") for n, step in steps.items()])
+
+    # Whether an id counts is a flag, largest at true, until its level is reached.
+    start = {n: f"{'max' if m.kind == 'distinct' else m.kind}({m.value})" for n, m in measures.items()}
+    out = group(df, [*by, *nest], start)
+    for depth in reversed(range(len(nest))):
+        steps = {}
         for name, m in measures.items():
-            column = F.col(name)
             if m.kind != "distinct":
-                step = {"sum": F.sum, "min": F.min, "max": F.max}[m.kind](column)
-            elif m.level == level:
-                step = F.count_if(column)
-            elif m.level in counted:
-                step = F.sum(column)
+                steps[name] = f"{m.kind}({name})"
+            elif m.level == nest[depth]:
+                steps[name] = f"count_if({name})"
             else:
-                step = F.max(column)
-            steps.append(step.alias(name))
-        counted.add(level)
-        out = out.groupBy(*by, *nest[:depth]).agg(*steps)
+                steps[name] = f"{'sum' if m.level in nest[depth:] else 'max'}({name})"
+        out = group(out, [*by, *nest[:depth]], steps)
     return out
 
 
@@ -95,7 +90,3 @@ def one_row(spark, *parts: DataFrame) -> DataFrame:
         out = out.withColumn(f"_part{i}", part.select(F.struct(*part.columns)).scalar())
         names += [F.col(f"_part{i}.{c}").alias(c) for c in part.columns]
     return out.select(*names)
-
-
-def _column(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value

@@ -54,7 +54,7 @@ def executive_summary(orders: DataFrame, customers: DataFrame, products: DataFra
             "net_revenue": total("net_revenue"),
             "gross_profit": total("gross_profit"),
             "order_rows": rows(),
-            "orders_with_returns": rows(c("is_returned")),
+            "orders_with_returns": rows("is_returned"),
             "period_start": smallest("order_date"),
             "period_end": largest("order_date"),
         },
@@ -169,7 +169,7 @@ def weekly_revenue_trend(orders: DataFrame) -> DataFrame:
             "customers": distinct("user_id"),
             "gross_revenue": total("subtotal"),
             "net_revenue": total("net_revenue"),
-            "_rows": rows(),
+            "n_rows": rows(),
         },
     )
     before = previous(c("net_revenue"), "week_start"), previous(c("orders"), "week_start")
@@ -179,7 +179,7 @@ def weekly_revenue_trend(orders: DataFrame) -> DataFrame:
         "customers",
         F.round("gross_revenue", 2).alias("gross_revenue"),
         F.round("net_revenue", 2).alias("net_revenue"),
-        round_to(money_avg(c("gross_revenue"), c("_rows")), 2).alias("avg_order_value"),
+        round_to(money_avg(c("gross_revenue"), c("n_rows")), 2).alias("avg_order_value"),
         round_to(pct_change(c("net_revenue"), before[0]), 2).alias("revenue_wow_growth_pct"),
         round_to(pct_change(c("orders"), before[1]), 2).alias("orders_wow_growth_pct"),
         F.round(running_total(c("net_revenue"), "week_start"), 2).alias("cumulative_revenue"),

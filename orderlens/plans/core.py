@@ -2,42 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import (
     activity_status,
     customer_tier,
-    date_diff,
     date_trunc,
     day_of_week,
     performance_tier,
     period_end,
-    ratio,
     year_quarter,
-    zero_if_null,
 )
 from orderlens.params import Params
 from orderlens.plans.enrich import (
-    unstamped,
     completed_items,
     int_customer_orders,
     int_product_performance,
-    orders_with_lines,
+    order_figures,
+    orders_with_customers,
+    unstamped,
 )
 from orderlens.plans.staging import stamp, stg_products, stg_users
 from orderlens.sources.tables import Shop
 
 
+def or_zero(source: str, name: str | None = None) -> Column:
+    return F.expr(f"ifnull({source}, 0) AS {name or source}")
+
+
 def dim_customers(shop: Shop, p: Params) -> DataFrame:
     """One row per customer, also for customers without orders."""
     users = stg_users(shop.users, unstamped(p))
     history = int_customer_orders(shop, p).withColumnRenamed("total_orders", "lifetime_orders")
-    c, as_of = F.col, F.lit(p.as_of)
-
-    def or_zero(source: str, name: str | None = None):
-        return zero_if_null(c(source)).alias(name or source)
-
+    c = F.col
     out = users.join(history, "user_id", "left").select(
         c("user_id").alias("customer_id"),
         "email",
@@ -50,7 +48,7 @@ def dim_customers(shop: Shop, p: Params) -> DataFrame:
         or_zero("avg_order_value"),
         "first_order_date",
         "last_order_date",
-        date_diff(c("last_order_date"), as_of, "day").alias("days_since_last_order"),
+        F.expr(f"datediff(DATE '{p.as_of}', last_order_date) AS days_since_last_order"),
         or_zero("lifetime_orders"),
         or_zero("cancelled_orders"),
         or_zero("high_value_orders"),
@@ -62,8 +60,8 @@ def dim_customers(shop: Shop, p: Params) -> DataFrame:
         or_zero("orders_with_returns"),
         customer_tier(c("total_revenue"), c("completed_orders"), p).alias("customer_tier"),
         activity_status(c("first_order_date"), c("last_order_date"), p).alias("activity_status"),
-        date_diff(c("signup_date"), as_of, "day").alias("days_as_customer"),
-        F.coalesce(c("completed_orders") > 1, F.lit(False)).alias("is_repeat_customer"),
+        F.expr(f"datediff(DATE '{p.as_of}', signup_date) AS days_as_customer"),
+        F.expr("ifnull(completed_orders > 1, false) AS is_repeat_customer"),
     )
     return stamp(out, "_updated_at", p)
 
@@ -106,39 +104,49 @@ def dim_date(spine: DataFrame, p: Params, date_col: str = "date_day") -> DataFra
     )
 
 
+FACT_FIGURES = (
+    "order_id",
+    "user_id",
+    "order_date",
+    "order_status",
+    "is_completed",
+    "is_cancelled",
+    "item_count AS total_items",
+    "total_units AS total_quantity",
+    "total_amount AS subtotal",
+    "has_returns AS is_returned",
+    "datediff(first_return_date, order_date) AS days_to_return",
+    "total_refund_amount AS refund_amount",
+    "net_revenue",
+    "total_gross_profit AS gross_profit",
+    "avg_gross_margin_pct",
+    "is_high_value_order",
+    "item_count > 1 AS is_multi_item_order",
+    "order_month",
+    "order_week",
+    "day_of_week",
+)
+
+
 def fct_orders(shop: Shop, p: Params) -> DataFrame:
     """One row per order of any status, with its items, returns and customer."""
-    c = F.col
-    out = orders_with_lines(shop, p).select(
-        "order_id",
-        "user_id",
-        "order_date",
-        c("email").alias("customer_email"),
+    out = orders_with_customers(shop, p).selectExpr(
+        *FACT_FIGURES[:3],
+        "email AS customer_email",
         "customer_segment",
         "country",
         "region",
-        "order_status",
-        "is_completed",
-        "is_cancelled",
-        c("item_count").alias("total_items"),
-        c("total_units").alias("total_quantity"),
-        c("total_amount").alias("subtotal"),
-        c("has_returns").alias("is_returned"),
-        date_diff(c("order_date"), c("first_return_date"), "day").alias("days_to_return"),
-        c("total_refund_amount").alias("refund_amount"),
-        "net_revenue",
-        c("total_gross_profit").alias("gross_profit"),
-        "avg_gross_margin_pct",
-        "is_high_value_order",
-        (c("item_count") > 1).alias("is_multi_item_order"),
-        "order_month",
-        "order_week",
-        "day_of_week",
-        "days_since_signup",
+        *FACT_FIGURES[3:],
+        "datediff(order_date, signup_date) AS days_since_signup",
     )
     return stamp(out, "_updated_at", p)
 
 
+def fct_order_figures(shop: Shop, p: Params) -> DataFrame:
+    """The order facts that do not need the customer: no join on the customer."""
+    return order_figures(shop, p).selectExpr(*FACT_FIGURES)
+
+
 def fct_order_items(shop: Shop, p: Params) -> DataFrame:
     """One row per item of a completed order."""
     out = completed_items(shop, p).select(
@@ -176,14 +184,11 @@ def mart_product_performance(shop: Shop, p: Params) -> DataFrame:
     """One row per product, also for products without sales."""
     products = stg_products(shop.products, unstamped(p))
     sales = int_product_performance(shop, p).drop("return_rate", "avg_gross_margin_pct")
-    c = F.col
 
-    def or_zero(source: str, name: str | None = None):
-        return zero_if_null(c(source)).alias(name or source)
-
-    def rate_if_positive(top: str, bottom: str):
-        return F.when(c(bottom) > 0, ratio(c(top), c(bottom))).otherwise(0.0)
+    def rate_if_positive(top: str, bottom: str, name: str) -> Column:
+        return F.expr(f"ifnull(if({bottom} > 0, {top} / double({bottom}), 0d), 0d) AS {name}")
 
+    c = F.col
     out = products.join(sales, "product_id", "left").select(
         "product_id",
         "product_name",
@@ -196,9 +201,9 @@ def mart_product_performance(shop: Shop, p: Params) -> DataFrame:
         or_zero("order_count", "total_orders"),
         or_zero("unique_customers"),
         or_zero("return_count", "total_returns"),
-        rate_if_positive("return_count", "total_units_sold").alias("return_rate"),
+        rate_if_positive("return_count", "total_units_sold", "return_rate"),
         or_zero("total_gross_profit", "gross_profit"),
-        rate_if_positive("total_gross_profit", "total_revenue").alias("profit_margin"),
+        rate_if_positive("total_gross_profit", "total_revenue", "profit_margin"),
         or_zero("avg_selling_price"),
         or_zero("min_selling_price"),
         or_zero("max_selling_price"),

@@ -3,6 +3,11 @@
 The item lines are read once: all order, customer and order-fact figures come from
 one rollup of the lines to orders, done before any order column is joined, so that
 only partial sums are shuffled by order.
+
+An item with several returns makes one line per return, so it counts that many times
+in every sum. The rollups get the same figures without making those lines: returns
+are added up per item first, and an item's units are multiplied by its ``copies``.
+Item ids are unique, as the declared checks demand.
 """
 
 from __future__ import annotations
@@ -12,13 +17,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions import (
-    date_diff,
-    money_avg,
-    ratio,
-    surrogate_key,
-    zero_if_null,
-)
+from orderlens.functions import surrogate_key
 from orderlens.operators.rollup import (
     distinct,
     largest,
@@ -27,10 +26,9 @@ from orderlens.operators.rollup import (
     smallest,
     total,
 )
-from orderlens.params import Params
+from orderlens.params import QUALITY_REASONS, Params
 from orderlens.plans.staging import (
     stamp,
-    stg_order_items,
     stg_orders,
     stg_products,
     stg_returns,
@@ -38,105 +36,115 @@ from orderlens.plans.staging import (
 )
 from orderlens.sources.tables import Shop
 
-ORDER_CONTEXT = ("order_id", "user_id", "order_date", "order_status", "is_completed", "is_cancelled")
+MARGIN = "if(gross_amount > 0, gross_profit / double(gross_amount), 0d)"
 
 
 def unstamped(p: Params) -> Params:
     return replace(p, run_ts=None)
 
 
-def item_lines(shop: Shop, p: Params) -> DataFrame:
-    """Items with their product and returns, one row per item and return.
-
-    Items of unknown products are kept and marked by a NULL ``known_product``. The
-    join on the item comes last: its partitioning then serves the rollup to orders.
-    """
-    p = unstamped(p)
-    items = stg_order_items(shop.order_items, p)
-    products = stg_products(shop.products, p).withColumn("known_product", F.lit(True))
-    returns = stg_returns(shop.returns, p).drop("return_month")
-    gross, cost = F.col("line_total"), F.col("unit_cost") * F.col("quantity")
-    refund = zero_if_null(F.col("refund_amount"))
-    return (
-        items.join(products, "product_id", "left")
+def int_order_items_enriched(shop: Shop, p: Params) -> DataFrame:
+    """Items of known orders and products with economics, one row per return or one for
+    an item without returns."""
+    orders = stg_orders(shop.orders, unstamped(p)).select(
+        "order_id", "user_id", "order_date", "order_status", "is_completed", "is_cancelled"
+    )
+    products = stg_products(shop.products, unstamped(p))
+    returns = stg_returns(shop.returns, unstamped(p)).drop("return_month")
+    returns = returns.withColumnRenamed("refund_amount", "refund")
+    out = (
+        shop.order_items.join(products, "product_id")
         .join(returns, "order_item_id", "left")
-        .withColumns(
-            {
-                "gross_amount": gross,
-                "total_cost": cost,
-                "gross_profit": gross - cost,
-                "gross_margin_pct": F.when(gross > 0, ratio(gross - cost, gross)).otherwise(0.0),
-                "is_returned": F.col("return_id").isNotNull(),
-                "refund_amount": refund,
-                "net_revenue": gross - refund,
-            }
+        .join(orders, "order_id")
+        .selectExpr(
+            "order_item_id",
+            "order_id",
+            "product_id",
+            "user_id",
+            "order_date",
+            "order_status",
+            "is_completed",
+            "is_cancelled",
+            "product_name",
+            "category",
+            "category_group",
+            "supplier_id",
+            "unit_cost",
+            "quantity",
+            "price AS unit_price",
+            "quantity * price AS gross_amount",
+            "unit_cost * quantity AS total_cost",
+            "gross_amount - total_cost AS gross_profit",
+            f"{MARGIN} AS gross_margin_pct",
+            "return_id IS NOT NULL AS is_returned",
+            "return_id",
+            "return_date",
+            "return_reason",
+            "return_reason_category",
+            "is_quality_issue",
+            "ifnull(refund, 0) AS refund_amount",
+            "gross_amount - ifnull(refund, 0) AS net_revenue",
         )
     )
+    return stamp(out, "_loaded_at", p)
 
 
-def int_order_items_enriched(shop: Shop, p: Params) -> DataFrame:
-    """Items of known orders and products with economics and returns."""
-    lines = item_lines(shop, p).filter(F.col("known_product").isNotNull())
-    orders = stg_orders(shop.orders, unstamped(p)).select(*ORDER_CONTEXT)
-    out = lines.join(orders, "order_id").select(
-        "order_item_id",
-        "order_id",
-        "product_id",
-        "user_id",
-        "order_date",
-        "order_status",
-        "is_completed",
-        "is_cancelled",
-        "product_name",
-        "category",
-        "category_group",
-        "supplier_id",
-        "unit_cost",
-        "quantity",
-        "unit_price",
-        "gross_amount",
-        "total_cost",
-        "gross_profit",
-        "gross_margin_pct",
-        "is_returned",
-        "return_id",
-        "return_date",
-        "return_reason",
-        "return_reason_category",
-        "is_quality_issue",
-        "refund_amount",
-        "net_revenue",
+def returns_per_item(shop: Shop) -> DataFrame:
+    quality = ", ".join(f"'{r}'" for r in QUALITY_REASONS)
+    measures = [
+        "count(*) AS copies",
+        "count(return_id) AS returns",
+        f"count_if(return_id IS NOT NULL AND return_reason IN ({quality})) AS quality_returns",
+        "sum(refund_amount) AS refund",
+        "min(if(return_id IS NOT NULL, return_date, NULL)) AS first_return_date",
+    ]
+    return shop.returns.groupBy("order_item_id").agg(*[F.expr(m) for m in measures])
+
+
+def item_lines(shop: Shop) -> DataFrame:
+    """One row per item with its product's cost and the sum of its returns. Items of
+    unknown products are kept and have ``known`` false."""
+    products = shop.products.selectExpr("product_id", "cost AS unit_cost", "true AS known")
+    return (
+        shop.order_items.join(products, "product_id", "left")
+        .join(returns_per_item(shop), "order_item_id", "left")
+        .selectExpr(
+            "order_item_id",
+            "order_id",
+            "product_id",
+            "ifnull(known, false) AS known",
+            "price AS unit_price",
+            "ifnull(copies, 1) AS copies",
+            "quantity * ifnull(copies, 1) AS units",
+            "units * price AS gross_amount",
+            "units * unit_cost AS total_cost",
+            "gross_amount - total_cost AS gross_profit",
+            "ifnull(returns, 0) AS returns",
+            "ifnull(quality_returns, 0) AS quality_returns",
+            "ifnull(refund, 0) AS refund_amount",
+            "gross_amount - ifnull(refund, 0) AS net_revenue",
+            "first_return_date",
+        )
     )
-    return stamp(out, "_loaded_at", p)
 
 
 def order_rollup(shop: Shop, p: Params) -> DataFrame:
     """Item lines per order. Amounts cover known products; ``first_return_date``
     covers every returned item."""
-    known = F.col("known_product").isNotNull()
-
-    def of_known(column: str):
-        return total(F.when(known, F.col(column)))
-
-    returned = known & F.col("is_returned")
-    return nested_rollup(
-        item_lines(shop, p),
-        by=["order_id"],
-        nest=["order_item_id"],
-        measures={
-            "item_count": distinct("order_item_id", known),
-            "item_rows": rows(known),
-            "returned_items": distinct("order_item_id", returned),
-            "total_units": of_known("quantity"),
-            "total_amount": of_known("gross_amount"),
-            "total_cost": of_known("total_cost"),
-            "total_gross_profit": of_known("gross_profit"),
-            "total_refund_amount": of_known("refund_amount"),
-            "net_revenue": of_known("net_revenue"),
-            "has_returns": largest(returned),
-            "first_return_date": smallest("return_date"),
-        },
-    )
+    measures = {
+        "item_count": rows("known AND order_item_id IS NOT NULL"),
+        "item_rows": total("if(known, copies, 0)"),
+        "returned_items": rows("known AND returns > 0"),
+        "total_units": total("if(known, units, NULL)"),
+        "total_amount": total("if(known, gross_amount, NULL)"),
+        "total_cost": total("total_cost"),
+        "total_gross_profit": total("gross_profit"),
+        "total_refund_amount": total("if(known, refund_amount, NULL)"),
+        "net_revenue": total("if(known, net_revenue, NULL)"),
+        "has_returns": largest("known AND returns > 0"),
+        "first_return_date": smallest("first_return_date"),
+    }
+    return nested_rollup(item_lines(shop), ["order_id"], [], measures)
 
 
 ROLLED_UP = (
@@ -155,34 +163,37 @@ ROLLED_UP = (
 def with_line_totals(orders: DataFrame, shop: Shop, p: Params) -> DataFrame:
     """Join the item rollup to staged orders, zero for orders without items. From
     here on ``total_amount`` is the sum of the items, not the order header."""
-    joined = orders.drop("total_amount").join(order_rollup(shop, p), "order_id", "left")
-    amount, profit = F.col("total_amount"), F.col("total_gross_profit")
-    return joined.withColumns(
-        {
-            **{c: zero_if_null(F.col(c)) for c in ROLLED_UP},
-            "has_returns": F.coalesce("has_returns", F.lit(False)),
-            "avg_gross_margin_pct": F.when(amount > 0, ratio(profit, amount) * 100).otherwise(0.0),
-        }
+    margin = "total_gross_profit / double(total_amount) * 100"
+    orders = orders.drop("total_amount")
+    return (
+        orders.join(order_rollup(shop, p), "order_id", "left")
+        .selectExpr(
+            *orders.columns,
+            *[f"ifnull({column}, 0) AS {column}" for column in ROLLED_UP],
+            "ifnull(has_returns, false) AS has_returns",
+            f"if(total_amount > 0, {margin}, 0d) AS avg_gross_margin_pct",
+            "first_return_date",
+        )
     )
 
 
-def orders_with_lines(shop: Shop, p: Params) -> DataFrame:
-    """Every order with its customer and its item rollup."""
-    p = unstamped(p)
-    users = stg_users(shop.users, p).select(
+def order_figures(shop: Shop, p: Params) -> DataFrame:
+    """Every order with its item rollup, without its customer's columns."""
+    return with_line_totals(stg_orders(shop.orders, unstamped(p)), shop, p)
+
+
+def orders_with_customers(shop: Shop, p: Params) -> DataFrame:
+    """Every order with its customer and its item rollup. The customer is joined first:
+    the join on the order then leaves the rows partitioned by order."""
+    users = stg_users(shop.users, unstamped(p)).select(
         "user_id", "email", "customer_segment", "country", "region", "signup_date"
     )
-    orders = stg_orders(shop.orders, p).join(users, "user_id", "left")
-    return with_line_totals(orders, shop, p).withColumns(
-        {
-            "days_since_signup": date_diff(F.col("signup_date"), F.col("order_date"), "day"),
-            "order_surrogate_key": surrogate_key("order_id", "user_id"),
-        }
-    )
+    orders = stg_orders(shop.orders, unstamped(p)).join(users, "user_id", "left")
+    return with_line_totals(orders, shop, p)
 
 
 def int_orders_enriched(shop: Shop, p: Params) -> DataFrame:
-    out = orders_with_lines(shop, p).select(
+    out = orders_with_customers(shop, p).select(
         "order_id",
         "user_id",
         "order_date",
@@ -207,50 +218,47 @@ def int_orders_enriched(shop: Shop, p: Params) -> DataFrame:
         "order_month",
         "order_week",
         "day_of_week",
-        "days_since_signup",
-        "order_surrogate_key",
+        F.expr("datediff(order_date, signup_date) AS days_since_signup"),
+        surrogate_key("order_id", "user_id").alias("order_surrogate_key"),
     )
     return stamp(out, "_loaded_at", p)
 
 
 def int_customer_orders(shop: Shop, p: Params) -> DataFrame:
     """Orders and items per customer, from one pass over the order rollup."""
-    p = unstamped(p)
-    orders = with_line_totals(stg_orders(shop.orders, p), shop, p)
-    done = F.col("is_completed")
 
     def of_completed(column: str):
-        return total(F.when(done, F.col(column)).otherwise(0))
+        return total(f"if(is_completed, {column}, 0)")
 
     # Item figures are looked up by customer, so they are zero without one.
-    sold = done & F.col("user_id").isNotNull()
-
     def of_sold(column: str):
-        return total(F.when(sold, F.col(column)).otherwise(0))
+        return total(f"if(is_completed AND user_id IS NOT NULL, {column}, 0)")
 
     per_customer = nested_rollup(
-        orders,
+        order_figures(shop, p),
         by=["user_id"],
         nest=["order_id"],
         measures={
             "total_orders": distinct("order_id"),
-            "completed_orders": distinct("order_id", done),
-            "cancelled_orders": distinct("order_id", F.col("is_cancelled")),
-            "high_value_orders": distinct("order_id", done & F.col("is_high_value_order")),
+            "completed_orders": distinct("order_id", "is_completed"),
+            "cancelled_orders": distinct("order_id", "is_cancelled"),
+            "high_value_orders": distinct("order_id", "is_completed AND is_high_value_order"),
             "total_revenue": of_completed("total_amount"),
             "total_net_revenue": of_completed("net_revenue"),
             "total_gross_profit": of_completed("total_gross_profit"),
-            "_completed_rows": rows(done),
-            "first_order_date": smallest(F.when(done, F.col("order_date"))),
-            "last_order_date": largest(F.when(done, F.col("order_date"))),
+            "completed_rows": rows("is_completed"),
+            "first_order_date": smallest("if(is_completed, order_date, NULL)"),
+            "last_order_date": largest("if(is_completed, order_date, NULL)"),
             "total_items_ordered": of_sold("total_units"),
-            "_item_rows": of_sold("item_rows"),
+            "item_rows": of_sold("item_rows"),
             "total_returned_items": of_sold("returned_items"),
             "total_refunds": of_sold("total_refund_amount"),
-            "orders_with_returns": distinct("order_id", sold & F.col("has_returns")),
+            "orders_with_returns": distinct(
+                "order_id", "is_completed AND user_id IS NOT NULL AND has_returns"
+            ),
         },
     )
-    return per_customer.select(
+    return per_customer.selectExpr(
         "user_id",
         "total_orders",
         "completed_orders",
@@ -259,13 +267,11 @@ def int_customer_orders(shop: Shop, p: Params) -> DataFrame:
         "total_revenue",
         "total_net_revenue",
         "total_gross_profit",
-        money_avg(F.col("total_revenue"), F.col("_completed_rows")).alias("avg_order_value"),
+        "try_divide(double(total_revenue), completed_rows) AS avg_order_value",
         "first_order_date",
         "last_order_date",
         "total_items_ordered",
-        zero_if_null(money_avg(F.col("total_items_ordered"), F.col("_item_rows"))).alias(
-            "avg_items_per_order"
-        ),
+        "ifnull(try_divide(double(total_items_ordered), item_rows), 0d) AS avg_items_per_order",
         "total_returned_items",
         "total_refunds",
         "orders_with_returns",
@@ -276,49 +282,64 @@ def completed_items(shop: Shop, p: Params) -> DataFrame:
     return int_order_items_enriched(shop, unstamped(p)).filter("is_completed")
 
 
+def sold_lines(shop: Shop) -> DataFrame:
+    """Lines of known products in completed orders, partitioned by order."""
+    orders = shop.orders.filter("status = 'completed'")
+    return (
+        item_lines(shop)
+        .filter("known")
+        .join(orders.select("order_id", "user_id", "order_date"), "order_id")
+        .withColumn("gross_margin_pct", F.expr(MARGIN))
+    )
+
+
+# Measures of sold lines, common to all rollups by product.
+SOLD = {
+    "units": total("units"),
+    "order_count": distinct("order_id"),
+    "unique_customers": distinct("user_id"),
+    "gross_revenue": total("gross_amount"),
+    "net_revenue": total("net_revenue"),
+    "total_cost": total("total_cost"),
+    "gross_profit": total("gross_profit"),
+    "margin_sum": total("gross_margin_pct * copies"),
+    "margin_rows": total("if(gross_margin_pct IS NOT NULL, copies, 0)"),
+    "return_count": total("returns"),
+    "refund_amount": total("refund_amount"),
+}
+
+
 def int_product_performance(shop: Shop, p: Params) -> DataFrame:
     """Sales, margin and returns per product, completed orders only."""
-    returned, quality = F.col("is_returned"), F.col("is_quality_issue")
     sums = nested_rollup(
-        completed_items(shop, p),
+        sold_lines(shop),
         by=["product_id"],
         nest=["user_id", "order_id"],
         measures={
-            "total_units_sold": total("quantity"),
-            "order_count": distinct("order_id"),
-            "unique_customers": distinct("user_id"),
-            "total_revenue": total("gross_amount"),
-            "net_revenue": total("net_revenue"),
-            "_price_sum": total("unit_price"),
-            "_price_rows": rows(F.col("unit_price").isNotNull()),
+            **SOLD,
+            "price_sum": total("unit_price * copies"),
+            "price_rows": total("if(unit_price IS NOT NULL, copies, 0)"),
             "min_selling_price": smallest("unit_price"),
             "max_selling_price": largest("unit_price"),
-            "total_gross_profit": total("gross_profit"),
-            "_margin_sum": total("gross_margin_pct"),
-            "_margin_rows": rows(F.col("gross_margin_pct").isNotNull()),
-            "return_count": rows(returned),
-            "total_refund_amount": total("refund_amount"),
-            "quality_issue_count": rows(quality),
+            "quality_issue_count": total("quality_returns"),
         },
     )
-    units, returns = F.col("total_units_sold"), F.col("return_count")
-    return sums.select(
+    return sums.selectExpr(
         "product_id",
-        "total_units_sold",
+        "units AS total_units_sold",
         "order_count",
         "unique_customers",
-        "total_revenue",
+        "gross_revenue AS total_revenue",
         "net_revenue",
-        money_avg(F.col("_price_sum"), F.col("_price_rows")).alias("avg_selling_price"),
+        "try_divide(double(price_sum), price_rows) AS avg_selling_price",
         "min_selling_price",
         "max_selling_price",
-        "total_gross_profit",
-        ratio(F.col("_margin_sum"), F.col("_margin_rows")).alias("avg_gross_margin_pct"),
+        "gross_profit AS total_gross_profit",
+        "try_divide(margin_sum, margin_rows) AS avg_gross_margin_pct",
         "return_count",
-        "total_refund_amount",
+        "refund_amount AS total_refund_amount",
         "quality_issue_count",
-        F.when(units > 0, ratio(returns, units)).otherwise(0.0).alias("return_rate"),
-        F.when(returns > 0, ratio(F.col("quality_issue_count"), returns))
-        .otherwise(0.0)
-        .alias("quality_issue_pct"),
+        "if(units > 0, return_count / double(units), 0d) AS return_rate",
+        "if(return_count > 0, quality_issue_count / double(return_count), 0d)"
+        " AS quality_issue_pct",
     )

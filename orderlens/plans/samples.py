@@ -81,11 +81,11 @@ def monthly_trends(orders: DataFrame) -> DataFrame:
             "total_orders": distinct("order_id"),
             "unique_customers": distinct("user_id"),
             "total_revenue": total("subtotal"),
-            "_rows": rows(),
+            "n_rows": rows(),
         },
     )
-    mean = money_avg(F.col("total_revenue"), F.col("_rows"))
-    return sums.withColumn("avg_order_value", mean).drop("_rows").orderBy("order_month")
+    mean = money_avg(F.col("total_revenue"), F.col("n_rows"))
+    return sums.withColumn("avg_order_value", mean).drop("n_rows").orderBy("order_month")
 
 
 def items_revenue_returns(items: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions import date_trunc, day_of_week, email_domain, map_values
+from orderlens.functions import email_domain, map_values
 from orderlens.params import QUALITY_REASONS, REASON_CATEGORIES, Params
 
 
@@ -14,11 +14,6 @@ def stamp(df: DataFrame, name: str, p: Params) -> DataFrame:
     return df if p.run_ts is None else df.withColumn(name, F.lit(p.run_ts))
 
 
-def is_true(condition: Column) -> Column:
-    """Boolean that is false, not NULL, for a NULL input."""
-    return F.coalesce(condition, F.lit(False))
-
-
 def stg_users(users: DataFrame, p: Params) -> DataFrame:
     out = users.select(
         "user_id",
@@ -45,45 +40,45 @@ def stg_products(products: DataFrame, p: Params) -> DataFrame:
 
 
 def stg_orders(orders: DataFrame, p: Params) -> DataFrame:
-    status, day = F.col("status"), F.col("order_date")
-    out = orders.select(
+    """Flags are false, not NULL, for a NULL status or amount."""
+    out = orders.selectExpr(
         "order_id",
         "user_id",
         "order_date",
-        status.alias("order_status"),
+        "status AS order_status",
         "total_amount",
-        is_true(status == "completed").alias("is_completed"),
-        is_true(status == "cancelled").alias("is_cancelled"),
-        is_true(F.col("total_amount") >= p.high_value_order).alias("is_high_value_order"),
-        date_trunc("month", day).alias("order_month"),
-        date_trunc("week", day).alias("order_week"),
-        day_of_week(day).alias("day_of_week"),
+        "ifnull(status = 'completed', false) AS is_completed",
+        "ifnull(status = 'cancelled', false) AS is_cancelled",
+        f"ifnull(total_amount >= {p.high_value_order}, false) AS is_high_value_order",
+        "trunc(order_date, 'month') AS order_month",
+        "trunc(order_date, 'week') AS order_week",
+        "dayofweek(order_date) - 1 AS day_of_week",
     )
     return stamp(out, "_loaded_at", p)
 
 
 def stg_order_items(order_items: DataFrame, p: Params) -> DataFrame:
-    out = order_items.select(
+    out = order_items.selectExpr(
         "order_item_id",
         "order_id",
         "product_id",
         "quantity",
-        F.col("price").alias("unit_price"),
-        (F.col("quantity") * F.col("price")).alias("line_total"),
+        "price AS unit_price",
+        "quantity * price AS line_total",
     )
     return stamp(out, "_loaded_at", p)
 
 
 def stg_returns(returns: DataFrame, p: Params) -> DataFrame:
-    reason = F.col("return_reason")
+    quality = ", ".join(f"'{r}'" for r in QUALITY_REASONS)
     out = returns.select(
         "return_id",
         "order_item_id",
         "return_date",
         "return_reason",
         "refund_amount",
-        map_values(reason, REASON_CATEGORIES).alias("return_reason_category"),
-        is_true(reason.isin(*QUALITY_REASONS)).alias("is_quality_issue"),
-        date_trunc("month", F.col("return_date")).alias("return_month"),
+        map_values(F.col("return_reason"), REASON_CATEGORIES).alias("return_reason_category"),
+        F.expr(f"ifnull(return_reason IN ({quality}), false) AS is_quality_issue"),
+        F.expr("trunc(return_date, 'month') AS return_month"),
     )
     return stamp(out, "_loaded_at", p)

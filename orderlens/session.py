@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 32_768
+HASHED_PARTITION_BYTES = "64MB"
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -13,13 +14,15 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
 
     Skewed join partitions are split even if that costs another shuffle, because a
     key may hold a large part of all rows. The initial partition number follows the
-    input size; adaptive execution merges partitions that turn out small.
+    input size; adaptive execution merges partitions that turn out small. A join whose
+    build side turns out to have only small partitions hashes them instead of sorting.
     """
     conf = spark.conf
     conf.set("spark.sql.session.timeZone", "UTC")
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED_PARTITION_BYTES)
     if input_bytes is not None:
         base = int(conf.get("spark.sql.shuffle.partitions"))
         wanted = min(-(-input_bytes // BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)

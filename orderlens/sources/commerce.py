@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.params import Params
-from orderlens.sources.tables import Shop
+from orderlens.sources.tables import Shop, read_table
 
 # Thresholds that split this data into classes of useful size.
 SALES_PARAMS = Params(
@@ -42,81 +42,82 @@ SALES_PARAMS = Params(
 
 MONEY = "decimal(14,2)"
 
+# Declared column types of the sales tables.
+SALES_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def _users(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    mailbox = F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("")))
-    domain = F.lower(F.replace(F.col("r_name"), F.lit(" "), F.lit("")))
-    return customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("user_id"),
-        F.concat(mailbox, F.lit("@"), domain, F.lit(".example.com")).alias("email"),
-        F.date_add(F.lit(date(1994, 1, 1)), (F.col("c_custkey") % 360).cast("int")).alias(
-            "signup_date"
-        ),
-        F.col("n_name").alias("country"),
-        F.col("r_name").alias("region_name"),
-        F.col("c_mktsegment").alias("customer_segment"),
+    places = nation.join(region, F.expr("n_regionkey = r_regionkey"))
+    return customer.join(places, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "c_custkey AS user_id",
+        "concat(lower(replace(c_name, '#', '')), '@', lower(replace(r_name, ' ', '')), "
+        "'.example.com') AS email",
+        "date_add(DATE '1994-01-01', cast(c_custkey % 360 AS int)) AS signup_date",
+        "n_name AS country",
+        "r_name AS region_name",
+        "c_mktsegment AS customer_segment",
     )
 
 
 def _products(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_size").alias("supplier_id"),
-        (F.col("p_retailprice").cast("decimal(12,2)") * 40).cast(MONEY).alias("cost"),
+    return part.selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "p_size AS supplier_id",
+        f"cast(cast(p_retailprice AS decimal(12,2)) * 40 AS {MONEY}) AS cost",
     )
 
 
 def orders_from(orders: DataFrame) -> DataFrame:
-    pending = F.col("o_orderstatus") == "P"
-    return orders.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.when(pending, "cancelled").otherwise("completed").alias("status"),
-        F.when(pending, 0).otherwise(F.col("o_totalprice")).cast(MONEY).alias("total_amount"),
+    return orders.selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS user_id",
+        "cast(o_orderdate AS date) AS order_date",
+        "if(o_orderstatus = 'P', 'cancelled', 'completed') AS status",
+        f"cast(if(o_orderstatus = 'P', 0, o_totalprice) AS {MONEY}) AS total_amount",
     )
 
 
 def _order_items(lineitem: DataFrame) -> DataFrame:
-    key = F.concat_ws(
-        "-",
-        *[
-            F.col(c).cast("string")
-            for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-        ],
-        F.col("l_shipdate").cast("date").cast("string"),
-    )
-    return lineitem.select(
-        F.md5(key).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
+    parts = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "cast(l_shipdate AS date)")
+    texts = ", ".join(f"cast({part} AS string)" for part in parts)
+    return lineitem.selectExpr(
+        f"md5(concat_ws('-', {texts})) AS order_item_id",
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "cast(l_quantity AS int) AS quantity",
+        f"cast(l_extendedprice AS {MONEY}) AS price",
         "l_linenumber",
         "l_returnflag",
     )
 
 
+# Reason of a return by line number modulo 5.
+REASONS = ("defective", "changed_mind", "wrong_item", "damaged_shipping", "unspecified")
+
+
 def _returns(order_items: DataFrame, orders: DataFrame) -> DataFrame:
-    line = F.col("l_linenumber") % 5
-    reason = (
-        F.when(line == 0, "defective")
-        .when(line == 1, "changed_mind")
-        .when(line == 2, "wrong_item")
-        .when(line == 3, "damaged_shipping")
-        .otherwise("unspecified")
-    )
-    delay = ((F.col("order_id") * 7 + F.col("l_linenumber")) % 60).cast("int")
-    returned = order_items.filter(F.col("l_returnflag") == "R")
-    return returned.join(orders.select("order_id", "order_date"), "order_id").select(
-        F.concat(F.lit("R-"), "order_item_id").alias("return_id"),
+    reasons = ", ".join(f"'{r}'" for r in REASONS)
+    returned = order_items.filter("l_returnflag = 'R'")
+    return returned.join(orders.select("order_id", "order_date"), "order_id").selectExpr(
+        "concat('R-', order_item_id) AS return_id",
         "order_item_id",
-        F.date_add("order_date", delay).alias("return_date"),
-        reason.alias("return_reason"),
-        F.col("price").alias("refund_amount"),
+        "date_add(order_date, cast((order_id * 7 + l_linenumber) % 60 AS int)) AS return_date",
+        f"array({reasons})[l_linenumber % 5] AS return_reason",
+        "price AS refund_amount",
     )
 
 
@@ -124,14 +125,12 @@ def shop_from_sales_tables(spark: SparkSession, folder: str) -> Shop:
     """Map the star schema in ``folder`` to the five retail tables."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return read_table(spark, f"{folder}/{name}.parquet", SALES_SCHEMAS[name])
 
-    orders = orders_from(table("orders"))
-    items = _order_items(table("lineitem"))
     return Shop(
-        users=_users(table("customer"), table("nation"), table("region")),
-        products=_products(table("part")),
-        orders=orders,
-        order_items=items.drop("l_linenumber", "l_returnflag"),
-        returns=_returns(items, orders),
+        users=lambda: _users(table("customer"), table("nation"), table("region")),
+        products=lambda: _products(table("part")),
+        orders=lambda: orders_from(table("orders")),
+        order_items=lambda: _order_items(table("lineitem")).drop("l_linenumber", "l_returnflag"),
+        returns=lambda: _returns(_order_items(table("lineitem")), orders_from(table("orders"))),
     )

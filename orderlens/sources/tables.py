@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,15 +21,30 @@ RAW_SCHEMAS = {
 }
 
 
-@dataclass(frozen=True)
-class Shop:
-    """The raw retail tables every plan starts from. All are lazy DataFrames."""
+TABLES = tuple(RAW_SCHEMAS)
+
 
-    users: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    returns: DataFrame
+class Shop:
+    """The raw retail tables every plan starts from: ``users``, ``products``, ``orders``,
+    ``order_items`` and ``returns``, each a DataFrame or a function that makes it. A plan
+    touches only the tables it reads."""
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        if set(tables) != set(TABLES):
+            raise TypeError(f"Shop needs exactly the tables {TABLES}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
+
+    def replace(self, **tables: DataFrame) -> Shop:
+        """A shop with some tables exchanged."""
+        return Shop(**{**self._tables, **tables})
 
 
 def read_table(
