@@ -16,7 +16,7 @@ from orderlens.operators import quality as dq
 from orderlens.operators.calendar import spine_of
 from orderlens.operators.history import join_as_of, scd2_apply, scd2_as_of
 from orderlens.operators.incremental import changed_rows, incremental_merge, sync_columns, upsert
-from orderlens.operators.ranking import ntile, row_number
+from orderlens.operators.ranking import Rank, with_ranks
 from orderlens.operators.rollup import distinct, nested_rollup
 from orderlens.operators.windows import first_of, moving_average, previous, running_total
 from orderlens.params import REASON_CATEGORIES
@@ -271,15 +271,18 @@ def _(s: Shop):
 def _(s: Shop):
     orders = s.orders.select("order_id", "status", "total_amount")
     order = [F.desc("total_amount"), F.asc("order_id")]
-    ranked = row_number(orders, order, out="overall_rank")
-    return row_number(ranked, order, ["status"], out="status_rank")
+    ranks = {"overall_rank": Rank(order), "status_rank": Rank(order, ["status"])}
+    return with_ranks(orders, ranks, one_task_rows=0)
 
 
 @query("win_ntile")
 def _(s: Shop):
     orders = s.orders.select("order_id", "order_date", "total_amount")
-    tiled = ntile(orders, 5, [F.desc("order_date"), F.asc("order_id")], out="date_tile")
-    return ntile(tiled, 7, [F.asc("total_amount"), F.asc("order_id")], out="amount_tile")
+    ranks = {
+        "date_tile": Rank([F.desc("order_date"), F.asc("order_id")], tiles=5),
+        "amount_tile": Rank([F.asc("total_amount"), F.asc("order_id")], tiles=7),
+    }
+    return with_ranks(orders, ranks, one_task_rows=0)
 
 
 query("win_rank_over_agg")(
@@ -628,6 +631,7 @@ def _(read, folder):
 
 @query("executive_summary")
 def _(s: Shop):
+    s = enrich.with_written_lines(s)
     return analyses.executive_summary(
         core.fct_order_figures(s, P),
         core.dim_customers(s, P),

@@ -1,15 +1,16 @@
 """Row numbers and tiles over any number of rows, with or without groups.
 
 A window without a partition key moves all rows to one task, and a window over a
-group moves that group to one task. Here the rows are range-partitioned by (group,
-order), so a large group spans many tasks; each task numbers its own sorted rows,
-and the rows of the same group in earlier tasks are added from a small table of
-counts per task.
+group moves that group to one task. That is fine for few rows, which are counted
+first. Otherwise the rows are range-partitioned by (group, order), so a large group
+spans many tasks; each task numbers its own sorted rows, and the rows of the same
+group in earlier tasks are added from a small table of counts per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,50 +18,83 @@ from pyspark.sql import functions as F
 
 from orderlens.sources.scratch import checkpointed
 
+# Up to this many rows one task sorts them.
+ONE_TASK_ROWS = 200_000
+
 # Fixed value: monotonically_increasing_id() = task number * 2^33 + row in the task.
 ROWS_PER_TASK_BITS = 33
 
 
-def _numbered(
-    df: DataFrame, order_by: Sequence[str | Column], partition_by: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with their place ``_at`` in their task, and counts per (group, task)."""
-    order = [F.col(o) if isinstance(o, str) else o for o in order_by]
-    keys = [F.col(k) for k in partition_by]
-    sorted_rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+@dataclass(frozen=True)
+class Rank:
+    """Place of a row in its group, 1-based, or its tile if ``tiles`` is set. The order
+    must be complete within a group, so it should end with a key."""
+
+    order_by: Sequence[str | Column]
+    partition_by: Sequence[str] = ()
+    tiles: int | None = None
+
+
+def with_ranks(
+    df: DataFrame, ranks: Mapping[str, Rank], one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Add one column per entry of ``ranks``."""
+    rows = checkpointed(df)
+    if rows.count() <= one_task_rows:
+        return rows.withColumns({name: _window(rank) for name, rank in ranks.items()})
+    for name, rank in ranks.items():
+        rows = _with_rank(rows, name, rank)
+    return rows
+
+
+def _window(rank: Rank) -> Column:
+    window = W.partitionBy(*rank.partition_by).orderBy(*rank.order_by)
+    if rank.tiles is None:
+        return F.row_number().over(window).cast("bigint")
+    return F.ntile(rank.tiles).over(window)
+
+
+def _with_rank(df: DataFrame, name: str, rank: Rank) -> DataFrame:
+    groups = [F.col(k) for k in rank.partition_by]
+    order = [F.col(o) if isinstance(o, str) else o for o in rank.order_by]
     # The place of a row must be the same for both uses below, also if a task is run
     # again after an executor is lost: fix it in the shared folder.
-    placed = checkpointed(sorted_rows.withColumn("_id", F.monotonically_increasing_id()))
-    placed = placed.withColumn("_task", F.shiftright("_id", ROWS_PER_TASK_BITS))
-    counts = placed.groupBy(*partition_by, "_task").agg(
+    placed = checkpointed(
+        df.repartitionByRange(*groups, *order)
+        .sortWithinPartitions(*groups, *order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    ).withColumn("_task", F.shiftright("_id", ROWS_PER_TASK_BITS))
+    counts = placed.groupBy(*rank.partition_by, "_task").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first")
     )
     # At most one row per task and one per group; windows run over these counts only.
-    group = W.partitionBy(*partition_by)
+    group = W.partitionBy(*rank.partition_by)
     before = group.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
-        *[F.col(k).alias(f"_g{i}") for i, k in enumerate(partition_by)],
+        *[F.col(k).alias(f"_g{i}") for i, k in enumerate(rank.partition_by)],
         F.col("_task").alias("_t"),
         F.col("_first"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(group).alias("_total"),
     )
-    if not partition_by:
+    if not groups:
         # One row per task: bounded by the number of shuffle partitions.
         offsets = F.broadcast(offsets)
-    return placed, offsets
+    on = F.col("_task") == F.col("_t")
+    for i, key in enumerate(groups):
+        on = on & key.eqNullSafe(F.col(f"_g{i}"))
+    place = F.col("_before") + F.col("_id") - F.col("_first")
+    result = place + 1 if rank.tiles is None else _tile(place, F.col("_total"), rank.tiles)
+    return placed.join(offsets, on).select(*[F.col(c) for c in df.columns], result.alias(name))
 
 
-def _ranked(df, order_by, partition_by) -> DataFrame:
-    """``df`` with ``_rank`` (0-based) and ``_total`` per group."""
-    placed, offsets = _numbered(df, order_by, partition_by)
-    on = F.col("_task") == F.col("_t")
-    for i, key in enumerate(partition_by):
-        on = on & F.col(key).eqNullSafe(F.col(f"_g{i}"))
-    rank = F.col("_before") + F.col("_id") - F.col("_first")
-    return placed.join(offsets, on).select(
-        *[F.col(c) for c in df.columns], rank.alias("_rank"), F.col("_total")
-    )
+def _tile(place: Column, total: Column, tiles: int) -> Column:
+    """The first (total mod tiles) tiles hold one row more than the others."""
+    size, extra = F.floor(total / F.lit(tiles)), total % tiles
+    in_large = place < extra * (size + 1)
+    large = F.floor(place / (size + 1)) + 1
+    small = F.floor((place - extra * (size + 1)) / F.greatest(size, F.lit(1))) + extra + 1
+    return F.when(in_large, large).otherwise(small).cast("int")
 
 
 def row_number(
@@ -68,11 +102,9 @@ def row_number(
     order_by: Sequence[str | Column],
     partition_by: Sequence[str] = (),
     out: str = "row_number",
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Add the 1-based place of each row in its group. ``order_by`` must order the
-    rows of a group completely, so end it with a key."""
-    ranked = _ranked(df, order_by, partition_by)
-    return ranked.withColumn(out, F.col("_rank") + 1).drop("_rank", "_total")
+    return with_ranks(df, {out: Rank(order_by, partition_by)}, one_task_rows)
 
 
 def ntile(
@@ -81,14 +113,6 @@ def ntile(
     order_by: Sequence[str | Column],
     partition_by: Sequence[str] = (),
     out: str = "tile",
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Add the tile 1..tiles of each row; the first (rows mod tiles) tiles hold one
-    row more than the others, as the window function of that name does."""
-    ranked = _ranked(df, order_by, partition_by)
-    rank, size = F.col("_rank"), F.floor(F.col("_total") / F.lit(tiles))
-    extra = F.col("_total") % tiles
-    in_large = rank < extra * (size + 1)
-    large = F.floor(rank / (size + 1)) + 1
-    small = F.floor((rank - extra * (size + 1)) / F.greatest(size, F.lit(1))) + extra + 1
-    tile = F.when(in_large, large).otherwise(small).cast("int")
-    return ranked.withColumn(out, tile).drop("_rank", "_total")
+    return with_ranks(df, {out: Rank(order_by, partition_by, tiles)}, one_task_rows)

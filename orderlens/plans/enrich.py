@@ -34,6 +34,7 @@ from orderlens.plans.staging import (
     stg_returns,
     stg_users,
 )
+from orderlens.sources.scratch import run_folder
 from orderlens.sources.tables import Shop
 
 MARGIN = "if(gross_amount > 0, gross_profit / double(gross_amount), 0d)"
@@ -53,8 +54,8 @@ def int_order_items_enriched(shop: Shop, p: Params) -> DataFrame:
     returns = stg_returns(shop.returns, unstamped(p)).drop("return_month")
     returns = returns.withColumnRenamed("refund_amount", "refund")
     out = (
-        shop.order_items.join(products, "product_id")
-        .join(returns, "order_item_id", "left")
+        shop.order_items.join(returns, "order_item_id", "left")
+        .join(products, "product_id")
         .join(orders, "order_id")
         .selectExpr(
             "order_item_id",
@@ -104,10 +105,12 @@ def returns_per_item(shop: Shop) -> DataFrame:
 def item_lines(shop: Shop) -> DataFrame:
     """One row per item with its product's cost and the sum of its returns. Items of
     unknown products are kept and have ``known`` false."""
+    if shop.lines is not None:
+        return shop.lines
     products = shop.products.selectExpr("product_id", "cost AS unit_cost", "true AS known")
     return (
-        shop.order_items.join(products, "product_id", "left")
-        .join(returns_per_item(shop), "order_item_id", "left")
+        shop.order_items.join(returns_per_item(shop), "order_item_id", "left")
+        .join(products, "product_id", "left")
         .selectExpr(
             "order_item_id",
             "order_id",
@@ -128,6 +131,15 @@ def item_lines(shop: Shop) -> DataFrame:
     )
 
 
+def with_written_lines(shop: Shop) -> Shop:
+    """A shop whose item lines are joined once and written to the shared folder, for
+    building several marts from them."""
+    lines = item_lines(shop)
+    folder = run_folder(lines.sparkSession, "lines")
+    lines.write.parquet(folder)
+    return shop.replace(lines=lines.sparkSession.read.schema(lines.schema).parquet(folder))
+
+
 def order_rollup(shop: Shop, p: Params) -> DataFrame:
     """Item lines per order. Amounts cover known products; ``first_return_date``
     covers every returned item."""

@@ -27,11 +27,17 @@ TABLES = tuple(RAW_SCHEMAS)
 class Shop:
     """The raw retail tables every plan starts from: ``users``, ``products``, ``orders``,
     ``order_items`` and ``returns``, each a DataFrame or a function that makes it. A plan
-    touches only the tables it reads."""
+    touches only the tables it reads.
 
-    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+    ``lines`` may hold the joined item lines when they were written before, so that
+    several marts share them."""
+
+    def __init__(
+        self, lines: DataFrame | None = None, **tables: DataFrame | Callable[[], DataFrame]
+    ):
         if set(tables) != set(TABLES):
             raise TypeError(f"Shop needs exactly the tables {TABLES}")
+        self.lines = lines
         self._tables = tables
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -43,7 +49,7 @@ class Shop:
         return table
 
     def replace(self, **tables: DataFrame) -> Shop:
-        """A shop with some tables exchanged."""
+        """A shop with some tables exchanged, or with ``lines`` added."""
         return Shop(**{**self._tables, **tables})
 
 
