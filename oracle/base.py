@@ -59,8 +59,9 @@ s_products AS (
   FROM products),
 s_orders AS (
   SELECT order_id, user_id, order_date, status AS order_status, total_amount,
-         status = 'completed' AS is_completed, status = 'cancelled' AS is_cancelled,
-         total_amount >= 400000 AS is_high_value_order,
+         ifnull(status = 'completed', false) AS is_completed,
+         ifnull(status = 'cancelled', false) AS is_cancelled,
+         ifnull(total_amount >= 400000, false) AS is_high_value_order,
          date_trunc('month', order_date)::DATE AS order_month,
          date_trunc('week', order_date)::DATE AS order_week,
          dayofweek(order_date)::INT AS day_of_week
@@ -75,7 +76,7 @@ s_returns AS (
                        'wrong_item': 'Fulfillment Error',
                        'changed_mind': 'Customer Decision'}[return_reason], 'Other')
            AS return_reason_category,
-         return_reason IN ('defective', 'damaged_shipping') AS is_quality_issue,
+         ifnull(return_reason IN ('defective', 'damaged_shipping'), false) AS is_quality_issue,
          date_trunc('month', return_date)::DATE AS return_month
   FROM rets)"""
 
@@ -111,7 +112,9 @@ full_orders AS (
          ifnull(l.total_gross_profit::DOUBLE / nullif(l.total_amount::DOUBLE, 0) * 100, 0)
            AS avg_gross_margin_pct,
          l.first_return_date, o.order_date - u.signup_date AS days_since_signup,
-         md5(o.order_id::VARCHAR || '-' || o.user_id::VARCHAR) AS order_surrogate_key
+         md5(o.order_id::VARCHAR || '-'
+             || ifnull(o.user_id::VARCHAR, '_dbt_utils_surrogate_key_null_'))
+           AS order_surrogate_key
   FROM s_orders o LEFT JOIN s_users u USING (user_id) LEFT JOIN per_order l USING (order_id)),
 per_customer AS (
   SELECT user_id, count(DISTINCT order_id) AS total_orders,

@@ -248,15 +248,9 @@ def cohort_periods(shop: Shop, p: Params) -> DataFrame:
     )
     cohorts = signup_cohorts(shop, p).select("cohort_month").distinct()
     last = months.agg(F.max("period_month")).scalar()
-    listed = (
-        cohorts.withColumn("_last", last)
-        .filter(c("cohort_month") <= c("_last"))
-        .select(
-            "cohort_month",
-            F.explode(F.expr("sequence(cohort_month, _last, INTERVAL 1 MONTH)")).alias(
-                "period_month"
-            ),
-        )
+    upto = "if(cohort_month <= _last, sequence(cohort_month, _last, INTERVAL 1 MONTH), NULL)"
+    listed = cohorts.withColumn("_last", last).select(
+        "cohort_month", F.explode(F.expr(upto)).alias("period_month")
     )
     return listed.join(months, "period_month").select(
         "cohort_month",
