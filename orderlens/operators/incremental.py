@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.sources.scratch import run_folder
+from orderlens.sources.scratch import written
 from orderlens.sources.tables import write_table
 
 
@@ -61,11 +61,12 @@ def incremental_merge(
     changed_keys: DataFrame | None = None,
 ) -> DataFrame:
     """The table after an incremental run. Rows outside the lookback keep the state
-    they have in the target. Without a target, or on a full refresh, it is the source."""
+    they have in the target. Without a target, or on a full refresh, it is the source.
+    The changed rows are used twice, so they are worked out once and written."""
     if target is None or full_refresh:
         return source
     changes = changed_rows(target, source, key, ts_col, lookback_days, changed_keys)
-    return upsert(target, changes, key)
+    return upsert(target, written(changes, "changes"), key)
 
 
 def newest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
@@ -75,9 +76,7 @@ def newest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
     return df.groupBy(key).agg(newest.alias("_row")).select("_row.*")
 
 
-def merge_into_table(
-    path: str, changes: DataFrame, key: str, partition_by: str
-) -> None:
+def merge_into_table(path: str, changes: DataFrame, key: str, partition_by: str) -> None:
     """Upsert into a parquet table on disk, rewriting only the partitions that gain,
     change or lose a row.
 
@@ -90,9 +89,7 @@ def merge_into_table(
     if not table_exists(spark, path):
         write_table(changes, path, [partition_by], [key])
         return
-    staged = run_folder(spark, "changes")
-    changes.write.parquet(staged)
-    changes = spark.read.schema(changes.schema).parquet(staged)
+    changes = written(changes, "changes")
     # Reading with the source's schema gives NULL for columns that old files lack.
     target = spark.read.schema(changes.schema).parquet(path)
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderlens.sources.scratch import checkpointed
+from orderlens.sources.scratch import written
 
 # Up to this many rows one task sorts them.
 ONE_TASK_ROWS = 200_000
@@ -39,7 +39,7 @@ def with_ranks(
     df: DataFrame, ranks: Mapping[str, Rank], one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
     """Add one column per entry of ``ranks``."""
-    rows = checkpointed(df)
+    rows = written(df, "ranked")
     if rows.count() <= one_task_rows:
         return rows.withColumns({name: _window(rank) for name, rank in ranks.items()})
     for name, rank in ranks.items():
@@ -59,10 +59,11 @@ def _with_rank(df: DataFrame, name: str, rank: Rank) -> DataFrame:
     order = [F.col(o) if isinstance(o, str) else o for o in rank.order_by]
     # The place of a row must be the same for both uses below, also if a task is run
     # again after an executor is lost: fix it in the shared folder.
-    placed = checkpointed(
+    placed = written(
         df.repartitionByRange(*groups, *order)
         .sortWithinPartitions(*groups, *order)
-        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_id", F.monotonically_increasing_id()),
+        "places",
     ).withColumn("_task", F.shiftright("_id", ROWS_PER_TASK_BITS))
     counts = placed.groupBy(*rank.partition_by, "_task").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first")

@@ -34,7 +34,7 @@ from orderlens.plans.staging import (
     stg_returns,
     stg_users,
 )
-from orderlens.sources.scratch import run_folder
+from orderlens.sources.scratch import written
 from orderlens.sources.tables import Shop
 
 MARGIN = "if(gross_amount > 0, gross_profit / double(gross_amount), 0d)"
@@ -134,10 +134,7 @@ def item_lines(shop: Shop) -> DataFrame:
 def with_written_lines(shop: Shop) -> Shop:
     """A shop whose item lines are joined once and written to the shared folder, for
     building several marts from them."""
-    lines = item_lines(shop)
-    folder = run_folder(lines.sparkSession, "lines")
-    lines.write.parquet(folder)
-    return shop.replace(lines=lines.sparkSession.read.schema(lines.schema).parquet(folder))
+    return shop.replace(lines=written(item_lines(shop), "lines"))
 
 
 def order_rollup(shop: Shop, p: Params) -> DataFrame:

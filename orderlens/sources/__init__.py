@@ -1,7 +1,7 @@
 """Readers, writers, and the mapping of input tables to retail entities."""
 
 from orderlens.sources.commerce import SALES_PARAMS, shop_from_sales_tables
-from orderlens.sources.scratch import run_folder, shared_folder
+from orderlens.sources.scratch import run_folder, shared_folder, written
 from orderlens.sources.tables import (
     RAW_SCHEMAS,
     Shop,
@@ -22,4 +22,5 @@ __all__ = [
     "shop_from_sales_tables",
     "write_bucketed",
     "write_table",
+    "written",
 ]
