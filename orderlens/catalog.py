@@ -25,7 +25,7 @@ from orderlens.plans.checks import EMAIL_REGEX, staging_checks
 from orderlens.session import tune
 from orderlens.sources.commerce import SALES_PARAMS as P
 from orderlens.sources.commerce import orders_from, shop_from_sales_tables
-from orderlens.sources.scratch import run_folder
+from orderlens.sources.scratch import run_folder, written
 from orderlens.sources.tables import Shop
 from orderlens.streaming.jobs import stream_daily, stream_upsert
 
@@ -806,13 +806,14 @@ def _(s: Shop):
 
 @query("dq_suite")
 def _(s: Shop):
-    """All declared checks of the staging tables."""
+    """All declared checks of the staging tables. Items and returns are read by many
+    checks, so their keys are made once."""
     tables = {
         "stg_users": staging.stg_users(s.users, P),
         "stg_products": staging.stg_products(s.products, P),
         "stg_orders": staging.stg_orders(s.orders, P),
-        "stg_order_items": staging.stg_order_items(s.order_items, P),
-        "stg_returns": staging.stg_returns(s.returns, P),
+        "stg_order_items": written(staging.stg_order_items(s.order_items, P), "items"),
+        "stg_returns": written(staging.stg_returns(s.returns, P), "returns"),
     }
     return dq.run_checks(tables, staging_checks(P.as_of, SALES_DOMAINS))
 

@@ -95,6 +95,8 @@ def merge_into_table(path: str, changes: DataFrame, key: str, partition_by: str)
 
     # Partition values are bounded by the table's layout (months or days).
     gained = _values(changes, partition_by)
+    if not gained:
+        return
     held = _values(target.join(changes.select(key), key, "left_semi"), partition_by)
     kept = target.filter(_among(partition_by, gained | held)).join(
         changes.select(key), key, "left_anti"

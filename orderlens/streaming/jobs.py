@@ -58,8 +58,8 @@ def stream_daily(
     daily = daily_windows(stream, ts_col, measures, lateness)
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        days = batch.withColumn("month", F.trunc("day", "month"))
-        merge_into_table(path, days, "day", "month")
+        days = batch.withColumn("year", F.year("day"))
+        merge_into_table(path, days, "day", "year")
 
     return (
         daily.writeStream.outputMode("update")
