@@ -51,3 +51,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
     return x ^ (x >> U64(31))
+
+
+def training_labels(labels: DataFrame, column: str) -> DataFrame:
+    """(doc_id, label) of the rows a model may learn from: one per document (its largest
+    label if it is repeated), without null labels and held-out documents."""
+    return (
+        labels.filter(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1))
+        .filter(~is_held_out(F.col("doc_id")))
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.max(column).cast("int").alias("label"))
+    )
+
+
+def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """About ``most`` rows at most, chosen by a hash of ``key``, whatever the order."""
+    n = df.count()
+    if n <= most:
+        return df
+    part = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 30))
+    return df.filter(part < int((1 << 30) * most / n))
+
+
+class Remembered(dict):
+    """Values of a function for a bounded number of arguments."""
+
+    def __init__(self, function: Callable, most: int = 300_000):
+        super().__init__()
+        self.function, self.most = function, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[key] = self.function(key)
+        return value
