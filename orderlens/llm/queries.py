@@ -7,18 +7,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.llm import decontaminate, packing, secrets, toxicity
 from orderlens.llm.common import table
 from orderlens.llm.near_dup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"), path_col="source")
+
+
 def op2_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(packing.cut_into_pieces(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_minhash_near_dup": op2_minhash_near_dup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_toxicity": op9_toxicity,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 STATEMENTS: dict[str, str] = {}
