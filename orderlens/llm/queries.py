@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import decontaminate, packing, secrets, toxicity
+from orderlens.llm import decontaminate, embeddings, packing, quality, secrets, toxicity, warc
 from orderlens.llm.common import table
 from orderlens.llm.near_dup import near_duplicates
 
@@ -22,6 +22,21 @@ def op2_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op6_embedding_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -40,9 +55,28 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_minhash_near_dup": op2_minhash_near_dup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op5_warc": op5_warc,
+    "op6_embedding_near_dup": op6_embedding_near_dup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op5_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first,
+         payload_bytes >= 100 AS compared
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN compared AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN compared AND page_id <> first THEN first END AS refers_to
+FROM f
+""",
+}
