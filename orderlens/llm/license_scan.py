@@ -64,11 +64,14 @@ def bigrams_of(text: str) -> set[str]:
 
 
 def _bigrams(words: Column) -> Column:
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(words) - 1),
-        lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)),
+    """Distinct pairs of neighbouring words."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(
+        F.zip_with(
+            F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n),
+            lambda x, y: F.concat_ws(" ", x, y),
+        )
     )
-    return F.array_distinct(F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<string>")))
 
 
 def _guards(template: set[str], others: list[set[str]], threshold: float) -> list[str]:
@@ -131,15 +134,11 @@ def scan(
                      for b in _guards(g, [o for m, o in known.items() if m != n], threshold)})
     guarded = r"(^| )(" + "|".join(map(re.escape, guards)) + r")( |$)"
 
-    part = F.col("part")
-    # Words are at least as many as bigrams, which repeat; a word and a space are two
-    # characters, so a part with too few characters has too few bigrams.
-    short = F.length(part) >= 2 * least
     candidates = (
-        parts(docs)
-        .filter(short)
-        .filter(F.lower(part).rlike(_loosely(guards)))
-        .withColumn("clean", normalised(part))
+        parts(docs.filter(F.lower("text").rlike(_loosely(guards))))
+        # A word and a space are two characters at least.
+        .filter(F.length("part") >= 2 * least)
+        .withColumn("clean", normalised(F.col("part")))
         .filter(F.col("clean").rlike(guarded))
         .withColumn("grams", _bigrams(F.split("clean", " ")))
         .withColumn("n", F.size("grams"))
@@ -164,8 +163,12 @@ def scan(
 
 
 def _loosely(guards: list[str]) -> str:
-    """The guard bigrams in a text that isn't normalised yet: any signs between the words."""
-    return "|".join(r"[^\p{L}\p{N}]+".join(map(re.escape, g.split(" "))) for g in guards)
+    """Finds the guard bigrams in a text that isn't normalised yet, with any signs between
+    the words. The first characters are looked at before the alternatives."""
+    first = "".join(sorted({re.escape(g[0]) for g in guards}))
+    between = r"[^\p{L}\p{N}]+"
+    either = "|".join(between.join(map(re.escape, g.split(" "))) for g in guards)
+    return rf"(?<![a-z0-9])(?=[{first}])(?:{either})"
 
 
 def oracle(templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:

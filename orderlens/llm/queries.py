@@ -7,7 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import decontaminate, embeddings, packing, quality, secrets, toxicity, warc
+from orderlens.llm import (
+    decontaminate,
+    embeddings,
+    license_scan,
+    packing,
+    quality,
+    secrets,
+    token_counts,
+    toxicity,
+    warc,
+)
 from orderlens.llm.common import table
 from orderlens.llm.near_dup import near_duplicates
 
@@ -27,6 +37,10 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(spark, table(spark, folder, "documents"))
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -37,6 +51,11 @@ def op6_embedding_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = token_counts.typical_edits(table(spark, folder, "documents"))
+    return token_counts.counts_through_edits(docs, "edits")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -56,14 +75,17 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_minhash_near_dup": op2_minhash_near_dup,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_license_scan": op4_license_scan,
     "op5_warc": op5_warc,
     "op6_embedding_near_dup": op6_embedding_near_dup,
+    "op7_token_counts": op7_token_counts,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 STATEMENTS: dict[str, str] = {
+    "op4_license_scan": license_scan.oracle(),
     "op5_warc": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
