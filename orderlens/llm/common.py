@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.sources.scratch import shared_folder
+from orderlens.sources.scratch import shared_folder, written
 
 # Rows of a text table that are in a Python worker at one time.
 TEXTS_PER_BATCH = "256"
@@ -53,17 +53,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def training_labels(labels: DataFrame, column: str) -> DataFrame:
-    """(doc_id, label) of the rows a model may learn from: one per document (its largest
-    label if it is repeated), without null labels and held-out documents."""
-    return (
-        labels.filter(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1))
-        .filter(~is_held_out(F.col("doc_id")))
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.max(column).cast("int").alias("label"))
-    )
-
-
 def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     """About ``most`` rows at most, chosen by a hash of ``key``, whatever the order."""
     n = df.count()
@@ -73,6 +62,24 @@ def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.filter(part < int((1 << 30) * most / n))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: int) -> DataFrame:
+    """(doc_id, text, label) of about ``most`` labelled documents, chosen by a hash, without
+    held-out ones. A document has one label, its largest if it is repeated; null labels
+    don't count. The chosen labels are few enough to go to every task, so texts needn't be
+    shuffled to find theirs."""
+    known = (
+        labels.filter(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1))
+        .filter(~is_held_out(F.col("doc_id")))
+        .groupBy(F.col("doc_id").cast("long").alias("_id"))
+        .agg(F.max(column).cast("int").alias("label"))
+    )
+    # At most ``most`` rows of 12 bytes, give or take the hash's spread.
+    chosen = F.broadcast(written(bounded_sample(known, "_id", most), "labels"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    found = texts.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+    return written(found, "labelled")
+
+
 class Remembered(dict):
     """Values of a function for a bounded number of arguments."""
 

@@ -20,17 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import (
-    Remembered,
-    bounded_sample,
-    is_held_out,
-    mapped,
-    training_labels,
-)
-from orderlens.sources.scratch import written
-
-# Labelled documents that the weights are fitted on, at most (about). Feature statistics
-# come from all labelled training documents.
+from orderlens.llm.common import Remembered, is_held_out, labelled_sample, mapped
+
+# Labelled documents that the model is fitted on, at most (about).
 TRAINING_DOCS = 20_000
 # Features with the strongest association that the model may use.
 FEATURES = 20_000
@@ -132,16 +124,12 @@ def train(
     most_docs: int = TRAINING_DOCS,
     most_features: int = FEATURES,
 ) -> Model:
-    """Learn from the labelled documents that aren't held out.
-
-    All of them give the statistics by which features are chosen; a sample of about
-    ``most_docs``, chosen by a hash, gives the weights, so the driver holds a bounded
-    number of short lists. Without two classes the model is the share of toxic ones (0
-    without any label). Runs jobs.
+    """Learn from a sample of about ``most_docs`` labelled documents that aren't held out,
+    chosen by a hash: which features go with toxic ones, and the weights of the strongest.
+    The driver holds short lists of a bounded number of documents. Without two classes
+    the model is the one class (0 without any label). Runs jobs.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    known = training_labels(labels, label_col)
-    labelled = written(texts.join(known, "doc_id").select("doc_id", "text", "label"), "labelled")
+    labelled = labelled_sample(docs, labels, label_col, most_docs)
     totals = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     toxic, harmless = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not harmless:
@@ -162,9 +150,8 @@ def train(
     names = sorted(r["feature"] for r in chosen.collect())
     if not names:
         return Model({}, 0.0, toxic / (toxic + harmless))
-    sample = bounded_sample(labelled, "doc_id", most_docs)
     rows = mapped(
-        sample.select("doc_id", "text", "label"),
+        labelled,
         _featured({name: k for k, name in enumerate(names)}),
         "doc_id long, label int, sentences long, place array<int>, feature array<int>",
     ).toArrow().sort_by([("doc_id", "ascending"), ("sentences", "ascending")])
