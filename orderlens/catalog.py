@@ -14,7 +14,7 @@ from orderlens import functions as fn
 from orderlens.operators import quality as dq
 from orderlens.operators.calendar import spine_of
 from orderlens.operators.history import join_as_of, scd2_apply, scd2_as_of
-from orderlens.operators.incremental import incremental_merge
+from orderlens.operators.incremental import incremental_merge, read_merged
 from orderlens.operators.ranking import Rank, with_ranks
 from orderlens.operators.rollup import distinct, nested_rollup
 from orderlens.operators.windows import first_of, moving_average, previous, running_total
@@ -23,9 +23,10 @@ from orderlens.plans import analyses, core, enrich, finance, marketing, samples,
 from orderlens.plans.checks import EMAIL_REGEX, staging_checks
 from orderlens.session import folder_bytes, tune
 from orderlens.sources.commerce import SALES_PARAMS as P
+from orderlens.sources.commerce import SALES_SCHEMAS
 from orderlens.sources.commerce import orders_from, shop_from_sales_tables
 from orderlens.sources.scratch import run_folder, written
-from orderlens.sources.tables import Shop
+from orderlens.sources.tables import Shop, stream_table
 from orderlens.streaming.jobs import stream_daily, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,12 +49,24 @@ def plain(df: DataFrame, averages: Sequence[str] = ()) -> DataFrame:
     return df.select(*out)
 
 
+# Folders for which a session has been set up.
+_TUNED: set[tuple[str, str]] = set()
+
+
+def _tuned(spark: SparkSession, folder: str) -> None:
+    """Set the session up for the tables in ``folder``, the first time it is used."""
+    run = (spark.sparkContext.applicationId, folder)
+    if run not in _TUNED:
+        tune(spark, folder_bytes(spark, folder, SALES_SCHEMAS))
+        _TUNED.add(run)
+
+
 def query(name: str, averages: Sequence[str] = ()):
     """Register ``shop -> DataFrame`` under ``name``."""
 
     def register(build: Callable[[Shop], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            tune(spark, folder_bytes(spark, folder))
+            _tuned(spark, folder)
             return plain(build(shop_from_sales_tables(spark, folder)), averages)
 
         QUERIES[name] = run
@@ -67,7 +80,7 @@ def table_query(name: str):
 
     def register(build):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            tune(spark, folder_bytes(spark, folder))
+            _tuned(spark, folder)
             return plain(build(lambda t: spark.read.parquet(f"{folder}/{t}.parquet"), folder))
 
         QUERIES[name] = run
@@ -271,7 +284,7 @@ def _(s: Shop):
     orders = s.orders.select("order_id", "status", "total_amount")
     order = [F.desc("total_amount"), F.asc("order_id")]
     ranks = {"overall_rank": Rank(order), "status_rank": Rank(order, ["status"])}
-    return with_ranks(orders, ranks, one_task_rows=0)
+    return with_ranks(orders, ranks, key=["order_id"])
 
 
 @query("win_ntile")
@@ -281,7 +294,7 @@ def _(s: Shop):
         "date_tile": Rank([F.desc("order_date"), F.asc("order_id")], tiles=5),
         "amount_tile": Rank([F.asc("total_amount"), F.asc("order_id")], tiles=7),
     }
-    return with_ranks(orders, ranks, one_task_rows=0)
+    return with_ranks(orders, ranks, key=["order_id"])
 
 
 query("win_rank_over_agg")(
@@ -600,7 +613,7 @@ def _(read, folder):
         stream = spark.readStream.schema(first.schema).parquet(landing)
         run = stream_upsert(stream, table, "order_id", "arrival", "order_month", checkpoint)
         run.awaitTermination()
-    return spark.read.schema(first.schema).parquet(table)
+    return read_merged(spark, table)
 
 
 @table_query("stream_daily_revenue")
@@ -608,12 +621,8 @@ def _(read, folder):
     """Daily figures from the stream of order files."""
     schema = read("orders").schema
     spark = read("orders").sparkSession
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
-    )
-    stream = orders_from(stream.withColumn("ts", c("o_orderdate"))).withColumn(
-        "ts", c("order_date").cast("timestamp")
-    )
+    stream = orders_from(stream_table(spark, folder, "orders", schema))
+    stream = stream.withColumn("ts", c("order_date").cast("timestamp"))
     table, checkpoint = run_folder(spark, "daily"), run_folder(spark, "stream")
     measures = {
         "order_count": F.count("order_id"),
@@ -622,7 +631,7 @@ def _(read, folder):
     }
     run = stream_daily(stream, table, "ts", measures, checkpoint)
     run.awaitTermination()
-    return spark.read.parquet(table).select("day", *measures)
+    return read_merged(spark, table).select("day", *measures)
 
 
 # ---- analyses, documented queries, metrics ----

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderlens.sources.scratch import written
-from orderlens.sources.tables import write_table
 
 
 def changed_rows(
@@ -76,65 +81,147 @@ def newest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
     return df.groupBy(key).agg(newest.alias("_row")).select("_row.*")
 
 
-def merge_into_table(path: str, changes: DataFrame, key: str, partition_by: str) -> None:
-    """Upsert into a parquet table on disk, rewriting only the partitions that gain,
-    change or lose a row.
+# ---- tables on disk ----
+#
+# A merged table is a folder of immutable data folders, one per touched partition and
+# commit, and of commits. A commit is a small file that names the data folder of every
+# partition, and the table's schema; the newest complete one is the table. Readers see a
+# commit as a whole or not at all, and a write that breaks off leaves only folders that no
+# commit names.
 
-    ``changes`` is written to the shared folder first, so it is evaluated once. The
-    dynamic overwrite swaps a partition only after its new files are complete, and a
-    replay after a failure gives the same table. A key whose partition changed is
-    taken out of its old partition.
-    """
-    spark = changes.sparkSession
-    if not table_exists(spark, path):
-        write_table(changes, path, [partition_by], [key])
-        return
-    changes = written(changes, "changes")
-    # Reading with the source's schema gives NULL for columns that old files lack.
-    target = spark.read.schema(changes.schema).parquet(path)
+COMMIT = "number long, schema string, folders map<string,string>"
 
-    # Partition values are bounded by the table's layout (months or days).
-    gained = _values(changes, partition_by)
-    if not gained:
-        return
-    held = _values(target.join(changes.select(key), key, "left_semi"), partition_by)
-    kept = target.filter(_among(partition_by, gained | held)).join(
-        changes.select(key), key, "left_anti"
-    )
-    left_over = held - gained
-    emptied = left_over - _values(kept.filter(_among(partition_by, left_over)), partition_by)
-    merged = kept.unionByName(changes)
-    (
-        merged.hint("rebalance", partition_by)
-        .sortWithinPartitions(partition_by, key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    for value in emptied:
-        _drop_partition(spark, path, partition_by, value)
+
+@dataclass(frozen=True)
+class Commit:
+    number: int
+    schema: StructType
+    folders: dict[str, str]
+
+
+def last_commit(spark: SparkSession, path: str) -> Commit | None:
+    """The newest complete commit of the table at ``path``."""
+    fs, done = _file_system(spark, f"{path}/_commits/*/_SUCCESS")
+    names = [status.getPath().getParent().getName() for status in fs.globStatus(done) or []]
+    if not names:
+        return None
+    row = spark.read.schema(COMMIT).json(f"{path}/_commits/{max(names)}").first()
+    schema = StructType.fromJson(json.loads(row["schema"]))
+    return Commit(row["number"], schema, row["folders"] or {})
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _file_system(spark, path)
-    return fs.exists(folder)
+    """Whether a write of a merged table has been finished at ``path``."""
+    return last_commit(spark, path) is not None
+
 
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """The table as its last commit says. Columns that older files lack are NULL, and
+    columns that the last source didn't have are gone."""
+    commit = last_commit(spark, path)
+    if commit is None:
+        raise FileNotFoundError(f"no complete commit in {path}")
+    return _rows_of(spark, commit, commit.folders)
 
-def _values(df: DataFrame, column: str) -> set:
-    return {row[0] for row in df.select(column).distinct().collect()}
 
+def _rows_of(spark: SparkSession, commit: Commit, partitions: Iterable[str]) -> DataFrame:
+    folders = [commit.folders[p] for p in sorted(partitions)]
+    if not folders:
+        return spark.createDataFrame([], commit.schema)
+    return spark.read.schema(commit.schema).parquet(*folders)
 
-def _among(column: str, values: set):
-    known = [v for v in values if v is not None]
-    condition = F.col(column).isin(known) if known else F.lit(False)
-    return condition | F.col(column).isNull() if None in values else condition
 
+def _partition(column: str) -> Column:
+    """A name for a partition value that any file system can hold; NULL has one too."""
+    text = F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("NULL"))
+    return F.substring(F.sha2(text, 256), 1, 24)
 
-def _drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    fs, folder = _file_system(spark, f"{path}/{column}={name}")
-    fs.delete(folder, True)
+
+def write_merged(df: DataFrame, path: str, key: str, partition_by: str) -> None:
+    """Replace the whole table by ``df``, in one commit. ``df`` may read the table."""
+    _commit(df, path, key, partition_by, last_commit(df.sparkSession, path), replace=True)
+
+
+def merge_into_table(
+    path: str,
+    changes: DataFrame,
+    key: str,
+    partition_by: str,
+    order_col: str | None = None,
+    may_move: bool = True,
+) -> None:
+    """Upsert into a table on disk, rewriting only the partitions that gain, change or
+    lose a row. Runs jobs.
+
+    With ``order_col`` the row with the largest value wins, among ``changes`` and against
+    the stored row (of equal ones the new row); without, ``changes`` must hold a key once.
+    ``may_move`` says that a key may come with another partition than it is stored in; then
+    the stored keys are read to find their partitions. Without it only the partitions of
+    ``changes`` are read. The table takes the columns of ``changes``.
+    """
+    spark = changes.sparkSession
+    if order_col is not None:
+        changes = newest_per_key(changes, key, order_col)
+    old = last_commit(spark, path)
+    if old is None:
+        _commit(changes, path, key, partition_by, None, replace=True)
+        return
+    changes = written(changes, "changes")
+    touched = _partitions(changes, partition_by)
+    if not touched:
+        return
+    if may_move:
+        stored = _rows_of(spark, old, old.folders).select(key, partition_by)
+        touched |= _partitions(stored.join(changes.select(key), key, "left_semi"), partition_by)
+    stored = sync_columns(_rows_of(spark, old, touched & old.folders.keys()), changes)
+    if order_col is None:
+        merged = stored.join(changes.select(key), key, "left_anti").unionByName(changes)
+    else:
+        both = stored.withColumn("_new", F.lit(0)).unionByName(
+            changes.withColumn("_new", F.lit(1))
+        )
+        row = F.struct(*changes.columns)
+        newest = F.max_by(row, F.struct(order_col, "_new"))
+        merged = both.groupBy(key).agg(newest.alias("_row")).select("_row.*")
+    _commit(merged, path, key, partition_by, old, replace=False, touched=touched)
+
+
+def _partitions(df: DataFrame, column: str) -> set[str]:
+    """Partitions of the rows: at most as many as the table's layout has (months, years)."""
+    return {r["p"] for r in df.select(_partition(column).alias("p")).distinct().collect()}
+
+
+def _commit(
+    df: DataFrame,
+    path: str,
+    key: str,
+    partition_by: str,
+    old: Commit | None,
+    replace: bool,
+    touched: Iterable[str] = (),
+) -> None:
+    """Write data folders of the touched partitions, then name them in a new commit."""
+    spark = df.sparkSession
+    number = old.number + 1 if old else 1
+    data = f"{path}/data/{number:012d}-{uuid.uuid4().hex}"
+    (
+        df.withColumn("_part", _partition(partition_by))
+        .hint("rebalance", "_part")
+        .sortWithinPartitions("_part", key)
+        .write.partitionBy("_part")
+        .parquet(data)
+    )
+    fs, made = _file_system(spark, f"{data}/_part=*")
+    new = {
+        status.getPath().getName().partition("=")[2]: status.getPath().toString()
+        for status in fs.globStatus(made) or []
+    }
+    kept = {} if replace or old is None else {
+        p: folder for p, folder in old.folders.items() if p not in set(touched)
+    }
+    row = (number, json.dumps(json.loads(df.schema.json())), kept | new)
+    commit = spark.createDataFrame([row], COMMIT).coalesce(1)
+    commit.write.mode("overwrite").json(f"{path}/_commits/{number:012d}")
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -1,10 +1,10 @@
 """Row numbers and tiles over any number of rows, with or without groups.
 
 A window without a partition key moves all rows to one task, and a window over a
-group moves that group to one task. That is fine for few rows, which are counted
-first. Otherwise the rows are range-partitioned by (group, order), so a large group
-spans many tasks; each task numbers its own sorted rows, and the rows of the same
-group in earlier tasks are added from a small table of counts per task.
+group moves that group to one task. Here the rows are range-partitioned by (group,
+order), so a large group spans many tasks; each task numbers its own sorted rows, and
+the rows of the same group in earlier tasks are added from a small table of counts per
+task. The way is the same for every number of rows.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 
 from orderlens.sources.scratch import written
 
-# Up to this many rows one task sorts them.
-ONE_TASK_ROWS = 200_000
-
 # Fixed value: monotonically_increasing_id() = task number * 2^33 + row in the task.
 ROWS_PER_TASK_BITS = 33
 
@@ -36,25 +33,26 @@ class Rank:
 
 
 def with_ranks(
-    df: DataFrame, ranks: Mapping[str, Rank], one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, ranks: Mapping[str, Rank], key: Sequence[str] = ()
 ) -> DataFrame:
-    """Add one column per entry of ``ranks``."""
-    rows = written(df, "ranked")
-    if rows.count() <= one_task_rows:
-        return rows.withColumns({name: _window(rank) for name, rank in ranks.items()})
+    """Add one column per entry of ``ranks``. Runs a job per rank.
+
+    With ``key`` (columns that are unique and never NULL), the rows are written once, every
+    rank sorts and writes only the key, and the places are joined back by it. Without,
+    each rank sorts and writes whole rows, which suits a single rank.
+    """
+    if not key:
+        for name, rank in ranks.items():
+            df = _with_rank(df, name, rank, df.columns)
+        return df
+    rows = out = written(df, "ranked")
     for name, rank in ranks.items():
-        rows = _with_rank(rows, name, rank)
-    return rows
-
-
-def _window(rank: Rank) -> Column:
-    window = W.partitionBy(*rank.partition_by).orderBy(*rank.order_by)
-    if rank.tiles is None:
-        return F.row_number().over(window).cast("bigint")
-    return F.ntile(rank.tiles).over(window)
+        kept = list(dict.fromkeys([*key, *rank.partition_by]))
+        out = out.join(_with_rank(rows, name, rank, kept).select(*key, name), list(key))
+    return out.select(*df.columns, *ranks)
 
 
-def _with_rank(df: DataFrame, name: str, rank: Rank) -> DataFrame:
+def _with_rank(df: DataFrame, name: str, rank: Rank, kept: Sequence[str]) -> DataFrame:
     groups = [F.col(k) for k in rank.partition_by]
     order = [F.col(o) if isinstance(o, str) else o for o in rank.order_by]
     # The place of a row must be the same for both uses below, also if a task is run
@@ -62,7 +60,8 @@ def _with_rank(df: DataFrame, name: str, rank: Rank) -> DataFrame:
     placed = written(
         df.repartitionByRange(*groups, *order)
         .sortWithinPartitions(*groups, *order)
-        .withColumn("_id", F.monotonically_increasing_id()),
+        .withColumn("_id", F.monotonically_increasing_id())
+        .select(*kept, "_id"),
         "places",
     ).withColumn("_task", F.shiftright("_id", ROWS_PER_TASK_BITS))
     counts = placed.groupBy(*rank.partition_by, "_task").agg(
@@ -86,7 +85,7 @@ def _with_rank(df: DataFrame, name: str, rank: Rank) -> DataFrame:
         on = on & key.eqNullSafe(F.col(f"_g{i}"))
     place = F.col("_before") + F.col("_id") - F.col("_first")
     result = place + 1 if rank.tiles is None else _tile(place, F.col("_total"), rank.tiles)
-    return placed.join(offsets, on).select(*[F.col(c) for c in df.columns], result.alias(name))
+    return placed.join(offsets, on).select(*[F.col(c) for c in kept], result.alias(name))
 
 
 def _tile(place: Column, total: Column, tiles: int) -> Column:
@@ -103,9 +102,8 @@ def row_number(
     order_by: Sequence[str | Column],
     partition_by: Sequence[str] = (),
     out: str = "row_number",
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    return with_ranks(df, {out: Rank(order_by, partition_by)}, one_task_rows)
+    return with_ranks(df, {out: Rank(order_by, partition_by)})
 
 
 def ntile(
@@ -114,6 +112,5 @@ def ntile(
     order_by: Sequence[str | Column],
     partition_by: Sequence[str] = (),
     out: str = "tile",
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    return with_ranks(df, {out: Rank(order_by, partition_by, tiles)}, one_task_rows)
+    return with_ranks(df, {out: Rank(order_by, partition_by, tiles)})

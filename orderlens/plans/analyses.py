@@ -142,8 +142,9 @@ def top_products_by_revenue(products: DataFrame, limit: int = 20) -> DataFrame:
         round_to(c("return_rate") * 100, 2).alias("return_rate_pct"),
         "total_returns",
     )
-    ranked = row_number(sold, by_profit, out="profit_rank")
-    best = ranked.orderBy(F.desc("net_revenue"), "product_id").limit(limit)
+    places = row_number(sold.select("product_id", "gross_profit"), by_profit, out="profit_rank")
+    best = sold.orderBy(F.desc("net_revenue"), "product_id").limit(limit)
+    best = best.join(places.select("product_id", "profit_rank"), "product_id")
     # Whatever precedes one of the best sellers by revenue, in all or in its category,
     # is itself a best seller: these two places need only the limited rows.
     by_revenue = [F.desc("net_revenue"), F.asc("product_id")]

@@ -16,10 +16,16 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.calendar import date_spine
 from orderlens.operators.history import scd2_apply
-from orderlens.operators.incremental import merge_into_table, table_exists
+from orderlens.operators.incremental import (
+    last_commit,
+    merge_into_table,
+    read_merged,
+    write_merged,
+)
 from orderlens.params import Params
 from orderlens.plans import core, finance, marketing
 from orderlens.plans.enrich import with_written_lines
+from orderlens.plans.staging import stamp
 from orderlens.sources.tables import Shop, write_table
 
 HISTORIES = {
@@ -56,40 +62,57 @@ def refresh_orders(
     full_refresh: bool = False,
     changed_orders: DataFrame | None = None,
 ) -> None:
-    """Bring the order facts at ``path`` up to date. After the first load only orders in
-    the lookback and those in ``changed_orders`` are read and joined: the newest date is
-    one small query, and the items are cut down to these orders before any join."""
+    """Bring the order facts at ``path`` up to date. After the first finished load only
+    orders in the lookback, those in ``changed_orders`` and those with a return since the
+    last run's newest order are read and joined: the newest date is one small query, and
+    the items are cut down to these orders before any join."""
     spark = shop.orders.sparkSession
-    if full_refresh or not table_exists(spark, path):
-        write_table(core.fct_orders(shop, p), path, ["order_month"], ["order_id"])
+    if full_refresh or last_commit(spark, path) is None:
+        write_merged(core.fct_orders(shop, p), path, "order_id", "order_month")
         return
-    newest = spark.read.parquet(path).agg(F.max("order_date")).first()[0]
+    newest = read_merged(spark, path).agg(F.max("order_date")).first()[0]
     due = shop.orders
     if newest is not None:
-        due = due.filter(F.col("order_date") >= F.date_sub(F.lit(newest), p.lookback_days))
+        since = F.date_sub(F.lit(newest), p.lookback_days)
+        late = shop.returns.filter(F.col("return_date") >= since).select("order_item_id")
+        named = shop.order_items.join(late, "order_item_id", "left_semi").select("order_id")
         if changed_orders is not None:
-            named = shop.orders.join(changed_orders.select("order_id"), "order_id", "left_semi")
-            due = due.unionByName(named).dropDuplicates(["order_id"])
+            named = named.unionByName(changed_orders.select("order_id"))
+        named = shop.orders.join(named, "order_id", "left_semi")
+        due = due.filter(F.col("order_date") >= since)
+        due = due.unionByName(named).dropDuplicates(["order_id"])
     items = shop.order_items.join(due.select("order_id"), "order_id", "left_semi")
-    changes = core.fct_orders(shop.replace(orders=due, order_items=items), p)
+    returns = shop.returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
+    changes = core.fct_orders(shop.replace(orders=due, order_items=items, returns=returns), p)
     merge_into_table(path, changes, "order_id", "order_month")
 
 
-def latest_version(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version of a versioned table."""
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the complete versions of a versioned table, oldest first."""
     files = spark.sparkContext._jvm.org.apache.hadoop.fs
     fs = files.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     done = fs.globStatus(files.Path(f"{path}/version=*/_SUCCESS")) or []
-    versions = sorted(status.getPath().getParent().toString() for status in done)
+    return sorted(status.getPath().getParent().toString() for status in done)
+
+
+def latest_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version of a versioned table."""
+    versions = _versions(spark, path)
     return spark.read.parquet(versions[-1]) if versions else None
 
 
 def refresh_history(snapshot: DataFrame, path: str, key: str, check: list[str], at: datetime):
     """Write the next version of a history table next to the old one; a reader of the
-    latest complete version never sees a half-written one."""
-    old = latest_version(snapshot.sparkSession, path)
-    history = scd2_apply(old, snapshot, key, check, F.lit(at))
-    write_table(history, f"{path}/version={at:%Y%m%d%H%M%S%f}")
+    latest complete version never sees a half-written one. A run that is repeated with
+    the same time finds its version complete and leaves it as it is; one that broke off
+    is written again from the version before."""
+    spark = snapshot.sparkSession
+    name = f"version={at:%Y%m%d%H%M%S%f}"
+    versions = _versions(spark, path)
+    if any(v.endswith(f"/{name}") for v in versions):
+        return
+    old = spark.read.parquet(versions[-1]) if versions else None
+    write_table(scd2_apply(old, snapshot, key, check, F.lit(at)), f"{path}/{name}")
 
 
 def build(
@@ -114,20 +137,24 @@ def build(
         "dim_date": lambda: core.dim_date(spine, p),
         "fct_order_items": lambda: core.fct_order_items(shop, p),
         "mart_product_performance": lambda: core.mart_product_performance(shop, p),
-        "fct_daily_revenue": lambda: finance.fct_daily_revenue(shop, p),
+        "fct_daily_revenue": lambda: stamp(finance.daily_revenue(facts()), "_updated_at", p),
         "fct_product_profitability": lambda: finance.fct_product_profitability(shop, p),
         "fct_customer_cohorts": lambda: marketing.fct_customer_cohorts(shop, p),
         "fct_customer_segments": lambda: marketing.segments_of(customers(), p),
         "fct_rfm_analysis": lambda: marketing.rfm_of(customers(), p),
     }
 
+    def facts() -> DataFrame:
+        return read_merged(spark, f"{folder}/fct_orders")
+
     def customers() -> DataFrame:
         return spark.read.parquet(f"{folder}/dim_customers").drop("_updated_at")
 
     for name, plan in plans.items():
         layout = LAYOUTS[name]
         write_table(plan(), f"{folder}/{name}", layout.partition_by, layout.sort_by)
-    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in ["fct_orders", *plans]}
+    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in plans}
+    tables["fct_orders"] = facts()
     for name in HISTORIES:
         tables[name] = latest_version(spark, f"{folder}/{name}")
     return tables

@@ -141,9 +141,9 @@ def order_rollup(shop: Shop, p: Params) -> DataFrame:
     """Item lines per order. Amounts cover known products; ``first_return_date``
     covers every returned item."""
     measures = {
-        "item_count": rows("known AND order_item_id IS NOT NULL"),
-        "item_rows": total("if(known, copies, 0)"),
-        "returned_items": rows("known AND returns > 0"),
+        "item_count": distinct("order_item_id", "known"),
+        "item_rows": total("if(known AND units IS NOT NULL, copies, 0)"),
+        "returned_items": distinct("order_item_id", "known AND returns > 0"),
         "total_units": total("if(known, units, NULL)"),
         "total_amount": total("if(known, gross_amount, NULL)"),
         "total_cost": total("total_cost"),
@@ -153,7 +153,7 @@ def order_rollup(shop: Shop, p: Params) -> DataFrame:
         "has_returns": largest("known AND returns > 0"),
         "first_return_date": smallest("first_return_date"),
     }
-    return nested_rollup(item_lines(shop), ["order_id"], [], measures)
+    return nested_rollup(item_lines(shop), ["order_id"], ["order_item_id"], measures)
 
 
 ROLLED_UP = (

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 32_768
 HASHED_PARTITION_BYTES = "64MB"
 
 
@@ -25,16 +26,20 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED_PARTITION_BYTES)
     if input_bytes is not None:
         base = int(conf.get("spark.sql.shuffle.partitions"))
-        wanted = min(-(-input_bytes // BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+        wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
         conf.set(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(base, wanted))
         )
     return spark
 
 
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    """Total size of the files below ``folder``, from the file system's summary."""
+def folder_bytes(spark: SparkSession, folder: str, tables: Sequence[str] = ()) -> int:
+    """Total size of the files below ``folder``, or of the named Parquet tables in it, from
+    the file system's summaries."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(path).getLength()
+    total = 0
+    for name in [f"{folder}/{t}.parquet" for t in tables] or [folder]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(path).getLength()
+    return total

@@ -68,6 +68,17 @@ def read_table(
     return reader.format(fmt).load(path)
 
 
+def stream_table(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
+    """Stream of the Parquet table ``name`` in ``folder``, which may be a single file or a
+    folder of part files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(schema)
+    if fs.getFileStatus(path).isDirectory():
+        return reader.parquet(f"{folder}/{name}.parquet")
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
 def read_shop(spark: SparkSession, folder: str, fmt: str = "csv", prefix: str = "raw_") -> Shop:
     """Read the five raw tables from ``folder/<prefix><name>.<fmt>``."""
     return Shop(
@@ -94,7 +105,8 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def write_bucketed(

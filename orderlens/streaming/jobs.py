@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from orderlens.operators.incremental import merge_into_table, newest_per_key
+from orderlens.operators.incremental import merge_into_table
 
 
 def stream_upsert(
@@ -19,11 +19,12 @@ def stream_upsert(
     partition_by: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Upsert every micro-batch into the table at ``path``. Within a batch the row with
-    the largest ``order_col`` wins; a batch that is replayed gives the same table."""
+    """Upsert every micro-batch into the merged table at ``path``. The row with the largest
+    ``order_col`` wins, in a batch and over batches, in whatever order they arrive; a
+    batch that is replayed gives the same table."""
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        merge_into_table(path, newest_per_key(batch, key, order_col), key, partition_by)
+        merge_into_table(path, batch, key, partition_by, order_col)
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -36,7 +37,8 @@ def stream_upsert(
 def daily_windows(
     stream: DataFrame, ts_col: str, measures: Mapping[str, Column], lateness: str = "3 days"
 ) -> DataFrame:
-    """Figures per day of event time; rows later than ``lateness`` are not counted."""
+    """Figures per day of event time. Rows later than ``lateness`` are not in the figures;
+    ``late_rows`` says how many there were."""
     return (
         stream.withWatermark(ts_col, lateness)
         .groupBy(F.window(ts_col, "1 day").alias("_window"))
@@ -59,7 +61,7 @@ def stream_daily(
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         days = batch.withColumn("year", F.year("day"))
-        merge_into_table(path, days, "day", "year")
+        merge_into_table(path, days, "day", "year", may_move=False)
 
     return (
         daily.writeStream.outputMode("update")
@@ -68,3 +70,13 @@ def stream_daily(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows of the query's recent batches that came too late for their day. To bring such
+    a day up to date, compute it from all its rows and merge it into the table."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -5,9 +5,10 @@ import pytest
 from conftest import ROWS, day, frames, money, rows
 from pyspark.sql import functions as F
 
-from orderlens.plans import core, marketing
+from orderlens.operators.incremental import read_merged
+from orderlens.plans import core, enrich, marketing
 from orderlens.plans.build import build, refresh_orders
-from orderlens.sources import SALES_PARAMS, Shop, run_folder
+from orderlens.sources import SALES_PARAMS, Shop, run_folder, write_table
 
 P = replace(SALES_PARAMS, run_ts=datetime(2001, 8, 2, 6))
 
@@ -33,15 +34,25 @@ def test_build_and_incremental_build(spark, shop):
     tables = build(now, next_run, folder)
     facts = {r["order_id"]: r for r in tables["fct_orders"].collect()}
     assert len(facts) == 11 and facts[110]["subtotal"] == money("6.00")
-    assert not facts[101]["is_returned"]  # outside the lookback
+    assert facts[101]["is_returned"]  # outside the lookback, named by its late return
     assert facts[100]["_updated_at"] == P.run_ts
     assert facts[110]["_updated_at"] == next_run.run_ts
     moved = tables["snap_customers"].filter("user_id = 1")
     assert rows(moved, "country") == [("A",), ("Z",)]
 
+    # The daily figures follow the facts.
+    sums = tables["fct_orders"].agg(F.sum("refund_amount"), F.sum("net_revenue")).first()
+    daily = tables["fct_daily_revenue"].agg(F.sum("total_refunds"), F.sum("net_revenue")).first()
+    assert tuple(sums) == tuple(daily)
+
+    # A run that is repeated gives the same tables.
+    again = build(now, next_run, folder)
+    assert again["snap_customers"].count() == 6
+    assert rows(again["fct_orders"]) == rows(tables["fct_orders"])
+
     changed = spark.createDataFrame([(101,)], "order_id bigint")
     refresh_orders(now, next_run, f"{folder}/fct_orders", changed_orders=changed)
-    facts = spark.read.parquet(f"{folder}/fct_orders")
+    facts = read_merged(spark, f"{folder}/fct_orders")
     assert facts.filter("order_id = 101").first()["is_returned"]
     want = core.fct_orders(now, SALES_PARAMS).filter("order_id IN (101, 104, 110)")
     same = facts.filter(F.col("order_id").isin(101, 104, 110))
@@ -49,7 +60,41 @@ def test_build_and_incremental_build(spark, shop):
 
     refresh_orders(now, next_run, f"{folder}/fct_orders", full_refresh=True)
     whole = core.fct_orders(now, SALES_PARAMS)
-    assert rows(spark.read.parquet(f"{folder}/fct_orders"), *whole.columns) == rows(whole)
+    assert rows(read_merged(spark, f"{folder}/fct_orders"), *whole.columns) == rows(whole)
+
+
+def test_build_after_a_load_that_broke_off(spark, shop):
+    folder = run_folder(spark, "build")
+    core.fct_orders(shop, SALES_PARAMS).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{folder}/fct_orders/data/half")
+    refresh_orders(shop, P, f"{folder}/fct_orders")
+    assert read_merged(spark, f"{folder}/fct_orders").count() == 10
+
+
+def test_full_write_removes_old_partitions_in_every_mode(spark):
+    path = run_folder(spark, "mart")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(spark.createDataFrame([("a", 1), ("b", 2)], "p string, v int"), path, ["p"])
+        write_table(spark.createDataFrame([("b", 3)], "p string, v int"), path, ["p"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(spark.read.parquet(path), "p", "v") == [("b", 3)]
+
+
+def test_null_quantity_and_repeated_items(spark):
+    data = {name: list(held) for name, held in ROWS.items()}
+    data["orders"] = [(1, 1, day(3, 1), "completed", money("10.00"))]
+    data["order_items"] = [
+        ("a", 1, 10, 4, money("1.00")), ("b", 1, 10, None, money("1.00")),
+        ("a", 1, 10, 4, money("1.00")),
+    ]
+    data["returns"] = []
+    held = Shop(**frames(spark, data))
+    customers = enrich.int_customer_orders(held, SALES_PARAMS).filter("user_id = 1")
+    assert rows(customers, "avg_items_per_order") == [(4.0,)]
+    assert rows(enrich.order_rollup(held, SALES_PARAMS), "item_count") == [(2,)]
 
 
 def test_build_needs_a_run_time(shop):

@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.incremental import (
     incremental_merge,
+    last_commit,
     merge_into_table,
     newest_per_key,
+    read_merged,
     sync_columns,
+    table_exists,
+    write_merged,
 )
 from orderlens.sources import run_folder
 
@@ -90,27 +94,21 @@ def with_month(df):
     return df.withColumn("month", F.trunc("day", "month"))
 
 
-def read(spark, path, schema):
-    return spark.read.schema(schema).parquet(path)
+def table(spark, rows_, schema=SCHEMA):
+    return with_month(spark.createDataFrame(rows_, schema))
 
 
 def test_table_merge_rewrites_only_touched_partitions(spark):
-    import glob
-
     path = run_folder(spark, "table")
-    first = spark.createDataFrame(
-        [(1, date(2023, 1, 5), "a"), (2, date(2023, 2, 5), "a"), (3, date(2023, 3, 5), "a")], SCHEMA
-    )
-    merge_into_table(path, with_month(first), "id", "month")
-    before = set(glob.glob(f"{path}/month=*/*.parquet"))
-    assert len({f.split("/")[-2] for f in before}) == 3
-
-    # 2 changes in place, 3 moves to January (its old partition becomes empty), 4 is new.
-    change = with_month(
-        spark.createDataFrame(
-            [(2, date(2023, 2, 6), "b"), (3, date(2023, 1, 9), "b"), (4, date(2023, 4, 1), "b")],
-            SCHEMA,
-        )
+    first = [(1, date(2023, 1, 5), "a"), (2, date(2023, 2, 5), "a"), (3, date(2023, 3, 5), "a")]
+    merge_into_table(path, table(spark, first), "id", "month")
+    before = last_commit(spark, path).folders
+    assert len(before) == 3
+
+    # 2 changes in place, 3 moves to January, 4 is new.
+    change = table(
+        spark,
+        [(2, date(2023, 2, 6), "b"), (3, date(2023, 1, 9), "b"), (4, date(2023, 4, 1), "b")],
     )
     want = [
         (1, date(2023, 1, 5), "a"),
@@ -120,27 +118,55 @@ def test_table_merge_rewrites_only_touched_partitions(spark):
     ]
     for _ in range(2):  # a replayed batch changes nothing
         merge_into_table(path, change, "id", "month")
-        got = read(spark, path, change.schema)
-        assert rows(got, "id", "day", "state") == want
-        assert not glob.glob(f"{path}/month=2023-03-01/*.parquet")
+        assert rows(read_merged(spark, path), "id", "day", "state") == want
+        assert len(last_commit(spark, path).folders) == 3
 
     # A batch for April leaves the files of the other months alone.
-    kept = {f for f in glob.glob(f"{path}/month=*/*.parquet") if "2023-04" not in f}
-    late = with_month(spark.createDataFrame([(5, date(2023, 4, 2), "c")], SCHEMA))
-    merge_into_table(path, late, "id", "month")
-    assert kept <= set(glob.glob(f"{path}/month=*/*.parquet"))
-    assert read(spark, path, late.schema).count() == 5
+    kept = set(last_commit(spark, path).folders.items())
+    late = table(spark, [(5, date(2023, 4, 2), "c")])
+    merge_into_table(path, late, "id", "month", may_move=False)
+    assert len(kept & set(last_commit(spark, path).folders.items())) == 2
+    assert read_merged(spark, path).count() == 5
 
 
-def test_table_merge_with_new_column_and_null_partition(spark):
+def test_table_merge_with_changed_columns_and_null_partition(spark):
     path = run_folder(spark, "table")
-    first = with_month(
-        spark.createDataFrame([(1, date(2023, 1, 5), "a"), (2, None, "a")], SCHEMA)
-    )
+    first = table(spark, [(1, date(2023, 1, 5), "a"), (2, None, "a")])
     merge_into_table(path, first, "id", "month")
-    change = with_month(
-        spark.createDataFrame([(2, date(2023, 1, 7), "b")], SCHEMA).withColumn("extra", F.lit(7))
-    )
+    change = table(spark, [(2, date(2023, 1, 7), "b")]).withColumn("extra", F.lit(7))
     merge_into_table(path, change, "id", "month")
-    got = read(spark, path, change.schema)
+    got = read_merged(spark, path)
     assert rows(got, "id", "state", "extra") == [(1, "a", None), (2, "b", 7)]
+    merge_into_table(path, change.drop("state"), "id", "month")
+    assert read_merged(spark, path).columns == ["id", "day", "month", "extra"]
+
+
+def test_moved_key_with_a_partition_name_that_needs_escaping(spark):
+    path = run_folder(spark, "table")
+    schema = "id int, part string"
+    merge_into_table(path, spark.createDataFrame([(1, "x:1/%="), (2, "x")], schema), "id", "part")
+    merge_into_table(path, spark.createDataFrame([(1, "y")], schema), "id", "part")
+    assert rows(read_merged(spark, path)) == [(1, "y"), (2, "x")]
+
+
+def test_newest_row_wins_over_batches(spark):
+    path = run_folder(spark, "table")
+    schema = "id int, version int, part string"
+    for batch in ([(1, 5, "a"), (2, 1, "a")], [(1, 3, "b"), (2, 2, "b")], [(1, 4, "a")]):
+        changes = spark.createDataFrame(batch, schema)
+        merge_into_table(path, changes, "id", "part", order_col="version")
+    assert rows(read_merged(spark, path)) == [(1, 5, "a"), (2, 2, "b")]
+
+
+def test_write_that_broke_off_is_not_a_table(spark):
+    path = run_folder(spark, "table")
+    first = table(spark, [(1, date(2023, 1, 5), "a")])
+    first.write.parquet(f"{path}/data/half")
+    first.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").json(
+        f"{path}/_commits/000000000001"
+    )
+    assert not table_exists(spark, path)
+    merge_into_table(path, first, "id", "month")
+    assert read_merged(spark, path).count() == 1
+    write_merged(read_merged(spark, path).withColumn("state", F.lit("z")), path, "id", "month")
+    assert rows(read_merged(spark, path), "state") == [("z",)]

@@ -95,22 +95,20 @@ def test_one_row_has_no_join(sales):
     assert df.first()["b"] == 10
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 10**6])
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 6, 1003])
 @pytest.mark.parametrize("tiles", [1, 3, 5])
-def test_ntile_equals_window(spark, n, tiles, one_task_rows):
+def test_ntile_equals_window(spark, n, tiles):
     df = spark.range(n).selectExpr("id", "if(id % 4 = 0, NULL, id % 3) AS v")
     order = [F.desc_nulls_last("v"), F.asc("id")]
-    got = ntile(df, tiles, order, out="t", one_task_rows=one_task_rows)
+    got = ntile(df, tiles, order, out="t")
     want = df.withColumn("t", F.ntile(tiles).over(W.orderBy(*order)))
     assert rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 10**6])
-def test_row_number_in_large_and_null_groups(spark, one_task_rows):
+def test_row_number_in_large_and_null_groups(spark):
     df = spark.range(2000).selectExpr("id", "if(id % 3 = 0, NULL, if(id % 3 = 1, 1, id % 7)) AS g")
     order = [F.desc("id")]
-    got = row_number(df, order, ["g"], out="r", one_task_rows=one_task_rows)
+    got = row_number(df, order, ["g"], out="r")
     want = df.withColumn("r", F.row_number().over(W.partitionBy("g").orderBy(*order)))
     assert rows_of(got) == rows_of(want)
 
@@ -119,7 +117,7 @@ def test_distributed_rank_uses_many_tasks(spark):
     df = spark.range(20000).selectExpr("id", "1 AS g")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        ranked = row_number(df, ["id"], ["g"], one_task_rows=0)
+        ranked = row_number(df, ["id"], ["g"])
         assert ranked.rdd.getNumPartitions() > 1
         assert ranked.filter("row_number <> id + 1").count() == 0
     finally:

@@ -3,8 +3,11 @@ from datetime import date, datetime
 from conftest import rows
 from pyspark.sql import functions as F
 
+from orderlens.catalog import QUERIES
+from orderlens.operators.incremental import read_merged
 from orderlens.sources import run_folder
-from orderlens.streaming.jobs import stream_daily, stream_upsert
+from orderlens.sources.commerce import SALES_SCHEMAS
+from orderlens.streaming.jobs import late_rows, stream_daily, stream_upsert
 
 ORDER = "order_id int, version int, day date, state string"
 
@@ -22,7 +25,7 @@ def test_stream_upsert_over_several_arrivals(spark):
         stream = spark.readStream.schema(ORDER).parquet(landing)
         stream = stream.withColumn("month", F.trunc("day", "month"))
         stream_upsert(stream, table, "order_id", "version", "month", checkpoint).awaitTermination()
-        return rows(spark.read.schema(stream.schema).parquet(table), "order_id", "version", "state")
+        return rows(read_merged(spark, table), "order_id", "version", "state")
 
     jan, feb = date(2023, 1, 5), date(2023, 2, 5)
     assert arrive((1, 1, jan, "open"), (1, 2, jan, "paid"), (2, 1, feb, "open")) == [
@@ -35,6 +38,9 @@ def test_stream_upsert_over_several_arrivals(spark):
         (2, 2, "moved"),
         (3, 1, "open"),
     ]
+    # What arrives out of order doesn't replace what is newer.
+    assert arrive((1, 1, feb, "late"), (3, 0, jan, "late"))[0] == (1, 2, "paid")
+    assert rows(read_merged(spark, table), "order_id").count((3,)) == 1
 
 
 def test_stream_daily_drops_only_what_is_too_late(spark):
@@ -42,12 +48,15 @@ def test_stream_daily_drops_only_what_is_too_late(spark):
     landing, table = run_folder(spark, "landing"), run_folder(spark, "daily")
     checkpoint = run_folder(spark, "stream")
     measures = {"orders": F.count("order_id"), "revenue": F.sum("amount")}
+    dropped = []
 
     def arrive(*new):
         land(spark, landing, list(new), schema)
         stream = spark.readStream.schema(schema).parquet(landing)
-        stream_daily(stream, table, "ts", measures, checkpoint).awaitTermination()
-        got = spark.read.parquet(table).select(F.dayofmonth("day"), "orders", "revenue")
+        query = stream_daily(stream, table, "ts", measures, checkpoint)
+        query.awaitTermination()
+        dropped.append(late_rows(query))
+        got = read_merged(spark, table).select(F.dayofmonth("day"), "orders", "revenue")
         return sorted(tuple(r) for r in got.collect())
 
     def at(day, hour=12):
@@ -60,3 +69,14 @@ def test_stream_daily_drops_only_what_is_too_late(spark):
     ]
     # The 9th is inside three days of the newest row, the 2nd is not.
     assert arrive((4, at(9, 1), 5), (5, at(2), 99)) == [(1, 1, 10), (9, 2, 25), (10, 1, 1)]
+    assert dropped == [0, 1]
+
+
+def test_daily_query_on_a_table_of_several_files(spark, tmp_path):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    orders.repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    for name in SALES_SCHEMAS.keys() - {"orders"}:
+        (tmp_path / f"{name}.parquet").mkdir()
+    got = QUERIES["stream_daily_revenue"](spark, str(tmp_path))
+    want = QUERIES["stream_daily_revenue"](spark, "/root/testdata/sf0.001")
+    assert rows(got) == rows(want)
