@@ -11,6 +11,7 @@ of a template's few guard bigrams cannot reach it.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping
 
@@ -78,7 +79,7 @@ def _guards(template: set[str], others: list[set[str]], threshold: float) -> lis
     """Bigrams of which a part must hold one to reach the threshold: it shares at least
     m t / (2 - t) of the m, so it can't miss all of any m - that + 1. Those that fewest
     templates share come first."""
-    must = int(-(-len(template) * threshold // (2 - threshold)))
+    must = math.ceil(len(template) * threshold / (2 - threshold) - 1e-9)
     rare = sorted(template, key=lambda b: (sum(b in o for o in others), b))
     return rare[: len(template) - must + 1]
 
@@ -128,8 +129,9 @@ def scan(
     if not known:
         known = {"": {"\0"}}
     sizes = {len(g) for g in known.values()}
-    least = min(sizes) * threshold / (2 - threshold)
-    most = max(sizes) * (2 - threshold) / threshold
+    # The bounds only prune, so they leave room for rounding.
+    reach = (2 - threshold) / threshold + 1e-9
+    least, most = min(sizes) / reach, max(sizes) * reach
     guards = sorted({b for n, g in known.items()
                      for b in _guards(g, [o for m, o in known.items() if m != n], threshold)})
     guarded = r"(^| )(" + "|".join(map(re.escape, guards)) + r")( |$)"
@@ -151,7 +153,7 @@ def scan(
                  F.array(*map(F.lit, g)).alias("template_grams")) for n, m, g in rows
     ])
     n, m = F.col("n"), F.col("t.m")
-    in_size = (n * (2 - threshold) >= m * threshold) & (m * (2 - threshold) >= n * threshold)
+    in_size = (n * reach >= m) & (m * reach >= n)
     return (
         candidates.withColumn("t", F.explode(listed))
         .filter(in_size)

@@ -1,0 +1,229 @@
+"""Secrets, licences, benchmark passages and token counts."""
+
+import hashlib
+import random
+
+import duckdb
+import pyarrow.parquet as pq
+import pytest
+
+from orderlens.llm import decontaminate, license_scan, secrets, token_counts
+
+from .conftest import documents, prose
+
+
+def key(k):
+    return hashlib.sha1(str(k).encode()).hexdigest()
+
+
+# ---- secrets ----
+
+
+@pytest.fixture(scope="module")
+def with_secrets(spark):
+    texts = []
+    for k in range(60):
+        filler = prose(k, 12)
+        texts += [
+            f'{filler} token = "{key(k)}" {filler}',
+            f"{filler} anthrererendanhe{'abcdefghij'[k % 10]} {filler}",
+            f"{filler} 41948451{k:08d} {filler}",
+        ]
+    return documents(spark, texts), texts
+
+
+def test_forest_keeps_secrets_and_removes_false_findings(with_secrets):
+    docs, texts = with_secrets
+    rows = secrets.scan(docs).collect()
+    assert {r["candidate"] for r in rows if r["is_secret"]} == {key(k) for k in range(60)}
+    assert len(rows) == 180
+    for r in rows:
+        assert texts[r["doc_id"] - 1].startswith(r["candidate"], r["start"])
+        assert (r["probability"] >= 0.5) == r["is_secret"]
+
+
+def test_unlabelled_secret_without_a_name_is_found_by_its_shape(spark, with_secrets):
+    docs, _ = with_secrets
+    more = docs.unionByName(documents(spark, [f"the value \"{key('x')}\" here"], first=900))
+    found = secrets.scan(more).filter("is_secret AND doc_id = 900").collect()
+    assert [r["candidate"] for r in found] == [key("x")]
+
+
+def test_redaction_keeps_rows_and_masks_every_occurrence(spark, with_secrets):
+    docs, _ = with_secrets
+    twice = f'token = "{key(1)}" and {key(1)}'
+    docs = docs.unionByName(
+        documents(spark, [twice, None, "", twice], ids=[None, None, 901, None])
+    )
+    clean = secrets.redact(docs, secrets.scan(docs))
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    assert not [r for r in clean.filter("text IS NOT NULL").collect()
+                if any(key(k) in r["text"] for k in range(60))]
+    masked = clean.filter("doc_id IS NULL AND text IS NOT NULL").collect()
+    assert [r["text"] for r in masked] == ['token = "[SECRET]" and [SECRET]'] * 2
+
+
+def test_secrets_in_tables_without_findings(spark):
+    assert secrets.scan(documents(spark, [])).collect() == []
+    assert secrets.scan(documents(spark, [None, "", "short words"])).collect() == []
+    only = secrets.scan(documents(spark, [f'token = "{key(1)}"'])).collect()
+    assert [r["is_secret"] for r in only] == [True]
+
+
+# ---- licences ----
+
+
+def test_licences_equal_sql_without_pruning(spark, folder):
+    lines = [
+        "LICENSED under the -- apache license, version 2.0", "Released under the MIT licence.",
+        "x\n\nReleased under the MIT License.\n\ny", None, "", "MIT", "\n\n\n",
+        "This work is licensed under the GNU General Public License version 3 or later",
+        "Licensed under the Apache License, Version 2.0. " * 3,
+    ]
+    table = pq.read_table(f"{folder}/documents.parquet").select(["doc_id", "text"])
+    docs = spark.createDataFrame(table.to_pandas()).unionByName(
+        documents(spark, lines, ids=[*range(10**6, 10**6 + 8), None]).select("doc_id", "text")
+    )
+    got = sorted(map(tuple, license_scan.scan(spark, docs).collect()), key=repr)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = sorted(con.sql(license_scan.oracle()).fetchall(), key=repr)
+    assert got == want and len(got) > 4
+
+
+def test_guards_are_in_every_part_that_reaches_the_threshold():
+    rng = random.Random(2)
+    templates = list(map(license_scan.bigrams_of, license_scan.TEMPLATES.values()))
+    for grams in templates:
+        guards = set(license_scan._guards(grams, [t for t in templates if t != grams], 0.8))
+        for _ in range(50):
+            shared = set(rng.sample(sorted(grams), rng.randint(1, len(grams))))
+            if 2 * len(shared) / (len(shared) + len(grams)) >= 0.8:
+                assert shared & guards
+
+
+def test_licences_without_templates_or_rows(spark):
+    docs = documents(spark, ["Released under the MIT License."])
+    assert license_scan.scan(spark, docs, {}).collect() == []
+    assert license_scan.scan(spark, docs.limit(0)).collect() == []
+    assert [r["dice"] for r in license_scan.scan(spark, docs).collect()] == [1.0]
+
+
+# ---- benchmark passages ----
+
+
+def upper(text):
+    return text.translate({c: c - 32 for c in range(97, 123)})
+
+
+def test_leaks_equal_brute_force(spark, folder):
+    table = pq.read_table(f"{folder}/documents.parquet")
+    items = pq.read_table(f"{folder}/benchmark.parquet")
+    known = dict(zip(items["item_id"].to_pylist(), items["text"].to_pylist(), strict=True))
+    texts = dict(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True))
+    some = sorted(known)
+    for n, i in enumerate(some):
+        texts[10**6 + n] = f"{prose(n, 40 + 11 * n)}\n{upper(known[i])}!! {prose(n + 1, n)}"
+    docs = documents(spark, list(texts.values()), ids=list(texts))
+    got = decontaminate.leaks(
+        docs, spark.read.parquet(f"{folder}/benchmark.parquet"), items_per_index=15
+    ).collect()
+
+    def grams(text):
+        w = decontaminate.words(text)
+        return {tuple(w[k : k + 4]) for k in range(len(w) - 3)}
+
+    sets = {i: grams(t) for i, t in known.items()}
+    want = {(d, i) for d, t in texts.items() if (g := grams(t)) for i, s in sets.items()
+            if s and len(s & g) >= 0.8 * len(s)}
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert {(10**6 + n, i) for n, i in enumerate(some)} <= want
+    assert all(r["score"] >= 0.6 and r["passages"] >= 1 for r in got)
+
+
+def test_block_max_pruning_loses_nothing(folder):
+    items = pq.read_table(f"{folder}/benchmark.parquet").to_pylist()
+    index = decontaminate.build_index([(r["item_id"], r["text"]) for r in items])
+    texts = [decontaminate.words(t) for t in
+             pq.read_table(f"{folder}/documents.parquet")["text"].to_pylist()[:60]]
+    for threshold in (0.2, 0.6):
+        got = {(t, at, i): s for t, at, i, s in decontaminate.retrieve(index, texts, threshold)}
+        for t, words in enumerate(texts):
+            for at in range(0, len(words), index.step):
+                passage = {index.terms.get(w) for w in words[at : at + 2 * index.step]}
+                scores = {}
+                for lists in index.postings:
+                    for term in sorted(passage & lists.keys()):
+                        for i, share in lists[term]:
+                            scores[i] = scores.get(i, 0.0) + share
+                for i, s in scores.items():
+                    if abs(s - threshold) > 1e-9:
+                        assert ((t, at, i) in got) == (s > threshold)
+
+
+def test_leaks_of_odd_rows(spark):
+    items = spark.createDataFrame([(1, None), (2, ""), (None, "a b c d. e f")],
+                                  "item_id long, text string")
+    docs = documents(spark, [None, "", "x a b c d e f", "a b c"], ids=[1, 2, None, 4])
+    got = decontaminate.leaks(docs, items).collect()
+    assert [(r["doc_id"], r["item_id"], r["answer_overlap"]) for r in got] == [(None, None, 1.0)]
+    assert decontaminate.leaks(docs.limit(0), items).collect() == []
+    assert decontaminate.leaks(docs, items.limit(0)).collect() == []
+
+
+# ---- token counts ----
+
+
+def test_counts_follow_random_edits(folder):
+    count = token_counts.Counter(*token_counts._vocabulary(None, None))
+    rng = random.Random(5)
+    texts = pq.read_table(f"{folder}/documents.parquet")["text"].to_pylist()[:80]
+    for text in [*texts, "", "a", " \n ", "x" * 3000, "a  b\n\n c " * 300]:
+        tree = token_counts.build_tree(text, count, 64)
+        assert (tree.tokens, tree.chars) == (count(text), len(text))
+        for _ in range(5):
+            start, removed = rng.randrange(-1, len(text) + 2), rng.choice([0, 1, 5, 200])
+            inserted = rng.choice(["", " ", "  ", "\n", " b ", "word. next", text[:300]])
+            text, tree, encoded = token_counts.edit(
+                text, tree, count, start, removed, inserted, 64, 256
+            )
+            assert (tree.tokens, tree.chars) == (count(text), len(text))
+            assert encoded <= len(text)
+
+
+def test_only_touched_regions_are_encoded_again():
+    count = token_counts.Counter(*token_counts._vocabulary(None, None))
+    text = prose(3, 20_000)
+    tree = token_counts.build_tree(text, count)
+    for start in (0, 50_000, len(text)):
+        text, tree, encoded = token_counts.edit(text, tree, count, start, 10, "new words")
+        assert encoded < 2500 and tree.tokens == count(text)
+
+
+def test_edits_of_a_table(spark):
+    docs = documents(spark, ["one two three", None, "", "same"], ids=[1, 2, 3, None])
+    trees = token_counts.build(docs)
+    edits = spark.createDataFrame(
+        [(1, 2, 0, 3, "ten"), (1, 1, 4, 3, "2"), (2, 1, 5, 5, "new text"), (9, 1, 0, 0, "x"),
+         (None, 1, 0, 4, "x"), (3, 1, None, None, None)],
+        "doc_id long, seq int, start long, removed long, inserted string",
+    )
+    got = {r["doc_id"]: r for r in token_counts.apply_edits(trees, edits).collect()}
+    count = token_counts.Counter(*token_counts._vocabulary(None, None))
+    want = {1: "ten 2 three", 2: "new text", 3: "", None: "same"}
+    assert {i: r["text"] for i, r in got.items()} == want
+    assert {i: r["n_tokens"] for i, r in got.items()} == {i: count(t) for i, t in want.items()}
+    assert all(sum(r["leaf_tokens"]) == r["n_tokens"] for r in got.values())
+    assert token_counts.build(docs.limit(0)).collect() == []
+
+
+def test_query_counts_equal_whole_counts(spark, folder):
+    docs = token_counts.typical_edits(spark.read.parquet(f"{folder}/documents.parquet"))
+    count = token_counts.Counter(*token_counts._vocabulary(None, None))
+    got = {r["doc_id"]: r for r in token_counts.counts_through_edits(docs, "edits").collect()}
+    for r in docs.collect():
+        text = r["text"]
+        for e in r["edits"]:
+            text = text[: e["start"]] + e["inserted"] + text[e["start"] + e["removed"] :]
+        row = got[r["doc_id"]]
+        assert (row["n_tokens"], row["n_tokens_after"]) == (count(r["text"]), count(text))
