@@ -21,7 +21,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (
         both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    ).distinct()
+    )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -19,7 +19,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import GOLDEN, U64, checkpointed, mapped, mix, utf8
@@ -35,9 +34,9 @@ BANDS = 32
 CACHED_WORDS = 300_000
 # Texts whose sets a worker remembers while it confirms pairs.
 TEXTS_REMEMBERED = 64
-# Pairs of two components that one round confirms: 1, then more, then all that are left.
-TAKEN_FACTOR = 16
-MOST_TAKEN = 16
+# Texts of one side of a block, on average, and shared shingles that are compared at one time.
+BLOCK = 256
+COLUMNS = 8192
 # Hashes that are made at one time when a small set needs many rounds.
 HASHES_AT_ONCE = 1536
 
@@ -167,21 +166,24 @@ def _confirmer(numerator: int, denominator: int):
     return confirm
 
 
-def _agreeing(left: str, right: str) -> Column:
-    """Coordinates in which two sketches agree, by their two bits."""
+def _agreeing(x: Column, y: Column) -> Column:
+    """Coordinates in which two sketches agree, by their bit planes."""
     words = COORDINATES // 64
     differ = [
-        F.bit_count(
-            F.col(f"{left}.planes")[i].bitwiseXOR(F.col(f"{right}.planes")[i])
-            .bitwiseOR(
-                F.col(f"{left}.planes")[i + words].bitwiseXOR(F.col(f"{right}.planes")[i + words])
-            )
-        )
+        F.bit_count(x[i].bitwiseXOR(y[i]).bitwiseOR(x[i + words].bitwiseXOR(y[i + words])))
         for i in range(words)
     ]
     return F.lit(COORDINATES) - sum(differ[1:], differ[0])
 
 
+def _fewest(numerator: int, denominator: int) -> int:
+    """Agreeing coordinates that a linked pair falls short of by six standard deviations
+    only. Of coordinates that differ, a quarter agrees in two bits."""
+    j = numerator / denominator
+    least = j - 6 * (j * (1 - j) / COORDINATES) ** 0.5
+    return int(COORDINATES * (least + (1 - least) / 4))
+
+
 def near_duplicates(
     docs: DataFrame, numerator: int = 85, denominator: int = 100, id_col: str = "doc_id",
     text_col: str = "text",
@@ -198,12 +200,11 @@ def near_duplicates(
     ignored. Runs jobs.
 
     How it stays linear and whole: equal sets are one class, so copies cost one row. Every
-    class is first confirmed against the smallest class of each of its buckets, which joins
-    nearly all of a large group. After that only pairs of *different* components that share
-    a bucket are left. They are taken from the side of the smaller components, cut by the
-    sketches' agreement (six standard deviations below the threshold), and confirmed in
-    rounds, the most similar pair of two components first, until no pair is left; pairs
-    that rounds have joined in the meantime need no check.
+    class is first confirmed against two members of each of its buckets, which joins nearly
+    all of a large group. After that only classes of *different* components that share a
+    bucket are left. Those whose sketches agree well enough with another's (six standard
+    deviations below the threshold) are compared in pairs of blocks, on their full sets;
+    a block yields the edges that connect its links, so no list of pairs is ever made.
     """
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
@@ -222,11 +223,12 @@ def near_duplicates(
         first.select("class_id", F.col("n_shingles").alias("n"), "keys", "planes"), "classes"
     )
     banded = sketched.select("class_id", "n", F.explode("keys").alias("key"))
+    # Two members of each bucket by a hash: different buckets of a group have different ones.
+    member, drawn = F.struct("class_id", "n"), F.xxhash64("class_id", "key")
     hubs = (
         banded.groupBy("key")
-        .agg(F.min(F.struct("class_id", "n")).alias("hub"), F.max("class_id").alias("last"))
-        .filter("hub.class_id < last")
-        .select("key", "hub")
+        .agg(F.min_by(member, drawn).alias("hub"), F.max_by(member, drawn).alias("second"))
+        .filter("hub.class_id <> second.class_id")
     )
     shared = written(banded.join(hubs, "key"), "buckets")
     material = written(
@@ -244,45 +246,57 @@ def near_duplicates(
             _confirmer(numerator, denominator), "a long, b long",
         )
 
-    ratio = (F.lit(numerator), F.lit(denominator))
+    # Every class of a bucket with the bucket's two hubs.
+    hub = F.explode(F.array("hub", "second")).alias("hub")
     stars = (
-        shared.filter("class_id <> hub.class_id")
-        .filter(_similar_sizes(F.col("n"), F.col("hub.n"), *ratio))
-        .select(F.col("class_id").alias("a"), F.col("hub.class_id").alias("b"))
+        shared.select("class_id", "n", hub)
+        .filter("class_id <> hub.class_id")
+        .filter(_similar_sizes(F.col("n"), F.col("hub.n"), numerator, denominator))
+        .select(
+            F.least("class_id", "hub.class_id").alias("a"),
+            F.greatest("class_id", "hub.class_id").alias("b"),
+        )
         .distinct()
     )
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sketches agree often enough."""
+        x = sketched.select(F.col("class_id").alias("a"), F.col("planes").alias("x"))
+        y = sketched.select(F.col("class_id").alias("b"), F.col("planes").alias("y"))
+        agree = _agreeing(F.col("x"), F.col("y"))
+        return (
+            pairs.join(x, "a").join(y, "b")
+            .filter(agree >= _fewest(numerator, denominator)).select("a", "b").distinct()
+        )
+
     # Rows that share an id are one vertex.
     same_id = (
         usable.join(classes, "digest").groupBy("doc_id")
         .agg(F.min("class_id").alias("a"), F.max("class_id").alias("b"))
         .filter("a < b").select("a", "b")
     )
-    links = written(confirmed(stars).unionByName(same_id), "links")
+    links = written(confirmed(promising(stars)).unionByName(same_id), "links")
     joined = checkpointed(components(links))
 
-    rest = written(_cross_pairs(shared, sketched, joined, numerator, denominator), "pairs")
-    taken = 1
-    while True:
-        todo = _across(rest, joined)
-        if taken > MOST_TAKEN:
-            chosen = todo
-        else:
-            place = W.partitionBy("ca", "cb").orderBy(F.desc("agree"), "a", "b")
-            chosen = todo.withColumn("_n", F.row_number().over(place)).filter(F.col("_n") <= taken)
-        chosen = written(chosen.select("a", "b"), "chosen")
-        if chosen.isEmpty():
-            break
-        links = links.unionByName(written(confirmed(chosen), "links"))
-        joined = checkpointed(components(links))
-        if taken > MOST_TAKEN:
-            break
-        rest = written(
-            rest.join(chosen, ["a", "b"], "left_anti"), "pairs"
-        )
-        taken *= TAKEN_FACTOR
+    # What is left across components is compared in blocks, which yield links, not pairs.
+    blocks = _blocks_across(shared, sketched, joined, numerator, denominator)
+    texts_of = material.withColumnRenamed("doc_id", "class_id")
+    compared = (
+        blocks.join(texts_of, "class_id")
+        .repartition("group", "x", "y")
+        .sortWithinPartitions("group", "x", "y")
+        .select("group", "x", "y", "class_id", "is_x", "text")
+    )
+    found = written(
+        mapped(compared, _block_confirmer(numerator, denominator), "a long, b long"), "links"
+    )
+    if not found.isEmpty():
+        joined = checkpointed(components(links.unionByName(found)))
 
     members = rows.join(classes, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id")
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
     )
     component = F.coalesce("component", "class_id")
     return (
@@ -297,27 +311,21 @@ def near_duplicates(
     )
 
 
-def _similar_sizes(n: Column, m: Column, numerator: Column, denominator: Column) -> Column:
-    return denominator * F.least(n, m) >= numerator * F.greatest(n, m)
-
-
-def _across(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components, with the components (ca < cb)."""
-    for end in ("a", "b"):
-        of = joined.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
-        pairs = pairs.join(of, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
-    return (
-        pairs.filter("_a <> _b")
-        .withColumns({"ca": F.least("_a", "_b"), "cb": F.greatest("_a", "_b")})
-        .drop("_a", "_b")
-    )
+def _similar_sizes(n: Column, m: Column, numerator: int, denominator: int) -> Column:
+    return F.lit(denominator) * F.least(n, m) >= F.lit(numerator) * F.greatest(n, m)
 
 
-def _cross_pairs(
+def _blocks_across(
     shared: DataFrame, sketched: DataFrame, joined: DataFrame, numerator: int, denominator: int
 ) -> DataFrame:
-    """(a, b, agree) of all classes in different components that share a bucket and may be
-    similar. Within a bucket, the members outside its largest component meet all members."""
+    """Classes of different components that share a bucket and may be similar, dealt to
+    pairs of blocks: group, x, y, class_id, is_x.
+
+    In a bucket, the members outside its largest component (x) meet all members (y). Buckets
+    with the same largest component are one group, so a class is there once however many
+    buckets it shares. Semi-joins find the classes that have a promising partner, and a
+    hash deals them to blocks of about ``BLOCK``; every block of x meets every block of y.
+    """
     of = joined.withColumnRenamed("id", "class_id")
     members = shared.select("class_id", "n", "key").join(of, "class_id", "left")
     members = members.withColumn("component", F.coalesce("component", "class_id"))
@@ -325,29 +333,124 @@ def _cross_pairs(
     largest = (
         counts.groupBy("key")
         .agg(
-            F.max_by("component", F.struct("size", "component")).alias("largest"),
+            F.max_by("component", F.struct("size", "component")).alias("group"),
             F.count(F.lit(1)).alias("parts"),
         )
         .filter("parts > 1")
-        .select("key", "largest")
+        .select("key", "group")
     )
     split = members.join(largest, "key").join(sketched.select("class_id", "planes"), "class_id")
     split = written(split, "split")
-    x, y = split.filter("component <> largest").alias("x"), split.alias("y")
-    j = numerator / denominator
-    least = j - 6 * (j * (1 - j) / COORDINATES) ** 0.5
-    agree = _agreeing("x", "y")
-    # Of coordinates that differ, a quarter agrees in two bits.
-    fewest = int(COORDINATES * (least + (1 - least) / 4))
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).filter(
-        (F.col("x.component") != F.col("y.component"))
-        & _similar_sizes(
-            F.col("x.n"), F.col("y.n"), F.lit(numerator), F.lit(denominator)
+    x, y = split.filter("component <> group").alias("x"), split.alias("y")
+    promising = (
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.component") != F.col("y.component"))
+        & _similar_sizes(F.col("x.n"), F.col("y.n"), numerator, denominator)
+        & (
+            _agreeing(F.col("x.planes"), F.col("y.planes"))
+            >= _fewest(numerator, denominator)
+        )
+    )
+    sides = []
+    for one, other, is_x in ((x, y, True), (y, x, False)):
+        chosen = one.join(other, promising, "left_semi").select("group", "class_id").distinct()
+        sides.append(written(chosen.withColumn("is_x", F.lit(is_x)), "side"))
+    both = sides[0].unionByName(sides[1])
+    blocks = F.ceil(F.count_if("is_x") / BLOCK), F.ceil(F.count_if(~F.col("is_x")) / BLOCK)
+    numbers = both.groupBy("group").agg(blocks[0].alias("xs"), blocks[1].alias("ys"))
+    mine = F.pmod(F.xxhash64("class_id"), F.when(F.col("is_x"), F.col("xs")).otherwise(F.col("ys")))
+    other = F.explode(
+        F.sequence(
+            F.lit(0).cast("long"),
+            F.when(F.col("is_x"), F.col("ys")).otherwise(F.col("xs")).cast("long") - 1,
         )
-        & (agree >= fewest)
     )
-    return pairs.select(
-        F.least("x.class_id", "y.class_id").alias("a"),
-        F.greatest("x.class_id", "y.class_id").alias("b"),
-        agree.alias("agree"),
-    ).distinct()
+    dealt = both.join(numbers, "group").withColumn("mine", mine).withColumn("other", other)
+    return dealt.select(
+        "group",
+        F.when(F.col("is_x"), F.col("mine")).otherwise(F.col("other")).alias("x"),
+        F.when(F.col("is_x"), F.col("other")).otherwise(F.col("mine")).alias("y"),
+        "class_id",
+        "is_x",
+    )
+
+
+def _intersections(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of narrow matrices over
+    the elements that both lists hold."""
+    common = np.intersect1d(np.unique(np.concatenate(xs)), np.unique(np.concatenate(ys)))
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    for begin in range(0, len(common), COLUMNS):
+        part = common[begin : begin + COLUMNS]
+        sides = []
+        for sets in (xs, ys):
+            holds = np.zeros((len(sets), len(part)), np.float32)
+            for row, s in zip(holds, sets, strict=True):
+                s = s[np.searchsorted(s, part[0]) : np.searchsorted(s, part[-1], "right")]
+                at = np.searchsorted(part, s)
+                row[at[part[np.minimum(at, len(part) - 1)] == s]] = 1
+            sides.append(holds)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _block_confirmer(numerator: int, denominator: int):
+    """Compares the x and y texts of each group of consecutive rows on their full sets, and
+    yields edges that connect what is linked: one per text at most."""
+
+    def edges(rows: list[tuple], hashes: WordHashes) -> list[tuple[int, int]]:
+        sides = [], []
+        for _, class_id, is_x, text in rows:
+            s = shingles(text, hashes)
+            if len(s):
+                sides[0 if is_x else 1].append((class_id, s))
+        if not sides[0] or not sides[1]:
+            return []
+        ids = [np.array([i for i, _ in side]) for side in sides]
+        sizes = [np.array([len(s) for _, s in side], float) for side in sides]
+        both = _intersections([s for _, s in sides[0]], [s for _, s in sides[1]]).astype(float)
+        either = sizes[0][:, None] + sizes[1][None, :] - both
+        linked = denominator * both >= numerator * either
+        # Two texts of one side are connected through the other side's texts.
+        out = []
+        root = {}
+
+        def find(v):
+            while root.setdefault(v, v) != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        for i, j in np.argwhere(linked):
+            a, b = find(int(ids[0][i])), find(int(ids[1][j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((int(ids[0][i]), int(ids[1][j])))
+        return out
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        key, rows = None, []
+
+        def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in found], pa.int64()),
+                 pa.array([b for _, b in found], pa.int64())],
+                ["a", "b"],
+            )
+
+        for batch in batches:
+            keys = zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)
+            rest = [batch.column(k).to_pylist() for k in (3, 4)]
+            found = []
+            for k, *row in zip(keys, *rest, utf8(batch.column(5)), strict=True):
+                if k != key and rows:
+                    found += edges(rows, hashes)
+                    rows = []
+                key = k
+                rows.append((k, *row))
+            if found:
+                yield batch_of(found)
+        if rows:
+            yield batch_of(edges(rows, hashes))
+
+    return work
