@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -147,21 +147,24 @@ def _shards(folder: str, file_bytes: int):
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = None
+        writer, revisits = None, (None, None)
         try:
             for batch in batches:
                 columns = [c.to_pylist() for c in batch.columns]
-                for shard, page, url, html, digest, refers_to, revisit in zip(
+                for shard, page, digest, is_page, refers_to, url, html in zip(
                     *columns, strict=True
                 ):
+                    if not is_page:
+                        revisits = ((shard, page, digest), refers_to)
+                        continue
                     if writer is None or writer.shard != shard:
                         if writer is not None:
                             writer.close()
                             yield listed(writer.done)
                         writer = _ShardWriter(folder, shard, file_bytes)
-                    writer.add(
-                        record(page, url, (html or "").encode(), digest, refers_to, revisit)
-                    )
+                    revisit = revisits[0] == (shard, page, digest)
+                    first = revisits[1] if revisit else None
+                    writer.add(record(page, url, (html or "").encode(), digest, first, revisit))
             if writer is not None:
                 writer.close()
                 yield listed(writer.done)
@@ -173,34 +176,38 @@ def _shards(folder: str, file_bytes: int):
     return work
 
 
-def with_revisits(pages: DataFrame, least: int = LEAST_REVISITED) -> DataFrame:
-    """page_id, url, html, digest, payload_bytes, refers_to, revisit per row. Of equal
-    payloads of at least ``least`` bytes the smallest page_id is the response, also if it
-    is there more than once; the others revisit it. Null ids come after all others."""
-    known = pages.select(
+def _known(pages: DataFrame) -> DataFrame:
+    """Pages with the digest of their payload and a number that tells rows of a slot apart."""
+    return pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
-    ).withColumns({"digest": F.sha2("html", 256), "payload_bytes": F.octet_length("html")})
+    ).withColumns(
+        {"digest": F.sha2("html", 256), "spread": F.xxhash64("url", F.sha2("html", 256))}
+    )
+
+
+def revisits(headers: DataFrame, least: int = LEAST_REVISITED) -> DataFrame:
+    """The rows of ``headers`` (page_id, digest, payload_bytes, ...) that revisit an earlier
+    page, with ``refers_to``. Of equal payloads of at least ``least`` bytes the smallest
+    page_id is the response, also if it is there more than once; null ids come last."""
     first = (
-        known.filter(F.col("payload_bytes") >= least)
+        headers.filter(F.col("payload_bytes") >= least)
         .groupBy(F.col("digest").alias("_d"))
-        .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
+        .agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1 AND refers_to IS NOT NULL")
         .drop("_n")
     )
-    revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return known.join(first, F.col("digest") == F.col("_d"), "left").select(
-        "page_id", "url", "html", "digest", F.col("payload_bytes").cast("long"),
-        F.when(revisit, F.col("_first")).alias("refers_to"), revisit.alias("revisit"),
-    )
+    later = (F.col("digest") == F.col("_d")) & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
+    return headers.join(first, later).drop("_d")
 
 
-def _numbered(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """Rows with their shard. The range of the ids is divided into slots of equal width;
-    slots are filled into shards in their order, and a slot of more than a shard's bytes
-    is divided by a hash of its rows. All of this depends on the rows alone."""
-    span = rows.agg(
+def _shard_places(headers: DataFrame, shard_bytes: int) -> tuple[DataFrame, Column, int]:
+    """Where slots begin: (_slot, _at, _parts), the slot of a page, and the number of shards.
+    The range of the ids is divided into slots of equal width; slots are filled into shards
+    in their order, and a slot of more than a shard's bytes is divided by a hash of its
+    rows. All of this depends on the rows alone."""
+    span = headers.agg(
         F.sum("payload_bytes").alias("bytes"), F.min("page_id").alias("low"),
         F.max("page_id").alias("high"),
     ).first()
@@ -208,25 +215,16 @@ def _numbered(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
     low, high = span["low"] or 0, span["high"] or 0
     width = max(1, -(-(high - low + 1) // (shards * SLOTS_PER_SHARD)))
     slot = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(-1)).cast("long")
-    rows = rows.withColumn("slot", slot)
     # One row per slot: a shard's worth of pages has sixteen of them.
-    sizes = rows.groupBy("slot").agg(F.sum("payload_bytes").alias("size"))
-    until = W.orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
+    sizes = headers.groupBy(slot.alias("_slot")).agg(F.sum("payload_bytes").alias("size"))
+    until = W.orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(until), F.lit(0))
-    places = written(
-        sizes.select(
-            F.col("slot").alias("_slot"), F.floor(before / shard_bytes).alias("_at"),
-            F.greatest(F.ceil(F.col("size") / shard_bytes), F.lit(1)).alias("_parts"),
-        ),
-        "slots",
-    )
-    part = F.pmod(F.xxhash64("url", "digest"), F.col("_parts"))
-    return (
-        rows.join(places, F.col("slot") == F.col("_slot"))
-        .withColumn("shard", (F.col("_at") + part).cast("long"))
-        .drop("slot", "_slot", "_at", "_parts"),
-        shards,
+    places = sizes.select(
+        "_slot",
+        F.floor(before / shard_bytes).alias("_at"),
+        F.greatest(F.ceil(F.col("size") / shard_bytes), F.lit(1)).alias("_parts"),
     )
+    return written(places, "slots"), slot, shards
 
 
 def write_archive(
@@ -245,11 +243,31 @@ def write_archive(
     """
     fs, path = _filesystem(folder)
     fs.create_dir(path, recursive=True)
-    rows, shards = _numbered(with_revisits(pages, least), shard_bytes)
+    known = _known(pages)
+    headers = written(
+        known.select("page_id", "digest", "spread",
+                     F.octet_length("html").cast("long").alias("payload_bytes")),
+        "headers",
+    )
+    places, slot, shards = _shard_places(headers, shard_bytes)
+
+    def in_shards(rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.col("spread"), F.col("_parts"))
+        rows = rows.join(places, slot == F.col("_slot"))
+        return rows.withColumn("shard", (F.col("_at") + part).cast("long"))
+
+    # Payloads are shuffled once: what a page revisits comes to it as a row of its own, just
+    # before it, instead of by a join.
+    columns = ["shard", "page_id", "digest", "is_page", "refers_to", "url", "html"]
+    wide = known.withColumns({"is_page": F.lit(True), "refers_to": F.lit(None).cast("long")})
+    narrow = revisits(headers, least).withColumns(
+        {"is_page": F.lit(False), "url": F.lit(None).cast("string"),
+         "html": F.lit(None).cast("string")}
+    )
     placed = (
-        rows.repartitionByRange(shards, "shard")
-        .sortWithinPartitions("shard", "page_id", "digest", "url")
-        .select("shard", "page_id", "url", "html", "digest", "refers_to", "revisit")
+        in_shards(wide).select(*columns).unionByName(in_shards(narrow).select(*columns))
+        .repartitionByRange(shards, "shard")
+        .sortWithinPartitions("shard", "page_id", "digest", "is_page", "url")
     )
     manifest = written(mapped(placed, _shards(folder, file_bytes), MANIFEST), "manifest")
     return Archive(folder, manifest)
