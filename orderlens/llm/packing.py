@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import Remembered, mapped, utf8
+from orderlens.llm.common import mapped, utf8
 from orderlens.sources.scratch import written
 
 CAPACITY = 2048
@@ -27,44 +27,79 @@ END = bytes(4)
 # Pieces of one partition, on average; a task holds a few short columns of them.
 PIECES_PER_PARTITION = 8192
 EXCHANGES = 3
-# Words that are longer are encoded, but not remembered.
+# Words whose ids a worker remembers (about 200 bytes each); longer ones aren't.
+WORDS_REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", bin long, offset long, fill long, bins long, bound long"
 
 
-def _pieces_of(tokenizer_json: str, capacity: int):
-    """Cuts documents into pieces. The tokenizer drops white space and never joins words
-    across it, so the ids of a document are those of its words, which are remembered."""
+class WordIds(dict):
+    """Ids, as bytes, of words that white space separates.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The tokenizer lowers case, drops white space and never joins words across it, so the
+    ids of a text are those of its words. Many new words are encoded as one text and told
+    apart by their places in it. A full stop or comma after a letter is a token of its
+    own, so such words cost no encoding if the bare word is known.
+    """
+
+    def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(tokenizer_json)
+        super().__init__()
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self) + len(words) > WORDS_REMEMBERED:
+            self.clear()
+        new = words - self.keys()
+        marked = {w for w in new if w[-1:] in (b".", b",") and w[:-1].decode()[-1:].isalpha()}
+        bare = {part for w in marked for part in (w[:-1], w[-1:])}
+        coded = sorted(((new - marked) | bare) - self.keys())
+        texts = [w.decode() for w in coded]
+        encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(encoding.ids, "<u4")
+        begins = np.array([begin for begin, _ in encoding.offsets], np.int64)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = [0, *np.searchsorted(begins, ends).tolist()]
+        for k, word in enumerate(coded):
+            self[word] = ids[cuts[k] : cuts[k + 1]].tobytes()
+        for word in marked:
+            self[word] = self[word[:-1]] + self[word[-1:]]
+
+    def forget_long(self, words: set[bytes]) -> None:
+        for word in words:
+            if len(word) > LONGEST_REMEMBERED:
+                self.pop(word, None)
 
-        def encoded(word: bytes) -> bytes:
-            ids = tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
 
-        known = Remembered(encoded)
+def _words(text: bytes | None) -> list[bytes]:
+    """Words in lower case, but for texts that may hold a special token."""
+    if not text:
+        return []
+    return text.split() if b"<|" in text else text.lower().split()
+
+
+def _pieces_of(tokenizer_json: str, capacity: int):
+    """Cuts documents into pieces."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordIds(tokenizer_json)
         step = 4 * capacity
         for batch in batches:
+            texts = [_words(text) for text in utf8(batch.column(1))]
+            words = set().union(*texts)
+            known.learn(words)
             columns: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                words = text.split() if text else []
-                if words and len(max(words, key=len)) > LONGEST_REMEMBERED:
-                    parts = [
-                        known[w] if len(w) <= LONGEST_REMEMBERED else encoded(w) for w in words
-                    ]
-                else:
-                    parts = map(known.__getitem__, words)
-                ids = b"".join(parts) + END
+            for doc, parts in zip(batch.column(0).to_pylist(), texts, strict=True):
+                ids = b"".join(map(known.__getitem__, parts)) + END
                 for piece, start in enumerate(range(0, len(ids), step)):
                     part = ids[start : start + step]
                     row = (doc, piece, start // 4, len(part) // 4, zlib.crc32(part))
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
+            known.forget_long(words)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
