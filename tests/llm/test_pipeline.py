@@ -11,6 +11,9 @@ import corpus_pipeline
 from orderlens.llm import decontaminate, queries
 from orderlens.sources import written
 
+from .conftest import documents, prose
+from .test_near_dup import shingle_set
+
 
 def test_every_operator_is_registered():
     numbers = [name.split("_")[0] for name in queries.QUERIES]
@@ -63,6 +66,33 @@ def test_stages_keep_clean_documents_and_take_effect(spark, folder):
     assert kept["decontamination"] == kept["near_duplicates"] - leaked
 
 
+def test_near_duplicate_stage_equals_brute_force_at_its_similarity(spark, folder):
+    table = pq.read_table(f"{folder}/documents.parquet").to_pylist()
+    texts = [r["text"] for r in table]
+    for k in range(12):
+        words = prose(k + 50, 200).split()
+        copy = list(words)
+        # 2 to 5 of 200 words apart, over 10 shingles: similarities from 0.9 down to 0.77.
+        for j in range(2 + k % 4):
+            copy[20 + 37 * j] = f"x{k}-{j}"
+        texts += [" ".join(words), " ".join(copy)]
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+    between = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                between += 100 * len(x & y) < 85 * len(x | y)
+                small, large = sorted((root[a], root[b]))
+                root = [small if r == large else r for r in root]
+    assert between >= 3
+    docs = documents(spark, texts)
+    kept = corpus_pipeline.distinct_documents(spark, docs, folder)
+    want = {i + 1 for i, r in enumerate(root) if r == i}
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+
+
 def test_odd_rows_pass_all_stages(spark, folder):
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
     rows = [(None, None, None, None, None), (None, "", "en", "s", 0), (1, None, "en", "s", 0),
