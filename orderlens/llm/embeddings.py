@@ -8,7 +8,9 @@ united across passes.
 
 The window bounds the work, not the result: where a vector links with the very last
 vector of its window, its group may be larger than the window, and the group's members
-are compared with each other in blocks.
+are compared with each other in blocks. Where more vectors than a window share the
+leading bits that the number of passes is laid out for (many vectors around one
+direction), linked or not, these are compared with each other in blocks, too.
 """
 
 from __future__ import annotations
@@ -36,14 +38,19 @@ MISSED = 1e-4
 BITS = 64
 
 
+def leading_bits(vectors: int, window: int = WINDOW) -> int:
+    """Bits that half a window of evenly spread vectors shares at most. Where more vectors
+    than a window share them, all of these are compared (``_crowded``)."""
+    return max(1, math.ceil(math.log2(max(vectors, 1) / window) + 1))
+
+
 def passes_for(vectors: int, threshold: float = THRESHOLD, window: int = WINDOW) -> int:
     """Passes after which a pair at the threshold is missed with probability ``MISSED``.
 
-    Two vectors meet in a window if they agree in about log2(vectors / window) leading
-    bits; each bit agrees with probability 1 - angle / pi.
+    Two vectors are compared if they agree in ``leading_bits``; each bit agrees with
+    probability 1 - angle / pi.
     """
-    bits = max(1.0, math.log2(max(vectors, 1) / window) + 1)
-    meets = (1 - math.acos(threshold) / math.pi) ** bits
+    meets = (1 - math.acos(threshold) / math.pi) ** leading_bits(vectors, window)
     return max(2, math.ceil(math.log(MISSED) / math.log1p(-meets)))
 
 
@@ -140,7 +147,9 @@ def _compared(group: pa.Table, threshold: float, window: int, in_pass: bool) ->
 
     In a pass, rows are compared up to ``window`` places apart, if the later one belongs to
     the block; a pair counts in the first pass whose window holds it. Otherwise all rows
-    of two blocks are compared, and pairs count that no pass's window holds.
+    of two blocks are compared, and pairs count that no pass's window holds. Blocks of
+    crowded rows also leave out pairs that an earlier pass's prefix or a group that was
+    compared as a whole (``done``) holds.
     """
     ids = group["class_id"].to_numpy()
     copies = group["copies"].to_numpy()
@@ -173,6 +182,13 @@ def _compared(group: pa.Table, threshold: float, window: int, in_pass: bool) ->
             new = np.ones(len(i), bool)
             for column in earlier.T:
                 new &= np.abs(column[i] - column[j]) > window
+            if "prefixes" in group.column_names:
+                number = max(group["pass"][0].as_py(), 0)
+                for column in np.stack(group["prefixes"].to_numpy())[chosen][:, :number].T:
+                    new &= column[i] != column[j]
+                known = group["is_done"].to_numpy(zero_copy_only=False)[chosen]
+                done = group["done"].to_numpy()[chosen]
+                new &= ~(known[i] & known[j] & (done[i] == done[j]))
             links[chosen] += np.bincount(
                 i[new], copies[chosen][j[new]], minlength=len(chosen)
             ).astype(np.int64)
@@ -231,7 +247,8 @@ def near_duplicates(
         .select("class_id", "copies", "vector"),
         "unique",
     )
-    passes = passes_for(unique.count(), threshold, window)
+    n = unique.count()
+    passes, bits = passes_for(n, threshold, window), leading_bits(n, window)
     keys = mapped(
         unique.select("class_id", "vector"), _keyed(passes),
         "class_id long, pass int, dimension int, key long",
@@ -239,13 +256,21 @@ def near_duplicates(
     ranked = with_ranks(
         keys, {"rank": Rank(["dimension", "key", "class_id"], partition_by=["pass"])}
     )
-    placed = written(
+    ranked = ranked.withColumn("prefix", F.shiftright("key", max(0, BITS - bits)))
+    prefixed = written(
         ranked.groupBy("class_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pass", "rank"))).alias("r"))
-        .select("class_id", F.col("r.rank").alias("ranks"))
+        .agg(
+            F.first("dimension").alias("dimension"),
+            F.sort_array(F.collect_list(F.struct("pass", "rank", "prefix"))).alias("r"),
+        )
+        .select(
+            "class_id", "dimension", F.col("r.rank").alias("ranks"),
+            F.col("r.prefix").alias("prefixes"),
+        )
         .join(unique, "class_id"),
         "placed",
     )
+    placed = prefixed.drop("dimension", "prefixes")
 
     # A block holds its own rows and the last ones of the block before it.
     rank = F.col("rank") - 1
@@ -272,8 +297,21 @@ def near_duplicates(
     groups = joined.join(crowded, "id", "semi").select("component").distinct()
     members = written(joined.join(groups, "component"), "crowded")
     if not members.isEmpty():
-        far = _in_blocks(members, placed, threshold, window, block)
+        far = _in_blocks(members, ["component"], placed, threshold, window, block)
         found = near.unionByName(far)
+    wide = _crowded(prefixed, window, block)
+    if wide is not None:
+        done = members.select(
+            F.col("id").alias("class_id"), F.col("component").alias("done"),
+            F.lit(True).alias("is_done"),
+        )
+        rows_of = (
+            prefixed.drop("dimension").join(done, "class_id", "left")
+            .fillna(0, ["done"]).fillna(False, ["is_done"])
+        )
+        groups = ["pass", "dimension", "prefix"]
+        found = found.unionByName(_in_blocks(wide, groups, rows_of, threshold, window, block))
+    if found is not near:
         joined = checkpointed(components(found.select("a", "b")))
 
     counts = found.groupBy("a").agg(F.sum("links").alias("links"))
@@ -295,30 +333,65 @@ def near_duplicates(
     )
 
 
+def _crowded(prefixed: DataFrame, window: int, block: int) -> DataFrame | None:
+    """(id, pass, dimension, prefix) of the rows to compare with all others of the same
+    pass, dimension and prefix; None if every prefix fits in a window.
+
+    A pair of which one row never shares its prefix with more rows than a window holds is
+    compared in every pass in which it shares the prefix. The other rows are compared
+    either by these prefixes or once all with each other (pass -1), whichever copies
+    fewer vectors.
+    """
+    each = prefixed.select(
+        F.col("class_id").alias("id"), "dimension",
+        F.posexplode("prefixes").alias("pass", "prefix"),
+    )
+    groups = ["pass", "dimension", "prefix"]
+    large = written(
+        each.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > window + 1),
+        "prefixes",
+    )
+    copies = F.sum(F.col("_rows") * F.ceil(F.col("_rows") / block))
+    by_prefix = large.agg(copies).first()[0]
+    if by_prefix is None:
+        return None
+    wide = written(each.join(large.select(*groups), groups).select("id", *groups), "wide")
+    together = written(
+        wide.select(
+            "id", F.lit(-1).alias("pass"), "dimension", F.lit(0).cast("long").alias("prefix")
+        ).distinct(),
+        "wide",
+    )
+    at_once = together.groupBy("dimension").agg(F.count(F.lit(1)).alias("_rows"))
+    return together if at_once.agg(copies).first()[0] <= by_prefix else wide
+
+
 def _in_blocks(
-    members: DataFrame, placed: DataFrame, threshold: float, window: int, block: int
+    members: DataFrame, groups: list[str], placed: DataFrame, threshold: float, window: int,
+    block: int,
 ) -> DataFrame:
     """All links inside groups that are larger than the window, from pairs of blocks: a task
     holds two blocks of vectors, and yields no pairs but counts and connecting edges."""
-    ranked = with_ranks(members, {"_n": Rank(["id"], partition_by=["component"])})
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("_size"))
+    ranked = with_ranks(members, {"_n": Rank(["id"], partition_by=groups)})
+    sizes = members.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
     mine = F.floor((F.col("_n") - 1) / block).cast("long")
     last = F.floor((F.col("_size") - 1) / block).cast("long")
     blocks = (
-        ranked.join(sizes, "component")
-        .select("component", F.col("id").alias("class_id"), mine.alias("_mine"),
+        ranked.join(sizes, groups)
+        .select(*groups, F.col("id").alias("class_id"), mine.alias("_mine"),
                 F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_other"))
         .join(placed, "class_id")
         .select(
-            "component",
+            *groups,
             F.least("_mine", "_other").alias("x"),
             F.greatest("_mine", "_other").alias("y"),
             (F.col("_mine") <= F.col("_other")).alias("own"),
-            "class_id", "copies", "vector", "ranks",
+            *placed.columns,
         )
     )
     return written(
-        blocks.groupBy("component", "x", "y").applyInArrow(
+        blocks.groupBy(*groups, "x", "y").applyInArrow(
             lambda t: _compared(t, threshold, window, False), FOUND
         ),
         "far",

@@ -55,3 +55,34 @@ def test_empty_null_ids_and_repeated_rows(spark):
 
 def test_number_of_passes_grows_with_the_logarithm():
     assert passes_for(1) <= passes_for(10**5) < passes_for(10**9) < 200
+
+
+def around(rng, center, cosine, rows):
+    """Unit vectors of about ``cosine`` with each other."""
+    noise = rng.standard_normal((rows, len(center)))
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    return cosine**0.5 * center / np.linalg.norm(center) + (1 - cosine) ** 0.5 * noise
+
+
+# Most unlinked rows around one direction, and rows around many directions.
+@pytest.mark.parametrize("cones,size,cosine,block", [(1, 1000, 0.9, 64), (30, 40, 0.85, 8)])
+def test_pairs_among_crowded_rows_are_found(spark, cones, size, cosine, block):
+    rng = np.random.default_rng(11)
+    x = np.concatenate(
+        [rng.standard_normal((1200, 64))]
+        + [around(rng, rng.standard_normal(64), cosine, size) for _ in range(cones)]
+    )
+    planted = x[-600::2].copy()
+    away = rng.standard_normal(planted.shape)
+    away -= planted * ((away * planted).sum(axis=1) / (planted**2).sum(axis=1))[:, None]
+    away *= (np.linalg.norm(planted, axis=1) / np.linalg.norm(away, axis=1))[:, None]
+    planted = 0.951 * planted + (1 - 0.951**2) ** 0.5 * away
+    x = np.concatenate([x, planted]).astype(np.float32)
+    unit = x.astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    want = linked.sum(axis=1) - 1
+    assert want[-300:].min() >= 1
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)
+    got = near_duplicates(df, window=8, block=block).select("vec_id", "n_links").collect()
+    assert dict(got) == dict(enumerate(want.tolist()))
