@@ -17,10 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import bounded_sample
 from orderlens.sources.scratch import written
 
-# Labelled findings that the forest is grown on, at most (about).
+# Labelled findings that the forest is grown on, at most (about), half of them per label.
 TRAINING_FINDINGS = 20_000
 TREES, DEPTH, SEED = 24, 6, 7
 DICTIONARY_WORDS = 256
@@ -179,6 +178,31 @@ def _described(
     )
 
 
+def _sample(labelled: DataFrame) -> DataFrame:
+    """About half of ``TRAINING_FINDINGS`` rows of each label at most, chosen by a hash."""
+    most = TRAINING_FINDINGS // 2
+    part = F.pmod(F.xxhash64("candidate", "before", "after", F.lit("sample")), F.lit(1 << 30))
+    limit = F.lit(1 << 30)
+    for r in labelled.groupBy("label").count().collect():
+        if r["count"] > most:
+            least = int((1 << 30) * most / r["count"])
+            limit = F.when(F.col("label") == r["label"], least).otherwise(limit)
+    return labelled.filter(part < limit)
+
+
+def _balanced(training: DataFrame, have: dict[int, int]) -> DataFrame:
+    """Rows with a ``weight`` that gives both labels the same sum. The rows of a rare label
+    are repeated, so that every tree's bootstrap sample holds them."""
+    rare, often = sorted((0, 1), key=lambda label: have[label])
+    copies = have[often] // have[rare]
+    is_rare = F.col("label") == rare
+    weight = F.when(is_rare, have[often] / (have[rare] * copies)).otherwise(1.0)
+    times = F.when(is_rare, copies).otherwise(1)
+    return training.withColumn("weight", weight).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), times))
+    )
+
+
 def scan(
     docs: DataFrame,
     findings: DataFrame | None = None,
@@ -190,7 +214,8 @@ def scan(
 
     ``findings`` are labelled ones (candidate, before, after, path, label); without them
     the candidates of ``docs`` are labelled by rules (``weak_labels``). The forest learns from
-    a sample of about ``TRAINING_FINDINGS``, chosen by a hash; the dictionary counts all texts.
+    a sample of about ``TRAINING_FINDINGS``, chosen by a hash for each label, and both labels
+    weigh the same, however rare one is; the dictionary counts all texts.
     Without both labels the probability is the label's share, or 0 without any.
 
     Null and empty texts have no candidates; a null id is carried along; repeated rows give
@@ -201,9 +226,7 @@ def scan(
     labelled = labelled.filter("label IS NOT NULL").select(
         "candidate", "before", "after", F.coalesce("path", F.lit("")).alias("path"), "label"
     )
-    labelled = written(
-        bounded_sample(labelled.distinct(), "candidate", TRAINING_FINDINGS), "labelled"
-    )
+    labelled = written(_sample(labelled.distinct()), "labelled")
     have = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     result = ["doc_id", "text_key", "candidate", "start", "occurrences"]
     if len(have) < 2:
@@ -224,10 +247,12 @@ def scan(
     vectors = VectorAssembler(inputCols=NUMBERS, outputCol="features")
     # The sample is bounded, and one sorted partition makes the forest reproducible.
     training = _described(labelled, transitions, neighbours, words)
-    training = training.repartition(1).sortWithinPartitions("candidate", "before", "after")
+    training = _balanced(training, have).repartition(1)
+    training = training.sortWithinPartitions("candidate", "before", "after", "_copy")
     forest = RandomForestClassifier(
-        numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt"
-    ).fit(vectors.transform(written(training.select(*NUMBERS, "label"), "training")))
+        numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt",
+        weightCol="weight",
+    ).fit(vectors.transform(written(training.select(*NUMBERS, "label", "weight"), "training")))
     scored = forest.transform(
         vectors.transform(_described(found, transitions, neighbours, words))
     )
