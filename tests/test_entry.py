@@ -1,6 +1,9 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -36,3 +39,19 @@ def test_entry(spark):
 def test_query_equals_sql(spark, con, name):
     verdict, _ = compare(spark, con, FOLDER, name)
     assert verdict.startswith("ok"), verdict
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_the_text_operators(tmp_path, pipeline):
+    """The rest imports and keeps its queries in a copy without that subpackage, with or
+    without the pipeline's file, and with a folder that caches left behind."""
+    here = Path(__file__).resolve().parent.parent
+    left_out = shutil.ignore_patterns("llm", ".git", "__pycache__", *([] if pipeline else ["corpus_*"]))
+    shutil.copytree(here, tmp_path / "copy", ignore=left_out)
+    (tmp_path / "copy/orderlens/llm/__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as e; print(*e.queries())"
+    run = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True
+    )
+    assert run.returncode == 0, run.stderr
+    assert set(run.stdout.split()) == set(QUERIES)

@@ -81,7 +81,7 @@ def test_shuffles_follow_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
         tune(spark, 100 * 2**40)
-        assert spark.conf.get(key) == "32768"
+        assert spark.conf.get(key) == "204800"
         tune(spark, 2**30)
         assert spark.conf.get(key) == "4"
     finally:
