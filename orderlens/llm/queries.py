@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm import (
     decontaminate,
+    divergence,
     embeddings,
     license_scan,
     packing,
@@ -71,6 +72,10 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.cut_into_pieces(table(spark, folder, "documents")))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergences(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_minhash_near_dup": op2_minhash_near_dup,
@@ -82,10 +87,12 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 STATEMENTS: dict[str, str] = {
     "op4_license_scan": license_scan.oracle(),
+    "op12_source_divergence": divergence.oracle(),
     "op5_warc": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
