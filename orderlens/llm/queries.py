@@ -17,6 +17,7 @@ from orderlens.llm import (
     secrets,
     token_counts,
     toxicity,
+    url_filter,
     warc,
 )
 from orderlens.llm.common import table
@@ -76,6 +77,20 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergences(table(spark, folder, "documents"))
 
 
+# Rules on host and path, as the query's contract gives them.
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(spark, table(spark, folder, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_minhash_near_dup": op2_minhash_near_dup,
@@ -88,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op12_source_divergence": op12_source_divergence,
+    "op13_url_filter": op13_url_filter,
 }
 
 STATEMENTS: dict[str, str] = {
