@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm import (
+    conversations,
     decontaminate,
     divergence,
     embeddings,
@@ -73,6 +74,10 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.cut_into_pieces(table(spark, folder, "documents")))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, folder, "conversations")))
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergences(table(spark, folder, "documents"))
 
@@ -102,12 +107,14 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_source_divergence": op12_source_divergence,
     "op13_url_filter": op13_url_filter,
 }
 
 STATEMENTS: dict[str, str] = {
     "op4_license_scan": license_scan.oracle(),
+    "op11_conversation_repair": conversations.oracle(),
     "op12_source_divergence": divergence.oracle(),
     "op5_warc": """
 WITH p AS (
