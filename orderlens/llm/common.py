@@ -30,6 +30,21 @@ def mapped(
     return df.mapInArrow(work, schema)
 
 
+def gathered(
+    batches: Iterator[pa.RecordBatch], rows: int, most_bytes: int = 1 << 22
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in larger batches, until one holds so many rows or bytes."""
+    some, have, size = [], 0, 0
+    for batch in batches:
+        some.append(batch)
+        have, size = have + batch.num_rows, size + batch.nbytes
+        if have >= rows or size >= most_bytes:
+            yield pa.concat_batches(some)
+            some, have, size = [], 0, 0
+    if some:
+        yield pa.concat_batches(some)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The same rows from a reliable checkpoint, worked out once."""
     shared_folder(df.sparkSession)

@@ -10,14 +10,15 @@ occurrence and no row per pair of documents is ever made.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import mapped, written
+from orderlens.llm.common import gathered, mapped, written
 
 LEAST_DOCS = 30
 SMOOTHING = 5
@@ -25,7 +26,7 @@ TOP_TERMS = 50
 SCALE = 1_000_000_000
 
 # Entries (term and source) that a task holds before it hands its stripes on.
-SPILL_ENTRIES = 200_000
+SPILL_ENTRIES = 500_000
 # Bytes of a text that are cut into words at one time.
 SLICE_BYTES = 1 << 20
 # Numbers (terms by sources) of a bucket of merged stripes, and fewest buckets a language.
@@ -84,37 +85,47 @@ class Stripes:
 
     def spill(self) -> Iterator[pa.RecordBatch]:
         for lang, docs in self.docs.items():
-            stripes = {term: ([], []) for term in docs}
-            for (own, source), counts in self.counts.items():
-                if own == lang:
-                    for term, n in counts.items():
-                        sources, numbers = stripes[term]
-                        sources.append(source)
-                        numbers.append(n)
-            rows = ((lang, t.decode(), docs[t], s, n) for t, (s, n) in stripes.items())
-            yield from _batches(rows)
+            if not docs:
+                continue
+            place = dict(zip(docs, range(len(docs)), strict=True))
+            of_lang = [(s, c) for (own, s), c in self.counts.items() if own == lang]
+            rows = [np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for _, c in of_lang]
+            numbers = [np.fromiter(c.values(), np.int64, len(c)) for _, c in of_lang]
+            source = np.repeat(np.arange(len(of_lang)), [len(r) for r in rows])
+            yield from _batches(
+                pa.array([lang], pa.string()).take(np.zeros(len(docs), np.int32)),
+                pa.array(list(docs), pa.binary()).cast(pa.string()),
+                np.fromiter(docs.values(), np.int64, len(docs)),
+                np.concatenate(rows), source, np.concatenate(numbers),
+                pa.array([s for s, _ in of_lang], pa.string()),
+            )
         self.__init__()
 
 
-def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
-    """Stripes as record batches of a bounded number of rows."""
-    types = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    names = ["lang", "term", "docs", "sources", "counts"]
-
-    def batch(some):
-        columns = zip(*some, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names
-        )
-
-    some = []
-    for row in rows:
-        some.append(row)
-        if len(some) == ROWS_PER_BATCH:
-            yield batch(some)
-            some = []
-    if some:
-        yield batch(some)
+def _batches(
+    langs: pa.Array, terms: pa.Array, docs: np.ndarray,
+    rows: np.ndarray, sources: np.ndarray, numbers: np.ndarray, names: pa.Array,
+) -> Iterator[pa.RecordBatch]:
+    """Stripes as record batches of a bounded number of rows, from one entry for each row
+    (by place) and source (by place among ``names``); an entry may come in several parts."""
+    key = rows * len(names) + sources
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    numbers = np.add.reduceat(numbers[order], first) if len(first) else numbers
+    row, source = np.divmod(key[first], len(names))
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(terms)))])
+    offsets = pa.array(ends, pa.int32())
+    batch = pa.RecordBatch.from_arrays(
+        [
+            langs, terms, pa.array(docs),
+            pa.ListArray.from_arrays(offsets, names.take(pa.array(source))),
+            pa.ListArray.from_arrays(offsets, pa.array(numbers)),
+        ],
+        ["lang", "term", "docs", "sources", "counts"],
+    )
+    for start in range(0, batch.num_rows, ROWS_PER_BATCH):
+        yield batch.slice(start, ROWS_PER_BATCH)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,25 +140,46 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from stripes.spill()
 
 
+def _merged(batch: pa.RecordBatch, start: np.ndarray, docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One stripe for each run of rows."""
+    sources, counts = batch.column("sources"), batch.column("counts")
+    per_row = np.diff(sources.offsets.to_numpy())
+    run = np.repeat(np.arange(len(start)), np.diff(start, append=batch.num_rows))
+    codes = sources.flatten().dictionary_encode()
+    yield from _batches(
+        batch.column("lang").take(pa.array(start)), batch.column("term").take(pa.array(start)),
+        docs, np.repeat(run, per_row), codes.indices.to_numpy().astype(np.int64),
+        counts.flatten().to_numpy(), codes.dictionary,
+    )
+
+
 def _merge(least_docs: int):
-    """Merge the stripes of each term, which come sorted, and keep the common terms."""
+    """Merge the stripes of each term, which come sorted, and keep the common terms. Of the
+    last term, which may go on, one stripe is kept back."""
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        key, docs, counts = None, 0, Counter()
-        for batch in batches:
-            columns = (batch.column(n).to_pylist() for n in batch.schema.names)
-            for lang, term, n, sources, numbers in zip(*columns, strict=True):
-                if (lang, term) != key:
-                    if docs >= least_docs:
-                        yield *key, docs, list(counts), list(counts.values())
-                    key, docs, counts = (lang, term), 0, Counter()
-                docs += n
-                for source, number in zip(sources, numbers, strict=True):
-                    counts[source] += number
-        if docs >= least_docs:
-            yield *key, docs, list(counts), list(counts.values())
-
-    return lambda batches: _batches(merged(batches))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        back = None
+        for batch in gathered(batches, ROWS_PER_BATCH):
+            if back is not None:
+                batch = pa.concat_batches([back, batch])
+            differs = np.zeros(batch.num_rows, bool)
+            differs[0] = True
+            for name in ("lang", "term"):
+                column = batch.column(name)
+                differs[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            start = np.flatnonzero(differs)
+            docs = np.add.reduceat(batch.column("docs").to_numpy(), start)
+            back = pa.concat_batches(_merged(batch.slice(start[-1]), np.array([0]), docs[-1:]))
+            size = np.diff(start)
+            common = docs[:-1] >= least_docs
+            if common.any():
+                kept = batch.slice(0, start[-1]).filter(pa.array(np.repeat(common, size)))
+                first = np.concatenate([[0], np.cumsum(size[common])[:-1]])
+                yield from _merged(kept, first, docs[:-1][common])
+        if back is not None and back.column("docs")[0].as_py() >= least_docs:
+            yield back
+
+    return work
 
 
 def share(counts: np.ndarray, total: int, smoothing: int, terms: int) -> np.ndarray:
