@@ -1,9 +1,11 @@
 """Toxic documents and sentences by multiple-instance learning.
 
-Only documents have labels. A sentence s has the probability p_s = sigmoid(b + sum of the
-weights of its features), a document is toxic unless all of its sentences are harmless:
-P = 1 - product(1 - p_s) (noisy-or). Weights are fitted to the documents' labels by
-gradient descent through that product, and then say which sentences are to blame.
+Only documents have labels. A sentence s has the probability p_s = sigmoid(b + c * log(number
+of sentences) + sum of the weights of its features), a document is toxic unless all of its
+sentences are harmless: P = 1 - product(1 - p_s) (noisy-or). Weights are fitted to the
+documents' labels by gradient descent through that product, and then say which sentences are
+to blame. With c below 0, a word that harmless texts hold now and then weighs less in a long
+one.
 
 Features are words and beginnings of words, so that other endings of a known word count.
 """
@@ -17,19 +19,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import Remembered, is_held_out, labelled_sample, mapped
 
 # Labelled documents that the model is fitted on, at most (about).
 TRAINING_DOCS = 20_000
-# Features with the strongest association that the model may use.
-FEATURES = 20_000
-# A feature must be in so many toxic documents.
-LEAST_DOCS = 5
-PREFIXES = (4, 5, 6, 7)
-STEPS, RATE, PENALTY = 400, 0.1, 2e-4
+# A feature that more toxic documents hold than chance would have it: twice the gain in the log
+# likelihood of the labels by knowing the feature (as 4 standard deviations).
+LEAST_GAIN = 16.0
+PREFIXES = (3, 4, 5, 6, 7)
+STEPS, RATE, PENALTY = 400, 0.1, 5e-5
 # Features that one task counts before it hands them on.
 COUNTED_AT_ONCE = 400_000
 
@@ -44,11 +45,12 @@ def features(word: str) -> list[str]:
 
 @dataclass
 class Model:
-    """Weights of features, and the bias of a sentence. Without features, ``bias`` holds
-    and ``constant`` is the score of every document."""
+    """Weights of features, the bias of a sentence, and what the logarithm of the number of
+    sentences adds to it. Without features, ``constant`` is the score of every document."""
 
     weights: dict[str, float]
     bias: float
+    size: float = 0.0
     constant: float | None = None
 
     def word_weight(self, word: str) -> float:
@@ -122,45 +124,48 @@ def train(
     labels: DataFrame,
     label_col: str = "toxic",
     most_docs: int = TRAINING_DOCS,
-    most_features: int = FEATURES,
 ) -> Model:
     """Learn from a sample of about ``most_docs`` labelled documents that aren't held out,
-    chosen by a hash: which features go with toxic ones, and the weights of the strongest.
-    The driver holds short lists of a bounded number of documents. Without two classes
-    the model is the one class (0 without any label). Runs jobs.
+    chosen by a hash: which features go with toxic ones, and their weights. The driver holds
+    short lists of a bounded number of documents. Without two classes the model is the one
+    class (0 without any label), without such features the share of toxic documents. Runs
+    jobs.
     """
     labelled = labelled_sample(docs, labels, label_col, most_docs)
     totals = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     toxic, harmless = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not harmless:
-        return Model({}, 0.0, float(toxic > 0))
+        return Model({}, 0.0, constant=float(toxic > 0))
     counts = mapped(
         labelled.select("text", "label"), _counted, "feature string, toxic long, harmless long"
     )
-    in_toxic = (F.col("toxic") + 0.5) / (toxic + 1)
-    in_harmless = (F.col("harmless") + 0.5) / (harmless + 1)
-    strength = F.log(in_toxic / in_harmless) * F.sqrt("toxic")
+    share = toxic / (toxic + harmless)
+    both = F.col("toxic") + F.col("harmless")
+
+    def part(n: str, expected: float) -> Column:
+        return F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (both * expected))).otherwise(0.0)
+
+    gain = 2 * (part("toxic", share) + part("harmless", 1 - share))
     chosen = (
         counts.groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("harmless").alias("harmless"))
-        .filter((F.col("toxic") >= LEAST_DOCS) & (in_toxic > 2 * in_harmless))
-        .orderBy(F.desc(strength), "feature")
-        .limit(most_features)
+        .filter((F.col("toxic") / both > 2 * share * F.col("harmless") / both / (1 - share))
+                & (gain >= LEAST_GAIN))
     )
     names = sorted(r["feature"] for r in chosen.collect())
     if not names:
-        return Model({}, 0.0, toxic / (toxic + harmless))
+        return Model({}, 0.0, constant=share)
     rows = mapped(
         labelled,
         _featured({name: k for k, name in enumerate(names)}),
         "doc_id long, label int, sentences long, place array<int>, feature array<int>",
     ).toArrow().sort_by([("doc_id", "ascending"), ("sentences", "ascending")])
-    weights, bias = _fit(rows, len(names))
+    weights, size, bias = _fit(rows, len(names))
     used = {n: float(w) for n, w in zip(names, weights, strict=True) if abs(w) > 1e-3}
-    return Model(used, float(bias))
+    return Model(used, float(bias), float(size))
 
 
-def _fit(rows: pa.Table, n_features: int) -> tuple[np.ndarray, float]:
+def _fit(rows: pa.Table, n_features: int) -> tuple[np.ndarray, float, float]:
     """Adam on the mean log-likelihood of the noisy-or, in numpy.
 
     With A = sum over sentences of softplus(z_s), the probability is 1 - exp(-A).
@@ -176,28 +181,31 @@ def _fit(rows: pa.Table, n_features: int) -> tuple[np.ndarray, float]:
     keys, sentence = np.unique(doc * (at.max(initial=0) + 1) + at, return_inverse=True)
     owner = keys // (at.max(initial=0) + 1)
     plain = total - np.bincount(owner, minlength=len(label))
+    size = np.log(np.maximum(total, 1))
+    middle = size.mean()
+    size -= middle
 
-    theta = np.zeros(n_features + 1)
+    theta = np.zeros(n_features + 2)
     theta[-1] = -6.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        w, b = theta[:-1], theta[-1]
-        z = b + np.bincount(sentence, w[feature], minlength=len(keys))
+        w, base = theta[:-2], theta[-1] + theta[-2] * size
+        z = base[owner] + np.bincount(sentence, w[feature], minlength=len(keys))
         harm = np.bincount(owner, np.logaddexp(0, z), minlength=len(label))
-        harm += plain * np.logaddexp(0, b)
+        harm += plain * np.logaddexp(0, base)
         slope = label / np.expm1(np.clip(harm, 1e-9, 500)) - (1 - label)
         by_sentence = slope[owner] / (1 + np.exp(-z))
-        gradient = np.append(
-            np.bincount(feature, by_sentence[sentence], minlength=n_features),
-            by_sentence.sum() + (slope * plain).sum() / (1 + np.exp(-b)),
-        ) / len(label)
-        gradient -= np.append(PENALTY * w, 0)
+        by_doc = np.bincount(owner, by_sentence, minlength=len(label))
+        by_doc += slope * plain / (1 + np.exp(-base))
+        by_feature = np.bincount(feature, by_sentence[sentence], minlength=n_features)
+        gradient = np.concatenate([by_feature, [by_doc @ size, by_doc.sum()]]) / len(label)
+        gradient[:-2] -= PENALTY * w
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta = theta + RATE * (first / (1 - 0.9**step)) / (
             np.sqrt(second / (1 - 0.999**step)) + 1e-9
         )
-    return theta[:-1], theta[-1]
+    return theta[:-2], theta[-2], theta[-1] - theta[-2] * middle
 
 
 def _scorer(model: Model):
@@ -206,18 +214,16 @@ def _scorer(model: Model):
         for batch in batches:
             scores, starts, lengths, blame = [], [], [], []
             for text in batch.column(1).to_pylist():
-                found = []
-                plain = 0
-                harm = 0.0
+                hits = []
+                sentences = 0
                 for m in SENTENCE.finditer(text) if text and model.constant is None else ():
-                    z = sum(map(weight.__getitem__, WORD.findall(m[0].lower())))
-                    if z:
-                        loss = float(np.logaddexp(0, model.bias + z))
-                        harm += loss
-                        found.append((m.start(), m.end() - m.start(), -np.expm1(-loss)))
-                    else:
-                        plain += 1
-                harm += plain * float(np.logaddexp(0, model.bias))
+                    sentences += 1
+                    if z := sum(map(weight.__getitem__, WORD.findall(m[0].lower()))):
+                        hits.append((m.start(), m.end() - m.start(), z))
+                base = model.bias + model.size * np.log(max(sentences, 1))
+                losses = [float(np.logaddexp(0, base + z)) for _, _, z in hits]
+                harm = sum(losses) + (sentences - len(hits)) * float(np.logaddexp(0, base))
+                found = [(s, n, -np.expm1(-x)) for (s, n, _), x in zip(hits, losses, strict=True)]
                 score = model.constant if model.constant is not None else -np.expm1(-harm)
                 found = [x for x in found if x[2] >= 0.5] or sorted(found, key=lambda x: -x[2])[:1]
                 scores.append(float(score))
