@@ -11,7 +11,9 @@ takes fewer sequences.
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import mapped, utf8
+from orderlens.llm.common import gathered, mapped, utf8
 from orderlens.sources.scratch import written
 
 CAPACITY = 2048
@@ -31,47 +33,127 @@ EXCHANGES = 3
 WORDS_REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 64
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = PIECES + ", bin long, offset long, fill long, bins long, bound long"
-
+# Texts (or 4 MiB of them) whose words are looked up at one time.
+TEXTS_AT_ONCE = 4096
 
-class WordIds(dict):
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PACKED = PIECES + ", number long, bin long, offset long, fill long, bins long, bound long"
+
+
+# The normalizer and pre-tokenizer of the default file. With these, a run of
+# letters is a token of its own for the model, and so is a run of signs.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {
+                "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+            },
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# Signs that may follow a word and split off; an apostrophe may not.
+SIGNS = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
+# Letters below this are the same in every version of Unicode, and single characters in NFC.
+KNOWN_LETTERS = "\u0250"
+
+
+def _byte_signs() -> dict[int, str]:
+    """The visible sign that stands for each byte in a byte-level vocabulary: its own where
+    Latin-1 prints one, else the next beyond Latin-1."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTE_SIGNS = _byte_signs()
+
+
+class WordIds:
     """Ids, as bytes, of words that white space separates.
 
     The tokenizer lowers case, drops white space and never joins words across it, so the
-    ids of a text are those of its words. Many new words are encoded as one text and told
-    apart by their places in it. A full stop or comma after a letter is a token of its
-    own, so such words cost no encoding if the bare word is known.
+    ids of a text are those of its words. Words of well-known letters go straight to the
+    tokenizer's model, and signs behind them split off; other new words are encoded many
+    at a time, as one text, and told apart by their places in it.
     """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.ids: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        described = json.loads(tokenizer_json)
+        self.model = None
+        if (described["normalizer"], described["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER):
+            self.model = self.tokenizer.model
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > WORDS_REMEMBERED:
-            self.clear()
-        new = words - self.keys()
-        marked = {w for w in new if w[-1:] in (b".", b",") and w[:-1].decode()[-1:].isalpha()}
-        bare = {part for w in marked for part in (w[:-1], w[-1:])}
-        coded = sorted(((new - marked) | bare) - self.keys())
+        ids = self.ids
+        if len(ids) + len(words) > WORDS_REMEMBERED:
+            ids.clear()
+        new = words.difference(ids)
+        if self.model is not None:
+            new = self._learn_plain(new)
+        coded = sorted(new.difference(ids))
         texts = [w.decode() for w in coded]
         encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4")
+        all_ids = np.array(encoding.ids, "<u4").tobytes()
         begins = np.array([begin for begin, _ in encoding.offsets], np.int64)
         ends = np.cumsum([len(t) + 1 for t in texts])
-        cuts = [0, *np.searchsorted(begins, ends).tolist()]
-        for k, word in enumerate(coded):
-            self[word] = ids[cuts[k] : cuts[k + 1]].tobytes()
-        for word in marked:
-            self[word] = self[word[:-1]] + self[word[-1:]]
+        cuts = (4 * np.searchsorted(begins, ends)).tolist()
+        ids.update(zip(coded, map(all_ids.__getitem__, map(slice, [0, *cuts], cuts))))
+
+    def _learn_plain(self, new: set[bytes]) -> set[bytes]:
+        """Learn words of letters, with or without signs behind; the others are returned."""
+        ids, tokenize = self.ids, self.model.tokenize
+        others = set()
+        for word in new:
+            bare = word.rstrip(SIGNS)
+            if bare not in ids:
+                text = plain_letters(bare)
+                if text is None:
+                    others.add(word)
+                    continue
+                ids[bare] = array("I", [t.id for t in tokenize(text)]).tobytes()
+            elif not bare or plain_letters(bare) is None:
+                others.add(word)
+                continue
+            if len(bare) < len(word):
+                tail = word[len(bare):]
+                if tail not in ids:
+                    coded = self.tokenizer.encode(tail.decode(), add_special_tokens=False)
+                    ids[tail] = array("I", coded.ids).tobytes()
+                ids[word] = ids[bare] + ids[tail]
+        return others
 
     def forget_long(self, words: set[bytes]) -> None:
         for word in words:
             if len(word) > LONGEST_REMEMBERED:
-                self.pop(word, None)
+                self.ids.pop(word, None)
+
+
+def plain_letters(word: bytes) -> str | None:
+    """A word as the tokenizer's model reads it, if it consists of well-known letters in
+    lower case, too: there some become several characters."""
+    if word.isascii():
+        return word.lower().decode() if word.isalpha() else None
+    text = word.decode().lower()
+    if not text.isalpha() or max(text) >= KNOWN_LETTERS:
+        return None
+    return text.encode().decode("latin-1").translate(BYTE_SIGNS)
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -87,13 +169,13 @@ def _pieces_of(tokenizer_json: str, capacity: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordIds(tokenizer_json)
         step = 4 * capacity
-        for batch in batches:
+        for batch in gathered(batches, TEXTS_AT_ONCE):
             texts = [_words(text) for text in utf8(batch.column(1))]
             words = set().union(*texts)
             known.learn(words)
             columns: list[list] = [[], [], [], [], []]
             for doc, parts in zip(batch.column(0).to_pylist(), texts, strict=True):
-                ids = b"".join(map(known.__getitem__, parts)) + END
+                ids = b"".join(map(known.ids.__getitem__, parts)) + END
                 for piece, start in enumerate(range(0, len(ids), step)):
                     part = ids[start : start + step]
                     row = (doc, piece, start // 4, len(part) // 4, zlib.crc32(part))
@@ -186,6 +268,7 @@ def _packer(capacity: int):
             columns
             | {
                 "ids_crc32": group["ids_crc32"],
+                "number": group["number"],
                 "bin": (group["dealt"].to_numpy().astype(np.int64) << 32) | bins,
                 "offset": offsets,
                 "fill": fill[bins],
@@ -201,9 +284,9 @@ def _packed(pieces: DataFrame, round_no: int, capacity: int, size: int) -> DataF
     """Deal ``pieces`` to partitions and pack each. Bin numbers hold the round, the
     partition and the bin."""
     parts = max(1, -(-pieces.count() // size))
-    dealt = F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(round_no)), F.lit(parts))
+    dealt = F.pmod(F.xxhash64("number", F.lit(round_no)), F.lit(parts))
     numbered = pieces.select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
+        "doc_id", "piece", "start", "length", "ids_crc32", "number",
         (dealt + F.lit(round_no << 24)).cast("int").alias("dealt"),
     )
     return written(numbered.groupBy("dealt").applyInArrow(_packer(capacity), PACKED), "packed")
@@ -219,9 +302,14 @@ def pack(
 
     A sequence holds at most ``capacity`` tokens, without gaps; ``certified`` says that
     the piece's partition takes no more sequences than the bound. Repeated rows and null
-    ids are packed like any others. Runs jobs.
+    ids are packed like any others: pieces are dealt by their number, not by what they hold.
+    Runs jobs.
     """
-    pieces = written(pieces, "pieces")
+    numbered = pieces.select(
+        "doc_id", "piece", "start", "length", "ids_crc32",
+        F.monotonically_increasing_id().alias("number"),
+    )
+    pieces = written(numbered, "pieces")
     done = None
     current = _packed(pieces, 0, capacity, pieces_per_partition)
     for number in range(1, exchanges + 1):

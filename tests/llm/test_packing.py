@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,14 @@ import public_tokenizers
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
-from orderlens.llm.packing import best_fit_decreasing, cut_into_pieces, least_bins, pack
+from orderlens.llm.packing import (
+    WordIds,
+    _words,
+    best_fit_decreasing,
+    cut_into_pieces,
+    least_bins,
+    pack,
+)
 
 from .conftest import documents
 
@@ -18,8 +26,38 @@ ODD = [
 
 
 def ids_of(text):
+    return [*ids_of_many([text or ""])[0], 0]
+
+
+def ids_of_many(texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_get_the_ids_of_the_whole_text():
+    """Random texts of letters that change length in lower case or compose, signs, spaces of all
+    kinds, contractions and special tokens."""
+    rng = random.Random(1)
+    pool = list("abcXYZ.,!?'\"()$%#-_<|>/ \n\t\x0b\x0c\x1c\x85\xa0​ ")
+    pool += list("İıßẞéÉçñΣςσǅǆŉſKÅΩªºµ¹½٣一한글日本ﬁ́̇ͅȺɐʼＡ")
+    pool += ["the", "'s", "n't", "...", ", ", "<|endoftext|>", "<|startoftext|>", "İ.", "Wörd. "]
+    pool += [chr(c) for c in range(0xA0, 0x260)]
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        known = WordIds(f.read())
+    assert known.model is not None
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 14))) for _ in range(20_000)]
+    for text, whole in zip(texts, ids_of_many(texts), strict=True):
+        words = _words(text.encode())
+        known.learn(set(words))
+        ids = np.frombuffer(b"".join(known.ids[w] for w in words), "<u4").tolist()
+        assert ids == whole, text
+
+
+def test_rows_without_an_id_are_dealt_apart(spark):
+    """Pieces of one repeated or null id spread over partitions like any others."""
+    docs = documents(spark, ["word " * 30] * 300, ids=[None] * 200 + [1] * 100)
+    rows = pack(cut_into_pieces(docs), pieces_per_partition=20).collect()
+    assert len(rows) == 300 and len({r["sequence_id"] >> 32 for r in rows}) > 3
 
 
 def check(rows, texts):
