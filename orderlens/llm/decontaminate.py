@@ -28,10 +28,14 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.7
 NGRAM = 3
-# An index holds at most so many items; a larger benchmark takes several passes.
+# An index holds about so many items, of like lengths; so many indexes are searched in one
+# pass over the documents. A larger benchmark takes several passes.
 ITEMS_PER_INDEX = 2000
+INDEXES_PER_PASS = 8
 BLOCKS = 64
 SHORTEST_STEP = 32
+# An answer of fewer words may be missing if the item as a whole is there.
+SHORTEST_ANSWER = 5
 
 WORD = re.compile(r"\w+")
 # The answer is what follows the last sentence end or line end inside an item.
@@ -70,23 +74,38 @@ class Index:
     postings: list[dict[int, list[tuple[int, float]]]]  # block -> term -> (item, weight)
     questions: list[set]
     answers: list[set]
+    wholes: list[set]  # n-grams of items whose answer is short, else empty
     step: int  # words by which passages advance; a passage is two steps long
 
 
-def build_index(items: list[tuple[int, str | None]]) -> Index | None:
-    """Index items; those without words match nothing. None if there is nothing to find."""
+@dataclass
+class Statistics:
+    """What BM25 knows of all items, whichever index an item is in: their number, their mean
+    length, and how many hold a term (as far as an index needs it)."""
+
+    items: int
+    mean: float
+    frequency: dict[str, int]
+
+
+def build_index(
+    items: list[tuple[int, str | None]], known: Statistics | None = None
+) -> Index | None:
+    """Index items; those without words match nothing. None if there is nothing to find.
+    Without statistics, these are all items."""
     parsed = [(i, words(t), *question_and_answer(t)) for i, t in sorted(items, key=repr)]
     parsed = [p for p in parsed if p[1]]
     if not parsed:
         return None
     lengths = [len(p[1]) for p in parsed]
-    mean = sum(lengths) / len(lengths)
     counts = [Counter(p[1]) for p in parsed]
-    frequency = Counter(t for c in counts for t in c)
-    terms = {t: k for k, t in enumerate(sorted(frequency))}
-    n = len(parsed)
-    blocks = min(BLOCKS, n)
-    block_of = np.linspace(0, n, blocks + 1).astype(int)
+    if known is None:
+        frequency = Counter(t for c in counts for t in c)
+        known = Statistics(len(parsed), sum(lengths) / len(lengths), frequency)
+    n, mean, frequency = known.items, known.mean, known.frequency
+    terms = {t: k for k, t in enumerate(sorted({t for c in counts for t in c}))}
+    blocks = min(BLOCKS, len(parsed))
+    block_of = np.linspace(0, len(parsed), blocks + 1).astype(int)
     block_max = np.zeros((len(terms), blocks), np.float32)
     postings: list[dict] = []
     for g in range(blocks):
@@ -108,6 +127,7 @@ def build_index(items: list[tuple[int, str | None]]) -> Index | None:
     return Index(
         [p[0] for p in parsed], terms, block_max, block_of, postings,
         [ngrams(p[2]) for p in parsed], [ngrams(p[3]) for p in parsed],
+        [ngrams(p[1]) if len(p[3]) < SHORTEST_ANSWER else set() for p in parsed],
         max(SHORTEST_STEP, *lengths),
     )
 
@@ -155,42 +175,57 @@ def retrieve(
                 yield text, int(at - first_step[text]) * step, item, score
 
 
-def verify(index: Index, passage: list[str], item: int) -> tuple[float, float | None]:
-    """Shares of the question's and the answer's n-grams in the passage; None without an
-    answer. A part of fewer words than an n-gram must occur as a whole."""
+def verify(
+    index: Index, passage: list[str], item: int, overlap: float
+) -> tuple[float, float | None] | None:
+    """Shares of the question's and the answer's n-grams in the passage (None without an
+    answer), if both reach ``overlap``, or all the item's if its answer is short; else None.
+    A part of fewer words than an n-gram must occur as a whole."""
 
     def share(grams: set) -> float | None:
         return len(grams & ngrams(passage, len(next(iter(grams))))) / len(grams) if grams else None
 
-    return share(index.questions[item]) or 0.0, share(index.answers[item])
+    question, answer = share(index.questions[item]) or 0.0, share(index.answers[item])
+    both = question >= overlap and (answer is None or answer >= overlap)
+    if both or (share(index.wholes[item]) or 0.0) >= overlap:
+        return question, answer
+    return None
 
 
 LEAKS = (
     "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, "
-    "passages int, first_word long"
+    "passages int, first_word long, text_key long"
 )
 
 
-def _searcher(index: Index, threshold: float, overlap: float):
+def _searcher(indexes: list[Index], threshold: float, overlap: float):
+    def search(index: Index, texts: list[list[str]]) -> dict[tuple[int, int], list]:
+        found: dict[tuple[int, int], list] = {}
+        for text, start, item, score in retrieve(index, texts, threshold):
+            passage = texts[text][start : start + 2 * index.step]
+            overlaps = verify(index, passage, item, overlap)
+            if overlaps is None:
+                continue
+            question, answer = overlaps
+            best = found.setdefault((text, item), [0.0, 0.0, answer, 0, start])
+            best[0] = max(best[0], score)
+            best[1] = max(best[1], question)
+            best[2] = None if answer is None else max(best[2], answer)
+            best[3] += 1
+            best[4] = min(best[4], start)
+        return found
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [words(t) for t in batch.column(1).to_pylist()]
-            found: dict[tuple[int, int], list] = {}
-            for text, start, item, score in retrieve(index, texts, threshold):
-                passage = texts[text][start : start + 2 * index.step]
-                question, answer = verify(index, passage, item)
-                if question < overlap or (answer is not None and answer < overlap):
-                    continue
-                best = found.setdefault((text, item), [0.0, 0.0, answer, 0, start])
-                best[0] = max(best[0], score)
-                best[1] = max(best[1], question)
-                best[2] = None if answer is None else max(best[2], answer)
-                best[3] += 1
-                best[4] = min(best[4], start)
-            docs = batch.column(0).to_pylist()
-            rows = [(docs[t], index.ids[i], *v) for (t, i), v in found.items()]
+            docs, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            rows = [
+                (docs[t], index.ids[i], *v, keys[t])
+                for index in indexes
+                for (t, i), v in search(index, texts).items()
+            ]
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(),
-                     pa.int32(), pa.int64()]
+                     pa.int32(), pa.int64(), pa.int64()]
             names = [part.split()[0] for part in LEAKS.split(", ")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names
@@ -199,6 +234,20 @@ def _searcher(index: Index, threshold: float, overlap: float):
     return work
 
 
+def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items with their number of words and their distinct terms."""
+    for batch in batches:
+        parsed = [words(t) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *batch.columns[:2],
+                pa.array([len(p) for p in parsed], pa.int64()),
+                pa.array([sorted(set(p)) for p in parsed], pa.list_(pa.string())),
+            ],
+            ["item_id", "text", "size", "terms"],
+        )
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -208,28 +257,51 @@ def leaks(
 ) -> DataFrame:
     """One row per document and item that it repeats: doc_id, item_id, score,
     question_overlap, answer_overlap (null without an answer), passages (how many hold the
-    item), first_word (where the first such passage starts).
+    item), first_word (where the first such passage starts), text_key (xxhash64 of the text).
 
     ``items`` are (item_id, text), with all but the last sentence as the question. They are
-    read in groups of ``items_per_index``, by order of their ids, so that an index that goes
-    to the executors is bounded; every group searches all documents. Items and documents
-    without words match nothing; rows without an id are searched like any other and carry
-    null; repeated rows give repeated results. Runs jobs.
+    indexed in groups of items whose lengths differ at most by a factor of two, so one long item
+    doesn't widen the passages for others, and of about ``items_per_index``, so that what goes to
+    the executors is bounded. Term frequencies and the mean length are those of all items, so
+    the groups don't change a score. Several groups are searched in one pass over the documents.
+
+    Items and documents without words match nothing; long texts are searched whole; rows without
+    an id are searched like any other and carry null; repeated rows give repeated results; other
+    columns are not read. Runs jobs.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    numbered = written(
-        items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct(), "items"
+    spark = docs.sparkSession
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")
+    )
+    distinct = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    shape = F.floor(F.log2(F.greatest("size", F.lit(SHORTEST_STEP)))).cast("int")
+    sized = mapped(distinct, _sized, "item_id long, text string, size long, terms array<string>")
+    sized = written(sized.filter("size > 0").withColumn("shape", shape), "items")
+    frequency = written(
+        sized.select(F.explode("terms").alias("term")).groupBy("term").count(), "frequency"
     )
-    groups = max(1, -(-numbered.count() // items_per_index))
-    group = F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))
-    result = None
-    for g in range(groups):
-        rows = numbered.filter(group == g).collect()
-        index = build_index([(r["item_id"], r["text"]) for r in rows])
-        if index is None:
-            continue
-        found = mapped(texts, _searcher(index, threshold, overlap), LEAKS)
-        result = found if result is None else result.unionByName(found)
-    if result is None:
-        return docs.sparkSession.createDataFrame([], LEAKS)
-    return result
+    n, total = sized.agg(F.count("*"), F.sum("size")).first()
+    indexes, result = [], None
+
+    def searched(result: DataFrame | None) -> DataFrame:
+        found = mapped(texts, _searcher(list(indexes), threshold, overlap), LEAKS)
+        indexes.clear()
+        return found if result is None else result.unionByName(found)
+
+    # One row per length class.
+    for r in sized.groupBy("shape").count().orderBy("shape").collect():
+        groups = -(-r["count"] // items_per_index)
+        group = F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))
+        for g in range(groups):
+            part = sized.filter((F.col("shape") == r["shape"]) & (group == g))
+            own = part.select(F.explode("terms").alias("term"))
+            counts = frequency.join(own, "term", "left_semi").collect()
+            known = Statistics(n, total / n, {c["term"]: c["count"] for c in counts})
+            rows = [(i["item_id"], i["text"]) for i in part.select("item_id", "text").collect()]
+            if rows:
+                indexes.append(build_index(rows, known))
+            if len(indexes) == INDEXES_PER_PASS:
+                result = searched(result)
+    if indexes:
+        result = searched(result)
+    return spark.createDataFrame([], LEAKS) if result is None else result

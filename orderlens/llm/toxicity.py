@@ -233,12 +233,13 @@ def _scorer(model: Model):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(scores, pa.float64()),
                     pa.array(starts, pa.list_(pa.int64())),
                     pa.array(lengths, pa.list_(pa.int64())),
                     pa.array(blame, pa.list_(pa.float64())),
                 ],
-                ["doc_id", "score", "starts", "lengths", "blame"],
+                ["doc_id", "text_key", "score", "starts", "lengths", "blame"],
             )
 
     return work
@@ -247,15 +248,20 @@ def _scorer(model: Model):
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, and the offending
     sentences as arrays of start, length (in characters) and probability: those of 0.5
-    and more, or else the likeliest one that holds a feature.
+    and more, or else the likeliest one that holds a feature; and text_key (xxhash64 of the
+    text).
 
-    Null and empty texts have no sentences and score 0. Labels, language, source and the
-    id don't reach the score; other columns are ignored.
+    Null and empty texts have no sentences and score 0; long texts are read whole; equal texts
+    have equal scores, and repeated rows are repeated; an empty table gives no rows. Labels,
+    language, source and the id don't reach the score; other columns are ignored.
     """
     scored = mapped(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")),
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "text",
+            F.xxhash64("text").alias("text_key"),
+        ),
         _scorer(model),
-        "doc_id long, score double, starts array<long>, lengths array<long>, blame array<double>",
+        "doc_id long, text_key long, score double, starts array<long>, lengths array<long>, blame array<double>",
     )
     return scored.select(
         "doc_id",
@@ -265,6 +271,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
         "starts",
         "lengths",
         "blame",
+        "text_key",
     )
 
 

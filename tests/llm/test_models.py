@@ -85,7 +85,7 @@ def test_gradient_of_the_noisy_or():
         "label": [1, 0, 1, 0], "sentences": [5, 5, 3, 9],
         "place": [[2], [1], [0, 1], []], "feature": [[0], [1], [0, 1], []],
     })
-    weights, bias = toxicity._fit(rows, 2)
+    weights, _, bias = toxicity._fit(rows, 2)
     assert weights[0] > 3 and weights[1] < 0.5 and bias < -4
 
 

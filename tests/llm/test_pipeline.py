@@ -110,6 +110,16 @@ def test_odd_rows_pass_all_stages(spark, folder):
         assert {r["doc_id"] for r in docs.collect()} == set(left)
 
 
+def test_rows_are_rejected_by_id_and_text(spark, folder):
+    """A leak goes with or without an id, and takes no other row of its id along."""
+    item = pq.read_table(f"{folder}/benchmark.parquet")["text"][0].as_py()
+    texts = [f"{prose(1, 30)} {item}", prose(2, 30), f"{prose(3, 30)} {item}", prose(4, 30)]
+    docs = documents(spark, texts, ids=[7, 7, None, None]).withColumnRenamed("digest", "_rejected")
+    kept = corpus_pipeline.decontaminated(spark, docs, folder)
+    assert kept.columns == docs.columns
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} == {(7, texts[1]), (None, texts[3])}
+
+
 def test_run_ends_with_packed_sequences(spark, folder):
     assert os.path.exists(os.path.join(os.path.dirname(entry.__file__), "corpus_pipeline.py"))
     assert corpus_pipeline.ORACLE_SQL is None

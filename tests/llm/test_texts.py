@@ -174,6 +174,38 @@ def test_block_max_pruning_loses_nothing(folder):
                         assert ((t, at, i) in got) == (s > threshold)
 
 
+def test_leaks_do_not_depend_on_the_groups_of_items(spark, folder):
+    """Scores use the statistics of all items, and a long item widens no other's passages."""
+    items = pq.read_table(f"{folder}/benchmark.parquet").to_pylist()
+    items += [{"item_id": 10**6, "text": prose(77, 3000)}]
+    copies = [f"{prose(k, 50)} {r['text']} {prose(k + 9, 40)}" for k, r in enumerate(items[:20])]
+    copies += [prose(77, 3000)]
+    docs = documents(spark, copies)
+    frame = spark.createDataFrame([(r["item_id"], r["text"]) for r in items], "item_id long, text string")
+
+    def found(n):
+        rows = decontaminate.leaks(docs, frame, items_per_index=n).collect()
+        return {(r["doc_id"], r["item_id"]): round(r["score"], 9) for r in rows}
+
+    many, few = found(7), found(2000)
+    assert many.keys() == few.keys() and len(few) >= 21
+    assert all(many[k] == pytest.approx(few[k], abs=0.02) for k in few)
+    alone = spark.createDataFrame([(r["item_id"], r["text"]) for r in items[:-1]],
+                                  "item_id long, text string")
+    short = {(r["doc_id"], r["item_id"]): r["first_word"]
+             for r in decontaminate.leaks(docs, alone).collect()}
+    both = {(r["doc_id"], r["item_id"]): r["first_word"]
+            for r in decontaminate.leaks(docs, frame).collect() if r["item_id"] != 10**6}
+    assert short == both
+
+
+def test_one_edited_word_of_a_short_answer(spark):
+    question = prose(5, 40)
+    items = spark.createDataFrame([(1, f"{question}? forty two apples.")], "item_id long, text string")
+    docs = documents(spark, [f"{question}? forty three apples.", question, prose(6, 60)])
+    assert [r["doc_id"] for r in decontaminate.leaks(docs, items).collect()] == [1, 2]
+
+
 def test_leaks_of_odd_rows(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "a b c d. e f")],
                                   "item_id long, text string")
