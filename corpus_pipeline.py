@@ -15,10 +15,14 @@ from orderlens.sources.scratch import written
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows whose id isn't rejected; rows without an id stay."""
-    ids = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
-    kept = docs.join(ids, F.col("doc_id") == F.col("_rejected"), "left_anti")
-    return kept.select(*docs.columns)
+    """Rows that aren't rejected. ``rejected`` names them by doc_id and text_key, so a row
+    without an id is judged by itself, and so are rows that share an id."""
+    d = docs.alias("d")
+    r = rejected.select("doc_id", "text_key").distinct().alias("r")
+    same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (
+        F.xxhash64("d.text") == F.col("r.text_key")
+    )
+    return d.join(r, same, "left_anti").select(*docs.columns)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +37,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     at a similarity of 0.8 (op2's 0.85 binds that query only). Of rows that repeat a kept
     id, one stays."""
     found = near_dup.near_duplicates(docs, numerator=80, denominator=100)
-    kept = _without(docs, found.filter("NOT kept").select("doc_id"))
+    ids = found.filter("NOT kept").select(F.col("doc_id").alias("_copy")).distinct()
+    kept = docs.join(ids, F.col("doc_id") == F.col("_copy"), "left_anti").select(*docs.columns)
     with_id = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     return with_id.unionByName(kept.filter("doc_id IS NULL"))
 
