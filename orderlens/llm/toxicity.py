@@ -30,7 +30,7 @@ TRAINING_DOCS = 20_000
 # likelihood of the labels by knowing the feature (as 4 standard deviations).
 LEAST_GAIN = 16.0
 PREFIXES = (3, 4, 5, 6, 7)
-STEPS, RATE, PENALTY = 400, 0.1, 5e-5
+STEPS, RATE, PENALTY, SIZE_PENALTY = 400, 0.1, 5e-5, 1e-3
 # Features that one task counts before it hands them on.
 COUNTED_AT_ONCE = 400_000
 
@@ -160,15 +160,17 @@ def train(
         _featured({name: k for k, name in enumerate(names)}),
         "doc_id long, label int, sentences long, place array<int>, feature array<int>",
     ).toArrow().sort_by([("doc_id", "ascending"), ("sentences", "ascending")])
-    weights, size, bias = _fit(rows, len(names))
+    weights, (size, middle), bias = _fit(rows, len(names))
     used = {n: float(w) for n, w in zip(names, weights, strict=True) if abs(w) > 1e-3}
-    return Model(used, float(bias), float(size))
+    return Model(used, float(bias - size * middle), float(size))
 
 
-def _fit(rows: pa.Table, n_features: int) -> tuple[np.ndarray, float, float]:
+def _fit(rows: pa.Table, n_features: int) -> tuple[np.ndarray, tuple[float, float], float]:
     """Adam on the mean log-likelihood of the noisy-or, in numpy.
 
-    With A = sum over sentences of softplus(z_s), the probability is 1 - exp(-A).
+    With A = sum over sentences of softplus(z_s), the probability is 1 - exp(-A). Returns
+    the weights, that of a document's log number of sentences with the number's mean, and the
+    bias at that mean.
     """
     label = rows["label"].to_numpy().astype(float)
     total = rows["sentences"].to_numpy().astype(float)
@@ -200,12 +202,13 @@ def _fit(rows: pa.Table, n_features: int) -> tuple[np.ndarray, float, float]:
         by_feature = np.bincount(feature, by_sentence[sentence], minlength=n_features)
         gradient = np.concatenate([by_feature, [by_doc @ size, by_doc.sum()]]) / len(label)
         gradient[:-2] -= PENALTY * w
+        gradient[-2] -= SIZE_PENALTY * theta[-2]
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta = theta + RATE * (first / (1 - 0.9**step)) / (
             np.sqrt(second / (1 - 0.999**step)) + 1e-9
         )
-    return theta[:-2], theta[-2], theta[-1] - theta[-2] * middle
+    return theta[:-2], (theta[-2], middle), theta[-1]
 
 
 def _scorer(model: Model):
