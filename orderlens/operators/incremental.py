@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from orderlens.sources.scratch import written
+from orderlens.sources.tables import latest_folder, write_table, write_version
 
 
 def changed_rows(
@@ -82,64 +77,12 @@ def newest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
 
 
 # ---- tables on disk ----
-#
-# A merged table is a folder of immutable data folders, one per touched partition and
-# commit, and of commits. A commit is a small file that names the data folder of every
-# partition, and the table's schema; the newest complete one is the table. Readers see a
-# commit as a whole or not at all, and a write that breaks off leaves only folders that no
-# commit names.
-
-COMMIT = "number long, schema string, folders map<string,string>"
-
-
-@dataclass(frozen=True)
-class Commit:
-    number: int
-    schema: StructType
-    folders: dict[str, str]
-
-
-def last_commit(spark: SparkSession, path: str) -> Commit | None:
-    """The newest complete commit of the table at ``path``."""
-    fs, done = _file_system(spark, f"{path}/_commits/*/_SUCCESS")
-    names = [status.getPath().getParent().getName() for status in fs.globStatus(done) or []]
-    if not names:
-        return None
-    row = spark.read.schema(COMMIT).json(f"{path}/_commits/{max(names)}").first()
-    schema = StructType.fromJson(json.loads(row["schema"]))
-    return Commit(row["number"], schema, row["folders"] or {})
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a write of a merged table has been finished at ``path``."""
-    return last_commit(spark, path) is not None
-
-
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    """The table as its last commit says. Columns that older files lack are NULL, and
-    columns that the last source didn't have are gone."""
-    commit = last_commit(spark, path)
-    if commit is None:
-        raise FileNotFoundError(f"no complete commit in {path}")
-    return _rows_of(spark, commit, commit.folders)
-
-
-def _rows_of(spark: SparkSession, commit: Commit, partitions: Iterable[str]) -> DataFrame:
-    folders = [commit.folders[p] for p in sorted(partitions)]
-    if not folders:
-        return spark.createDataFrame([], commit.schema)
-    return spark.read.schema(commit.schema).parquet(*folders)
-
 
-def _partition(column: str) -> Column:
-    """A name for a partition value that any file system can hold; NULL has one too."""
-    text = F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("NULL"))
-    return F.substring(F.sha2(text, 256), 1, 24)
 
-
-def write_merged(df: DataFrame, path: str, key: str, partition_by: str) -> None:
-    """Replace the whole table by ``df``, in one commit. ``df`` may read the table."""
-    _commit(df, path, key, partition_by, last_commit(df.sparkSession, path), replace=True)
+def replace_table(df: DataFrame, path: str, key: str, partition_by: str) -> None:
+    """Replace the whole table by ``df``, which may read it. Readers see the old rows until
+    the new ones are complete."""
+    write_version(df, path, [partition_by], [key])
 
 
 def merge_into_table(
@@ -150,80 +93,64 @@ def merge_into_table(
     order_col: str | None = None,
     may_move: bool = True,
 ) -> None:
-    """Upsert into a table on disk, rewriting only the partitions that gain, change or
-    lose a row. Runs jobs.
+    """Upsert into a table on disk by a dynamic overwrite of the partitions that gain, change
+    or lose a row; the others aren't read or written. Runs jobs.
 
     With ``order_col`` the row with the largest value wins, among ``changes`` and against
     the stored row (of equal ones the new row); without, ``changes`` must hold a key once.
     ``may_move`` says that a key may come with another partition than it is stored in; then
-    the stored keys are read to find their partitions. Without it only the partitions of
-    ``changes`` are read. The table takes the columns of ``changes``.
+    stored keys are looked up, in the files whose key range meets that of the changes.
+    Without it only the partitions of ``changes`` are read.
+
+    The whole table is written anew, next to the old one, if its columns change or a partition
+    loses its last row. A merge that breaks off leaves the old rows, and one that is repeated
+    gives the same table. Writers may work at the same time only on different partitions. The
+    partition column is read back with Spark's inferred type: a date, a number or text.
     """
     spark = changes.sparkSession
     if order_col is not None:
         changes = newest_per_key(changes, key, order_col)
-    old = last_commit(spark, path)
-    if old is None:
-        _commit(changes, path, key, partition_by, None, replace=True)
+    folder = latest_folder(spark, path)
+    if folder is None:
+        replace_table(changes, path, key, partition_by)
         return
     changes = written(changes, "changes")
-    touched = _partitions(changes, partition_by)
-    if not touched:
+    stored = spark.read.parquet(folder)
+    if stored.isEmpty():
+        replace_table(changes, path, key, partition_by)
         return
+    same_columns = set(stored.columns) == set(changes.columns)
+    stored = sync_columns(stored, changes)
+    # One row per partition of the layout (months, years).
+    touched = changes.select(partition_by).distinct()
     if may_move:
-        stored = _rows_of(spark, old, old.folders).select(key, partition_by)
-        touched |= _partitions(stored.join(changes.select(key), key, "left_semi"), partition_by)
-    stored = sync_columns(_rows_of(spark, old, touched & old.folders.keys()), changes)
-    if order_col is None:
-        merged = stored.join(changes.select(key), key, "left_anti").unionByName(changes)
+        ends = changes.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+        near = stored.filter(F.col(key).between(F.lit(ends["low"]), F.lit(ends["high"])))
+        homes = near.select(key, partition_by).join(changes.select(key), key, "left_semi")
+        touched = touched.unionByName(homes.select(partition_by)).distinct()
+    touched = written(touched, "touched")
+    if same_columns:
+        own = touched.withColumnRenamed(partition_by, "_touched")
+        stored = stored.join(own, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
+    merged = written(_merged(stored, changes, key, order_col), "merged")
+    left = merged.select(F.col(partition_by).alias("_left")).distinct()
+    lost = touched.join(left, F.col(partition_by).eqNullSafe(F.col("_left")), "left_anti")
+    if not same_columns:
+        replace_table(merged, path, key, partition_by)
+    elif lost.isEmpty():
+        write_table(merged, folder, [partition_by], [key], dynamic=True)
     else:
-        both = stored.withColumn("_new", F.lit(0)).unionByName(
-            changes.withColumn("_new", F.lit(1))
+        rest = sync_columns(spark.read.parquet(folder), changes).join(
+            own, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_anti"
         )
-        row = F.struct(*changes.columns)
-        newest = F.max_by(row, F.struct(order_col, "_new"))
-        merged = both.groupBy(key).agg(newest.alias("_row")).select("_row.*")
-    _commit(merged, path, key, partition_by, old, replace=False, touched=touched)
+        replace_table(rest.unionByName(merged), path, key, partition_by)
 
 
-def _partitions(df: DataFrame, column: str) -> set[str]:
-    """Partitions of the rows: at most as many as the table's layout has (months, years)."""
-    return {r["p"] for r in df.select(_partition(column).alias("p")).distinct().collect()}
-
-
-def _commit(
-    df: DataFrame,
-    path: str,
-    key: str,
-    partition_by: str,
-    old: Commit | None,
-    replace: bool,
-    touched: Iterable[str] = (),
-) -> None:
-    """Write data folders of the touched partitions, then name them in a new commit."""
-    spark = df.sparkSession
-    number = old.number + 1 if old else 1
-    data = f"{path}/data/{number:012d}-{uuid.uuid4().hex}"
-    (
-        df.withColumn("_part", _partition(partition_by))
-        .hint("rebalance", "_part")
-        .sortWithinPartitions("_part", key)
-        .write.partitionBy("_part")
-        .parquet(data)
-    )
-    fs, made = _file_system(spark, f"{data}/_part=*")
-    new = {
-        status.getPath().getName().partition("=")[2]: status.getPath().toString()
-        for status in fs.globStatus(made) or []
-    }
-    kept = {} if replace or old is None else {
-        p: folder for p, folder in old.folders.items() if p not in set(touched)
-    }
-    row = (number, json.dumps(json.loads(df.schema.json())), kept | new)
-    commit = spark.createDataFrame([row], COMMIT).coalesce(1)
-    commit.write.mode("overwrite").json(f"{path}/_commits/{number:012d}")
-
-
-def _file_system(spark: SparkSession, path: str):
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+def _merged(
+    stored: DataFrame, changes: DataFrame, key: str, order_col: str | None
+) -> DataFrame:
+    if order_col is None:
+        return stored.join(changes.select(key), key, "left_anti").unionByName(changes)
+    both = stored.withColumn("_new", F.lit(0)).unionByName(changes.withColumn("_new", F.lit(1)))
+    newest = F.max_by(F.struct(*changes.columns), F.struct(order_col, "_new"))
+    return both.groupBy(key).agg(newest.alias("_row")).select("_row.*")

@@ -1,8 +1,9 @@
 """Build all tables of the shop into a folder.
 
-Dimensions, daily and monthly marts are written new; order facts are merged, only for
-recent and named orders; customer and product history gets one more version of its
-table. What later plans share is read back from what was written.
+Dimensions, daily and monthly marts are written new, next to the old ones, which stay readable
+until then; order facts are merged, only for recent and named orders; customer and product
+history gets one more version of its table. What later plans share is read back from what was
+written.
 """
 
 from __future__ import annotations
@@ -11,22 +12,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.calendar import date_spine
 from orderlens.operators.history import scd2_apply
-from orderlens.operators.incremental import (
-    last_commit,
-    merge_into_table,
-    read_merged,
-    write_merged,
-)
+from orderlens.operators.incremental import merge_into_table, replace_table
 from orderlens.params import Params
 from orderlens.plans import core, finance, marketing
 from orderlens.plans.enrich import with_written_lines
 from orderlens.plans.staging import stamp
-from orderlens.sources.tables import Shop, write_table
+from orderlens.sources.scratch import written
+from orderlens.sources.tables import Shop, latest_version, versions, write_version
 
 HISTORIES = {
     "snap_customers": ("users", "user_id", ["customer_segment", "country"]),
@@ -55,6 +52,28 @@ LAYOUTS = {
 }
 
 
+def due_for_refresh(
+    shop: Shop, newest: Column, lookback_days: int, changed_orders: DataFrame | None = None
+) -> Shop:
+    """The shop cut down to what an incremental run reads: orders dated no earlier than
+    ``lookback_days`` before ``newest`` and those in ``changed_orders``, their items and
+    the items' returns. Everything is cut before any join of the plans."""
+    due = newest.isNull() | (F.col("order_date") >= F.date_sub(newest, lookback_days))
+    orders = shop.orders
+    if changed_orders is None:
+        orders = orders.filter(due)
+    else:
+        named = changed_orders.select(F.col("order_id").alias("_named")).distinct()
+        orders = orders.join(named, F.col("order_id") == F.col("_named"), "left").filter(
+            due | F.col("_named").isNotNull()
+        ).drop("_named")
+    orders = written(orders, "due_orders")
+    items = shop.order_items.join(orders.select("order_id"), "order_id", "left_semi")
+    items = written(items, "due_items")
+    returns = shop.returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
+    return shop.replace(orders=orders, order_items=items, returns=returns)
+
+
 def refresh_orders(
     shop: Shop,
     p: Params,
@@ -66,39 +85,18 @@ def refresh_orders(
     orders in the lookback, those in ``changed_orders`` and those with a return since the
     last run's newest order are read and joined: the newest date is one small query, and
     the items are cut down to these orders before any join."""
-    spark = shop.orders.sparkSession
-    if full_refresh or last_commit(spark, path) is None:
-        write_merged(core.fct_orders(shop, p), path, "order_id", "order_month")
+    stored = None if full_refresh else latest_version(shop.orders.sparkSession, path)
+    if stored is None:
+        replace_table(core.fct_orders(shop, p), path, "order_id", "order_month")
         return
-    newest = read_merged(spark, path).agg(F.max("order_date")).first()[0]
-    due = shop.orders
-    if newest is not None:
-        since = F.date_sub(F.lit(newest), p.lookback_days)
-        late = shop.returns.filter(F.col("return_date") >= since).select("order_item_id")
-        named = shop.order_items.join(late, "order_item_id", "left_semi").select("order_id")
-        if changed_orders is not None:
-            named = named.unionByName(changed_orders.select("order_id"))
-        named = shop.orders.join(named, "order_id", "left_semi")
-        due = due.filter(F.col("order_date") >= since)
-        due = due.unionByName(named).dropDuplicates(["order_id"])
-    items = shop.order_items.join(due.select("order_id"), "order_id", "left_semi")
-    returns = shop.returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
-    changes = core.fct_orders(shop.replace(orders=due, order_items=items, returns=returns), p)
-    merge_into_table(path, changes, "order_id", "order_month")
-
-
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Folders of the complete versions of a versioned table, oldest first."""
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    fs = files.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = fs.globStatus(files.Path(f"{path}/version=*/_SUCCESS")) or []
-    return sorted(status.getPath().getParent().toString() for status in done)
-
-
-def latest_version(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version of a versioned table."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(versions[-1]) if versions else None
+    newest = F.lit(stored.agg(F.max("order_date")).first()[0])
+    since = F.date_sub(newest, p.lookback_days)
+    late = shop.returns.filter(F.col("return_date") >= since).select("order_item_id")
+    named = shop.order_items.join(late, "order_item_id", "left_semi").select("order_id")
+    if changed_orders is not None:
+        named = named.unionByName(changed_orders.select("order_id"))
+    due = due_for_refresh(shop, newest, p.lookback_days, named)
+    merge_into_table(path, core.fct_orders(due, p), "order_id", "order_month")
 
 
 def refresh_history(snapshot: DataFrame, path: str, key: str, check: list[str], at: datetime):
@@ -107,12 +105,12 @@ def refresh_history(snapshot: DataFrame, path: str, key: str, check: list[str],
     the same time finds its version complete and leaves it as it is; one that broke off
     is written again from the version before."""
     spark = snapshot.sparkSession
-    name = f"version={at:%Y%m%d%H%M%S%f}"
-    versions = _versions(spark, path)
-    if any(v.endswith(f"/{name}") for v in versions):
+    name = f"{at:%Y%m%d%H%M%S%f}"
+    done = versions(spark, path)
+    if any(v.endswith(f"/version={name}") for v in done):
         return
-    old = spark.read.parquet(versions[-1]) if versions else None
-    write_table(scd2_apply(old, snapshot, key, check, F.lit(at)), f"{path}/{name}")
+    old = spark.read.parquet(done[-1]) if done else None
+    write_version(scd2_apply(old, snapshot, key, check, F.lit(at)), path, name=name)
 
 
 def build(
@@ -145,16 +143,13 @@ def build(
     }
 
     def facts() -> DataFrame:
-        return read_merged(spark, f"{folder}/fct_orders")
+        return latest_version(spark, f"{folder}/fct_orders")
 
     def customers() -> DataFrame:
-        return spark.read.parquet(f"{folder}/dim_customers").drop("_updated_at")
+        return latest_version(spark, f"{folder}/dim_customers").drop("_updated_at")
 
     for name, plan in plans.items():
         layout = LAYOUTS[name]
-        write_table(plan(), f"{folder}/{name}", layout.partition_by, layout.sort_by)
-    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in plans}
-    tables["fct_orders"] = facts()
-    for name in HISTORIES:
-        tables[name] = latest_version(spark, f"{folder}/{name}")
-    return tables
+        write_version(plan(), f"{folder}/{name}", layout.partition_by, layout.sort_by)
+    names = [*plans, "fct_orders", *HISTORIES]
+    return {name: latest_version(spark, f"{folder}/{name}") for name in names}

@@ -5,6 +5,7 @@ from orderlens.sources.scratch import run_folder, shared_folder, written
 from orderlens.sources.tables import (
     RAW_SCHEMAS,
     Shop,
+    latest_version,
     read_shop,
     read_table,
     write_bucketed,
@@ -15,6 +16,7 @@ __all__ = [
     "RAW_SCHEMAS",
     "SALES_PARAMS",
     "Shop",
+    "latest_version",
     "read_shop",
     "read_table",
     "run_folder",

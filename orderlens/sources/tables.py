@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,8 +96,10 @@ def write_table(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
+    dynamic: bool = False,
 ) -> None:
-    """Write a parquet table, optionally partitioned and clustered.
+    """Write a parquet table, optionally partitioned and clustered. ``dynamic`` overwrites only
+    the partitions that ``df`` has rows of; they stay as they are if the write breaks off.
 
     ``rebalance`` groups the rows of a partition value into few files, and adaptive
     execution splits a partition value that holds too much for one task.
@@ -105,10 +108,58 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer = df.write.mode(mode)
+    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.partitionBy(*partition_by).parquet(path)
 
 
+# A table that is replaced as a whole keeps its versions side by side, each in a folder of its
+# own. Readers take the newest one that Spark has marked as complete, so the old rows can be
+# read until the new ones are all there. The folder's owner expires old versions.
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the complete versions of a table, oldest first."""
+    done = _glob(spark, f"{path}/version=*/_SUCCESS")
+    return sorted(status.getPath().getParent().toString() for status in done)
+
+
+def _glob(spark: SparkSession, pattern: str) -> list:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return list(fs.globStatus(path) or [])
+
+
+def latest_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest complete version."""
+    return max(versions(spark, path), default=None)
+
+
+def latest_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version of a table."""
+    folder = latest_folder(spark, path)
+    return None if folder is None else spark.read.parquet(folder)
+
+
+def write_version(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    name: str | None = None,
+) -> None:
+    """Write the next version of a table, which ``df`` may read, under its number or ``name``."""
+    if name is None:
+        newest = latest_folder(df.sparkSession, path)
+        number = int(newest.rsplit("=")[-1].split("-")[0]) + 1 if newest else 1
+        name = f"{number:012d}-{uuid.uuid4().hex}"
+    folder = f"{path}/version={name}"
+    write_table(df, folder, partition_by, sort_by)
+    if partition_by and not _glob(df.sparkSession, f"{folder}/*=*"):
+        # Without rows there is no partition, and so no file that holds the columns.
+        df.limit(0).write.mode("overwrite").parquet(folder)
+
+
 def write_bucketed(
     df: DataFrame, table: str, key: str, buckets: int, sort_by: Sequence[str] = ()
 ) -> None:

@@ -1,3 +1,5 @@
+import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -6,15 +8,13 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.incremental import (
     incremental_merge,
-    last_commit,
     merge_into_table,
     newest_per_key,
-    read_merged,
+    replace_table,
     sync_columns,
-    table_exists,
-    write_merged,
 )
-from orderlens.sources import run_folder
+from orderlens.sources import latest_version, run_folder, write_table
+from orderlens.sources.tables import latest_folder, versions
 
 SCHEMA = "id int, day date, state string"
 
@@ -98,12 +98,24 @@ def table(spark, rows_, schema=SCHEMA):
     return with_month(spark.createDataFrame(rows_, schema))
 
 
+def files_of(spark, path):
+    """Data files of the newest version, by partition folder."""
+    folder = latest_folder(spark, path).removeprefix("file:")
+    return {
+        part: {f for f in os.listdir(f"{folder}/{part}") if f.endswith(".parquet")}
+        for part in os.listdir(folder) if "=" in part
+    }
+
+
 def test_table_merge_rewrites_only_touched_partitions(spark):
     path = run_folder(spark, "table")
-    first = [(1, date(2023, 1, 5), "a"), (2, date(2023, 2, 5), "a"), (3, date(2023, 3, 5), "a")]
+    first = [
+        (1, date(2023, 1, 5), "a"), (2, date(2023, 2, 5), "a"), (6, date(2023, 2, 7), "a"),
+        (3, date(2023, 3, 5), "a"), (7, date(2023, 3, 6), "a"), (8, date(2023, 5, 1), "a"),
+    ]
     merge_into_table(path, table(spark, first), "id", "month")
-    before = last_commit(spark, path).folders
-    assert len(before) == 3
+    before = files_of(spark, path)
+    assert len(before) == 4
 
     # 2 changes in place, 3 moves to January, 4 is new.
     change = table(
@@ -111,22 +123,36 @@ def test_table_merge_rewrites_only_touched_partitions(spark):
         [(2, date(2023, 2, 6), "b"), (3, date(2023, 1, 9), "b"), (4, date(2023, 4, 1), "b")],
     )
     want = [
-        (1, date(2023, 1, 5), "a"),
-        (2, date(2023, 2, 6), "b"),
-        (3, date(2023, 1, 9), "b"),
-        (4, date(2023, 4, 1), "b"),
+        (1, date(2023, 1, 5), "a"), (2, date(2023, 2, 6), "b"), (3, date(2023, 1, 9), "b"),
+        (4, date(2023, 4, 1), "b"), (6, date(2023, 2, 7), "a"), (7, date(2023, 3, 6), "a"),
+        (8, date(2023, 5, 1), "a"),
     ]
     for _ in range(2):  # a replayed batch changes nothing
         merge_into_table(path, change, "id", "month")
-        assert rows(read_merged(spark, path), "id", "day", "state") == want
-        assert len(last_commit(spark, path).folders) == 3
+        assert rows(latest_version(spark, path), "id", "day", "state") == want
+    after = files_of(spark, path)
+    assert len(after) == 5 and len(versions(spark, path)) == 1
+    assert after["month=2023-05-01"] == before["month=2023-05-01"]
+    assert after["month=2023-03-01"] != before["month=2023-03-01"]
 
     # A batch for April leaves the files of the other months alone.
-    kept = set(last_commit(spark, path).folders.items())
     late = table(spark, [(5, date(2023, 4, 2), "c")])
     merge_into_table(path, late, "id", "month", may_move=False)
-    assert len(kept & set(last_commit(spark, path).folders.items())) == 2
-    assert read_merged(spark, path).count() == 5
+    then = files_of(spark, path)
+    assert {p for p in then if then[p] != after[p]} == {"month=2023-04-01"}
+    assert latest_version(spark, path).count() == 8
+
+
+def test_a_month_that_loses_its_last_row(spark):
+    path = run_folder(spark, "table")
+    first = [(1, date(2023, 1, 5), "a"), (2, date(2023, 2, 5), "a"), (3, None, "a")]
+    merge_into_table(path, table(spark, first), "id", "month")
+    merge_into_table(path, table(spark, [(2, date(2023, 1, 9), "b")]), "id", "month")
+    want = [(1, date(2023, 1, 5), "a"), (2, date(2023, 1, 9), "b"), (3, None, "a")]
+    assert rows(latest_version(spark, path), "id", "day", "state") == want
+    merge_into_table(path, table(spark, [(3, date(2023, 1, 1), "c")]), "id", "month")
+    assert set(files_of(spark, path)) == {"month=2023-01-01"}
+    assert latest_version(spark, path).count() == 3
 
 
 def test_table_merge_with_changed_columns_and_null_partition(spark):
@@ -135,10 +161,10 @@ def test_table_merge_with_changed_columns_and_null_partition(spark):
     merge_into_table(path, first, "id", "month")
     change = table(spark, [(2, date(2023, 1, 7), "b")]).withColumn("extra", F.lit(7))
     merge_into_table(path, change, "id", "month")
-    got = read_merged(spark, path)
+    got = latest_version(spark, path)
     assert rows(got, "id", "state", "extra") == [(1, "a", None), (2, "b", 7)]
     merge_into_table(path, change.drop("state"), "id", "month")
-    assert read_merged(spark, path).columns == ["id", "day", "month", "extra"]
+    assert sorted(latest_version(spark, path).columns) == ["day", "extra", "id", "month"]
 
 
 def test_moved_key_with_a_partition_name_that_needs_escaping(spark):
@@ -146,7 +172,7 @@ def test_moved_key_with_a_partition_name_that_needs_escaping(spark):
     schema = "id int, part string"
     merge_into_table(path, spark.createDataFrame([(1, "x:1/%="), (2, "x")], schema), "id", "part")
     merge_into_table(path, spark.createDataFrame([(1, "y")], schema), "id", "part")
-    assert rows(read_merged(spark, path)) == [(1, "y"), (2, "x")]
+    assert rows(latest_version(spark, path)) == [(1, "y"), (2, "x")]
 
 
 def test_newest_row_wins_over_batches(spark):
@@ -155,18 +181,70 @@ def test_newest_row_wins_over_batches(spark):
     for batch in ([(1, 5, "a"), (2, 1, "a")], [(1, 3, "b"), (2, 2, "b")], [(1, 4, "a")]):
         changes = spark.createDataFrame(batch, schema)
         merge_into_table(path, changes, "id", "part", order_col="version")
-    assert rows(read_merged(spark, path)) == [(1, 5, "a"), (2, 2, "b")]
+    assert rows(latest_version(spark, path), "id", "version", "part") == [(1, 5, "a"), (2, 2, "b")]
 
 
-def test_write_that_broke_off_is_not_a_table(spark):
+def test_a_merge_reads_only_files_near_the_changed_keys(spark):
+    """Keys outside the range of the changes are pruned by the files' statistics."""
+    near = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     path = run_folder(spark, "table")
-    first = table(spark, [(1, date(2023, 1, 5), "a")])
-    first.write.parquet(f"{path}/data/half")
-    first.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").json(
-        f"{path}/_commits/000000000001"
-    )
-    assert not table_exists(spark, path)
+    keyed = near.select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 3).alias("part"))
+    merge_into_table(path, keyed, "id", "part")
+    stored = latest_version(spark, path).filter(F.col("id").between(5, 9))
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,5)" in plan and "LessThanOrEqual(id,9)" in plan
+
+
+def test_a_write_that_breaks_off_leaves_the_old_rows(spark):
+    path = run_folder(spark, "table")
+    first = table(spark, [(k, date(2023, 1 + k % 3, 5), "a") for k in range(30)])
+    merge_into_table(path, first, "id", "month")
+    want = rows(latest_version(spark, path), "id", "state")
+    breaks = F.when(F.col("id") == 29, F.raise_error(F.lit("lost"))).otherwise(F.lit("b"))
+    broken = first.withColumn("state", breaks)
+    with pytest.raises(Exception, match="lost"):
+        write_table(broken, latest_folder(spark, path), ["month"], ["id"], dynamic=True)
+    assert rows(latest_version(spark, path), "id", "state") == want
+    with pytest.raises(Exception, match="lost"):
+        replace_table(broken, path, "id", "month")
+    assert rows(latest_version(spark, path), "id", "state") == want
+    with pytest.raises(Exception, match="lost"):
+        merge_into_table(path, broken, "id", "month")
+    assert rows(latest_version(spark, path), "id", "state") == want
+    merge_into_table(path, first.withColumn("state", F.lit("c")), "id", "month")
+    assert {r["state"] for r in latest_version(spark, path).collect()} == {"c"}
+
+
+def test_two_writers_of_different_months(spark):
+    path = run_folder(spark, "table")
+    first = table(spark, [(k, date(2023, 1 + k % 2, 5), "a") for k in range(40)])
     merge_into_table(path, first, "id", "month")
-    assert read_merged(spark, path).count() == 1
-    write_merged(read_merged(spark, path).withColumn("state", F.lit("z")), path, "id", "month")
-    assert rows(read_merged(spark, path), "state") == [("z",)]
+    parts = [first.filter(F.col("id") % 2 == n).withColumn("state", F.lit(f"w{n}")) for n in (0, 1)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda c: merge_into_table(path, c, "id", "month", may_move=False), parts))
+    got = latest_version(spark, path)
+    assert {(r["id"], r["state"]) for r in got.collect()} == {(k, f"w{k % 2}") for k in range(40)}
+    assert got.count() == 40
+
+
+def test_empty_tables(spark):
+    path = run_folder(spark, "table")
+    none = table(spark, [])
+    merge_into_table(path, none, "id", "month")
+    assert latest_version(spark, path).count() == 0
+    merge_into_table(path, none, "id", "month")
+    merge_into_table(path, table(spark, [(1, date(2023, 1, 5), "a")]), "id", "month")
+    merge_into_table(path, none, "id", "month")
+    assert rows(latest_version(spark, path), "id", "state") == [(1, "a")]
+
+
+def test_a_table_stays_readable_while_it_is_replaced(spark):
+    path = run_folder(spark, "table")
+    replace_table(table(spark, [(1, date(2023, 1, 5), "a")]), path, "id", "month")
+    old = latest_version(spark, path)
+    replace_table(old.withColumn("state", F.lit("z")), path, "id", "month")
+    assert rows(old, "state") == [("a",)]
+    assert rows(latest_version(spark, path), "state") == [("z",)]
+    half = f"{path}/version=999999999999-x"
+    old.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    assert rows(latest_version(spark, path), "state") == [("z",)]

@@ -4,10 +4,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from orderlens.catalog import QUERIES
-from orderlens.operators.incremental import read_merged
-from orderlens.sources import run_folder
+from orderlens.sources import latest_version, run_folder
 from orderlens.sources.commerce import SALES_SCHEMAS
-from orderlens.streaming.jobs import late_rows, stream_daily, stream_upsert
+from orderlens.streaming.jobs import LateRows, daily_windows, stream_daily, stream_upsert
 
 ORDER = "order_id int, version int, day date, state string"
 
@@ -25,7 +24,7 @@ def test_stream_upsert_over_several_arrivals(spark):
         stream = spark.readStream.schema(ORDER).parquet(landing)
         stream = stream.withColumn("month", F.trunc("day", "month"))
         stream_upsert(stream, table, "order_id", "version", "month", checkpoint).awaitTermination()
-        return rows(read_merged(spark, table), "order_id", "version", "state")
+        return rows(latest_version(spark, table), "order_id", "version", "state")
 
     jan, feb = date(2023, 1, 5), date(2023, 2, 5)
     assert arrive((1, 1, jan, "open"), (1, 2, jan, "paid"), (2, 1, feb, "open")) == [
@@ -40,7 +39,7 @@ def test_stream_upsert_over_several_arrivals(spark):
     ]
     # What arrives out of order doesn't replace what is newer.
     assert arrive((1, 1, feb, "late"), (3, 0, jan, "late"))[0] == (1, 2, "paid")
-    assert rows(read_merged(spark, table), "order_id").count((3,)) == 1
+    assert rows(latest_version(spark, table), "order_id").count((3,)) == 1
 
 
 def test_stream_daily_drops_only_what_is_too_late(spark):
@@ -49,14 +48,16 @@ def test_stream_daily_drops_only_what_is_too_late(spark):
     checkpoint = run_folder(spark, "stream")
     measures = {"orders": F.count("order_id"), "revenue": F.sum("amount")}
     dropped = []
+    late = LateRows()
+    spark.streams.addListener(late)
 
     def arrive(*new):
         land(spark, landing, list(new), schema)
         stream = spark.readStream.schema(schema).parquet(landing)
         query = stream_daily(stream, table, "ts", measures, checkpoint)
         query.awaitTermination()
-        dropped.append(late_rows(query))
-        got = read_merged(spark, table).select(F.dayofmonth("day"), "orders", "revenue")
+        dropped.append(late.of(query))
+        got = latest_version(spark, table).select(F.dayofmonth("day"), "orders", "revenue")
         return sorted(tuple(r) for r in got.collect())
 
     def at(day, hour=12):
@@ -70,6 +71,49 @@ def test_stream_daily_drops_only_what_is_too_late(spark):
     # The 9th is inside three days of the newest row, the 2nd is not.
     assert arrive((4, at(9, 1), 5), (5, at(2), 99)) == [(1, 1, 10), (9, 2, 25), (10, 1, 1)]
     assert dropped == [0, 1]
+    spark.streams.removeListener(late)
+
+
+def test_late_rows_of_more_batches_than_spark_remembers(spark):
+    """Every batch but the first ones holds one row that is too late."""
+    schema = "order_id int, ts timestamp, amount int"
+    landing = run_folder(spark, "landing")
+    for k in range(110):
+        ts = [datetime(2023, 5, 20, 12)] if k < 5 else [datetime(2023, 5, 1), datetime(2023, 5, 20)]
+        land(spark, landing, [(k, t, 1) for t in ts], schema)
+    late = LateRows()
+    spark.streams.addListener(late)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    daily = daily_windows(stream, "ts", {"orders": F.count("order_id")})
+    query = (
+        daily.writeStream.outputMode("update").format("noop")
+        .option("checkpointLocation", run_folder(spark, "stream")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert late.of(query) == 105 and len(query.recentProgress) <= 100
+    spark.streams.removeListener(late)
+
+
+def test_upsert_settles_versions_in_its_state(spark):
+    """One call of the sink per batch gets each changed key once, in its newest version."""
+    landing, table = run_folder(spark, "landing"), run_folder(spark, "table")
+    jan = date(2023, 1, 5)
+    land(spark, landing, [(k, v, jan, f"s{v}") for k in range(50) for v in (3, 1, 2)], ORDER)
+    stream = spark.readStream.schema(ORDER).parquet(landing).withColumn("month", F.trunc("day", "month"))
+    checkpoint = run_folder(spark, "stream")
+    query = stream_upsert(stream, table, "order_id", "version", "month", checkpoint)
+    query.awaitTermination()
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 50
+    assert rows(latest_version(spark, table), "version") == [(3,)] * 50
+    # A new checkpoint reads all files again; a stored newer row still wins.
+    land(spark, landing, [(0, 9, jan, "s9")], ORDER)
+    for _ in range(2):
+        stream_upsert(
+            stream, table, "order_id", "version", "month", run_folder(spark, "stream")
+        ).awaitTermination()
+    got = latest_version(spark, table)
+    assert rows(got.filter("order_id = 0"), "version") == [(9,)] and got.count() == 50
 
 
 def test_daily_query_on_a_table_of_several_files(spark, tmp_path):
