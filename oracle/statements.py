@@ -984,3 +984,111 @@ _parts += [
     ),
 ]
 S["dq_suite"] = with_("staged", suite(_parts))
+
+# ---- all declared checks ----
+
+# Tables and where their rows come from.
+SOURCE_OF = {
+    "raw_users": with_("entities", "SELECT * FROM users"),
+    "raw_products": with_("entities", "SELECT * FROM products"),
+    "raw_orders": with_("entities", "SELECT * FROM heads"),
+    "raw_order_items": with_("entities", "SELECT * FROM items"),
+    "raw_returns": with_("entities", "SELECT * FROM rets"),
+    "stg_users": with_("staged", "SELECT * FROM s_users"),
+    "stg_products": with_("staged", "SELECT * FROM s_products"),
+    "stg_orders": with_("staged", "SELECT * FROM s_orders"),
+    "stg_order_items": with_("staged", "SELECT * FROM s_items"),
+    "stg_returns": with_("staged", "SELECT * FROM s_returns"),
+    "snap_customers": S["scd2_customers"],
+    "snap_products": S["scd2_products"],
+}
+# Columns per kind of check.
+UNIQUE = """
+raw_users user_id email|raw_products product_id|raw_orders order_id
+raw_order_items order_item_id|raw_returns return_id|stg_users user_id email
+stg_products product_id|stg_orders order_id|stg_order_items order_item_id|stg_returns return_id
+int_customer_orders user_id|int_order_items_enriched order_item_id|int_orders_enriched order_id
+int_product_performance product_id|dim_customers customer_id email|dim_date date_id
+fct_order_items order_item_id|fct_orders order_id|mart_product_performance product_id
+fct_daily_revenue date_id|fct_rfm_analysis customer_id
+raw_users user_id email|raw_products product_id|raw_orders order_id
+raw_order_items order_item_id|raw_returns return_id
+"""
+NOT_NULL = """
+raw_users user_id email signup_date country customer_segment
+raw_products product_id product_name category supplier_id cost
+raw_orders order_id user_id order_date status total_amount
+raw_order_items order_item_id order_id product_id quantity price
+raw_returns return_id order_item_id return_date return_reason refund_amount
+raw_users user_id|raw_products product_id|raw_orders order_id
+raw_order_items order_item_id|raw_returns return_id
+stg_users user_id email signup_date country customer_segment
+stg_products product_id product_name category supplier_id unit_cost
+stg_orders order_id user_id order_date order_status total_amount
+stg_order_items order_item_id order_id product_id quantity unit_price line_total
+stg_returns return_id order_item_id return_date return_reason refund_amount
+int_customer_orders user_id|int_order_items_enriched order_item_id|int_orders_enriched order_id
+int_product_performance product_id|dim_customers customer_id email customer_segment
+dim_date date_id|fct_order_items order_item_id order_id product_id quantity
+fct_orders order_id order_date|mart_product_performance product_id product_name
+fct_daily_revenue date_id|fct_product_profitability product_id month_id
+fct_customer_cohorts cohort_month months_since_signup|fct_rfm_analysis customer_id
+snap_customers user_id|snap_products product_id
+"""
+RULED = [
+    (t.replace("stg", level) if level == "raw" else t, check, rule)
+    for level in ("raw", "stg")
+    for t, check, rule in [
+        ("stg_users", "accepted country", SUITE_RULES[2][2]),
+        ("stg_users", "accepted customer_segment", SUITE_RULES[3][2]),
+        ("stg_products", "accepted category", SUITE_RULES[4][2]),
+        ("stg_returns", "accepted return_reason", "return_reason = 'unspecified'"),
+    ]
+]
+RULED += [
+    ("raw_orders", "accepted status", "status <> 'completed'"),
+    ("dim_customers", "accepted customer_segment", SUITE_RULES[3][2]),
+    ("fct_orders", "type(date) order_date", "false"),
+    ("fct_orders", "email_regex customer_email", f"NOT regexp_matches(customer_email, '{EMAIL_REGEX}')"),
+    ("fct_orders", "subtotal_bounds subtotal", "subtotal NOT BETWEEN 0 AND 5000000"),
+]
+RULED += [
+    (STG[t], check, rule.replace("s_users", "stg_users").replace("s_orders", "stg_orders")
+     .replace("s_products", "stg_products"))
+    for t, check, rule in SUITE_RULES if not check.startswith("accepted") or "status" in check
+]
+TOGETHER = [
+    ("fct_product_profitability", "product_id,month_id"),
+    ("fct_customer_cohorts", "cohort_month,months_since_signup"),
+]
+
+
+def listed(text: str) -> list[tuple[str, str]]:
+    return [
+        (words.split()[0], column)
+        for line in text.strip().splitlines() for words in line.split("|")
+        for column in words.split()[1:]
+    ]
+
+
+_all = [(t, f"not_null {c}", "error", t, f"WHERE {c} IS NULL") for t, c in listed(NOT_NULL)]
+_all += [
+    (t, f"unique {c}", "error",
+     f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)", "")
+    for t, c in listed(UNIQUE)
+]
+_all += [
+    (t, f"together({c}) *", "error", f"(SELECT {c} FROM {t} GROUP BY {c} HAVING count(*) > 1)", "")
+    for t, c in TOGETHER
+]
+_all += [(t, check, "error", t, f"WHERE {rule}") for t, check, rule in RULED]
+_all += [
+    (t, check, severity, source.replace("s_orders", "stg_orders").replace("s_items", "stg_order_items")
+     .replace("s_returns", "stg_returns"), condition)
+    for t, check, severity, source, condition in _parts[-2:]
+]
+_made = dict.fromkeys(t for t, *_ in _all)
+S["dq_all"] = (
+    "WITH " + ", ".join(f"{t} AS MATERIALIZED ({SOURCE_OF.get(t) or S[t]})" for t in _made)
+    + "\n" + suite(_all)
+)

@@ -21,13 +21,13 @@ from orderlens.operators.windows import first_of, moving_average, previous, runn
 from orderlens.params import REASON_CATEGORIES
 from orderlens.plans import analyses, core, enrich, finance, marketing, samples, staging
 from orderlens.plans.build import due_for_refresh
-from orderlens.plans.checks import EMAIL_REGEX, staging_checks
+from orderlens.plans.checks import EMAIL_REGEX, all_checks, check_columns, staging_checks
 from orderlens.session import folder_bytes, tune
 from orderlens.sources.commerce import SALES_PARAMS as P
 from orderlens.sources.commerce import SALES_SCHEMAS
 from orderlens.sources.commerce import orders_from, shop_from_sales_tables
 from orderlens.sources.scratch import run_folder, written
-from orderlens.sources.tables import Shop, latest_version, stream_table
+from orderlens.sources.tables import TABLES, Shop, latest_version, stream_table
 from orderlens.streaming.jobs import stream_daily, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -833,23 +833,68 @@ def _(s: Shop):
     return dq.run_checks({"orders": orders}, dq.contract_checks(orders, contract, "orders"))
 
 
+def staged_tables(s: Shop) -> dict[str, DataFrame]:
+    return {
+        "stg_users": staging.stg_users(s.users, P),
+        "stg_products": staging.stg_products(s.products, P),
+        "stg_orders": staging.stg_orders(s.orders, P),
+        "stg_order_items": staging.stg_order_items(s.order_items, P),
+        "stg_returns": staging.stg_returns(s.returns, P),
+    }
+
+
+def checked(tables: dict[str, DataFrame], checks: Sequence[dq.Check], write: Sequence[str]):
+    """Results of the checks. The tables of ``write`` are written with the columns that several
+    checks read, and their row rules are counted while they are."""
+    counted = {}
+    for name in write:
+        if columns := check_columns(checks, name):
+            tables[name], counted[name] = dq.write_counted(name, tables[name], checks, columns)
+    return dq.run_checks(tables, checks, counted)
+
+
 @query("dq_suite")
 def _(s: Shop):
     """All declared checks of the staging tables. Items and returns are read by many
     checks, so their keys are made once."""
-    tables = {
-        "stg_users": staging.stg_users(s.users, P),
-        "stg_products": staging.stg_products(s.products, P),
-        "stg_orders": staging.stg_orders(s.orders, P),
-        "stg_order_items": written(staging.stg_order_items(s.order_items, P), "items"),
-        "stg_returns": written(staging.stg_returns(s.returns, P), "returns"),
+    checks = staging_checks(P.as_of, SALES_DOMAINS)
+    return checked(staged_tables(s), checks, ["stg_order_items", "stg_returns"])
+
+
+@query("dq_all")
+def _(s: Shop):
+    """All declared checks of the raw, staging, intermediate, mart and history tables. Every
+    mart is made once, for its rules and for its keys."""
+    s = enrich.with_written_lines(s)
+    customers = core.dim_customers(s, P)
+    marts = {
+        "int_customer_orders": enrich.int_customer_orders(s, P),
+        "int_order_items_enriched": enrich.int_order_items_enriched(s, P),
+        "int_orders_enriched": enrich.int_orders_enriched(s, P),
+        "int_product_performance": enrich.int_product_performance(s, P),
+        "dim_customers": customers,
+        "dim_date": core.dim_date(spine_of(s.orders, "order_date"), P),
+        "fct_order_items": core.fct_order_items(s, P),
+        "fct_orders": core.fct_orders(s, P),
+        "mart_product_performance": core.mart_product_performance(s, P),
+        "fct_daily_revenue": finance.fct_daily_revenue(s, P),
+        "fct_product_profitability": finance.fct_product_profitability(s, P),
+        "fct_customer_cohorts": marketing.fct_customer_cohorts(s, P),
+        "fct_rfm_analysis": marketing.fct_rfm_analysis(s, P),
+        "snap_customers": customer_history(s),
+        "snap_products": product_history(s),
     }
-    return dq.run_checks(tables, staging_checks(P.as_of, SALES_DOMAINS))
+    raw = {f"raw_{name}": getattr(s, name) for name in TABLES}
+    checks = all_checks(P.as_of, SALES_DOMAINS, (0, 5_000_000))
+    tables = raw | staged_tables(s) | marts
+    return checked(tables, checks, ["raw_order_items", "raw_returns", "stg_order_items",
+                                    "stg_returns", *marts])
 
 
 # Accepted values of the sales tables (two left out on purpose).
 SALES_DOMAINS = {
     "order_status": ["completed"],
+    "status": ["completed"],
     "category": ["STANDARD", "ECONOMY", "MEDIUM", "LARGE", "SMALL", "PROMO"],
     "return_reason": ["defective", "changed_mind", "wrong_item", "damaged_shipping"],
     "customer_segment": ["BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE"],

@@ -6,10 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.sources.scratch import written
+
 # ---- rules on single rows: a condition that is true for a failing row ----
 
 
@@ -143,28 +145,58 @@ def row_count_change(
 
 @dataclass(frozen=True)
 class Check:
-    """A named check on one table: either a row rule, or a function from all tables to
-    the failing rows."""
+    """A named check on one table: a row rule; a ``key`` that must be unique, or have a row in
+    the ``parent`` (table, column); or a function from all tables to the failing rows."""
 
     table: str
     name: str
     rule: Column | None = None
     rows: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None
     severity: str = "error"
-
-
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """``(table, check, severity, failures, status)`` per check. All row rules of a
-    table are counted in one pass over it."""
+    key: tuple[str, ...] = ()
+    parent: tuple[str, str] | None = None
+    skip_null: bool = True
+
+    def failing(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """The failing rows, or the repeated values of a unique key."""
+        df = tables[self.table]
+        if self.rows is not None:
+            return self.rows(tables)
+        if self.rule is not None:
+            return failing(df, self.rule)
+        if self.parent is None:
+            return duplicates(df, self.key, self.skip_null)
+        parent, column = self.parent
+        return orphans(df, self.key[0], tables[parent], column, self.skip_null)
+
+
+def run_checks(
+    tables: Mapping[str, DataFrame],
+    checks: Sequence[Check],
+    counted: Mapping[str, Mapping[str, int]] | None = None,
+) -> DataFrame:
+    """``(table, check, severity, failures, status)`` per check. All row rules of a table are
+    counted in one pass over it, unless ``counted`` has them already (``write_counted``),
+    and all keys of all tables are compared in one shuffle."""
     parts = []
-    for table in dict.fromkeys(c.table for c in checks):
-        ruled = [c for c in checks if c.table == table and c.rule is not None]
-        if ruled:
+    counted = counted or {}
+    ruled = [c for c in checks if c.rule is not None]
+    for table in dict.fromkeys(c.table for c in ruled):
+        own = [c for c in ruled if c.table == table]
+        if table in counted:
+            spark = tables[table].sparkSession
+            numbers = [F.lit(counted[table][c.name]) for c in own]
+            results = [_result(c, n.cast("long")) for c, n in zip(own, numbers, strict=True)]
+            parts.append(spark.range(1).select(F.inline(F.array(*results))))
+        else:
             counts = tables[table].agg(
-                *[F.count_if(c.rule).alias(f"_{i}") for i, c in enumerate(ruled)]
+                *[F.count_if(c.rule).alias(f"_{i}") for i, c in enumerate(own)]
             )
-            results = [_result(c, F.col(f"_{i}")) for i, c in enumerate(ruled)]
+            results = [_result(c, F.col(f"_{i}")) for i, c in enumerate(own)]
             parts.append(counts.select(F.inline(F.array(*results))))
+    keyed = [c for c in checks if c.key]
+    if keyed:
+        parts.append(_key_results(tables, keyed))
     for c in checks:
         if c.rows is not None:
             count = c.rows(tables).agg(F.count(F.lit(1)).alias("_n"))
@@ -172,6 +204,79 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def _key_results(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Results of unique keys and parents. Every key column of every table becomes rows (space,
+    key, source), counted before and after one shuffle by space and key: a source counted
+    twice isn't unique, a child's source without the parent's is an orphan. Columns that
+    are compared share a space."""
+    sources: dict[tuple, int] = {}
+
+    def source(table: str, key: tuple[str, ...], with_null: bool) -> int:
+        return sources.setdefault((table, key, with_null), len(sources))
+
+    asked = []
+    for c in checks:
+        own = source(c.table, c.key, not c.skip_null)
+        asked.append((c, own, c.parent and source(c.parent[0], (c.parent[1],), False)))
+    space = list(range(len(sources)))
+    for _, own, parent in asked:
+        if parent is not None:
+            low, high = sorted((space[own], space[parent]))
+            space = [low if s == high else s for s in space]
+
+    rows = []
+    for table in dict.fromkeys(t for t, _, _ in sources):
+        keys = []
+        for (t, key, with_null), number in sources.items():
+            if t == table:
+                one = len(key) == 1
+                text = F.col(key[0]).cast("string") if one else F.to_json(F.struct(*key))
+                present = F.lit(True) if with_null else F.forall(
+                    F.array(*[F.col(k).isNotNull() for k in key]), lambda x: x
+                )
+                keys.append(
+                    F.struct(
+                        F.lit(space[number]).alias("space"), text.alias("key"),
+                        F.lit(number).alias("source"), present.alias("present"),
+                    )
+                )
+        rows.append(tables[table].select(F.inline(F.array(*keys))).filter("present"))
+    by_key = (
+        reduce(DataFrame.unionByName, rows)
+        .groupBy("space", "key", "source")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("space", "key")
+        .agg(F.map_from_entries(F.collect_list(F.struct("source", "n"))).alias("n"))
+    )
+
+    def found(number: int) -> Column:
+        return F.try_element_at("n", F.lit(number))
+
+    failures = []
+    for i, (_, own, parent) in enumerate(asked):
+        bad = (
+            F.when(found(own) > 1, 1) if parent is None
+            else F.when(found(parent).isNull(), found(own))
+        )
+        failures.append(F.coalesce(F.sum(bad), F.lit(0)).cast("long").alias(f"_{i}"))
+    results = [_result(c, F.col(f"_{i}")) for i, (c, _, _) in enumerate(asked)]
+    return by_key.agg(*failures).select(F.inline(F.array(*results)))
+
+
+def write_counted(
+    name: str, df: DataFrame, checks: Sequence[Check], columns: Sequence[str] | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write a table (or some of its columns) to the shared folder, and count on the way the
+    rows that fail its row rules, by the checks' names."""
+    ruled = [c for c in checks if c.table == name and c.rule is not None]
+    seen = Observation(name)
+    if ruled:
+        df = df.observe(seen, *[F.count_if(c.rule).alias(f"_{i}") for i, c in enumerate(ruled)])
+    out = written(df if columns is None else df.select(*columns), name)
+    counts = seen.get if ruled else {}
+    return out, {c.name: counts[f"_{i}"] for i, c in enumerate(ruled)}
+
+
 def _result(check: Check, failures: Column) -> Column:
     return F.struct(
         F.lit(check.table).alias("table"),
@@ -207,6 +312,5 @@ def contract_checks(df: DataFrame, contract: Contract, table: str = "table") ->
         checks.append(Check(table, f"check {text}", rule=~F.expr(text)))
     if contract.primary_key and all(k in fields for k in contract.primary_key):
         name = "unique " + ",".join(contract.primary_key)
-        key = list(contract.primary_key)
-        checks.append(Check(table, name, rows=lambda t: duplicates(t[table], key)))
+        checks.append(Check(table, name, key=tuple(contract.primary_key)))
     return checks
