@@ -16,7 +16,6 @@ from orderlens.functions import (
     retention_health,
     round_to,
 )
-from orderlens.operators.ranking import row_number
 from orderlens.operators.rollup import (
     distinct,
     largest,
@@ -37,6 +36,7 @@ from orderlens.plans.staging import (
     stg_returns,
     stg_users,
 )
+from orderlens.sources.scratch import written
 from orderlens.sources.tables import Shop
 
 
@@ -125,7 +125,6 @@ def customer_segmentation_summary(rfm: DataFrame) -> DataFrame:
 def top_products_by_revenue(products: DataFrame, limit: int = 20) -> DataFrame:
     """Best sellers with their place by revenue, by profit, and in their category."""
     c = F.col
-    by_profit = [F.desc("gross_profit"), F.asc("product_id")]
     sold = products.filter(c("total_revenue") > 0).select(
         "product_id",
         "product_name",
@@ -142,9 +141,25 @@ def top_products_by_revenue(products: DataFrame, limit: int = 20) -> DataFrame:
         round_to(c("return_rate") * 100, 2).alias("return_rate_pct"),
         "total_returns",
     )
-    places = row_number(sold.select("product_id", "gross_profit"), by_profit, out="profit_rank")
+    # The products are worked out once, for the best sellers and for what is ahead of them.
+    sold = written(sold, "sold")
     best = sold.orderBy(F.desc("net_revenue"), "product_id").limit(limit)
-    best = best.join(places.select("product_id", "profit_rank"), "product_id")
+    kinds = {f.name: f.dataType for f in sold.schema.fields}
+    thresholds = best.select("product_id", "gross_profit").collect()
+    places = []
+    for r in thresholds:
+        profit = F.lit(r["gross_profit"]).cast(kinds["gross_profit"])
+        number = F.lit(r["product_id"]).cast(kinds["product_id"])
+        ahead = (c("gross_profit") > profit) | (
+            (c("gross_profit") == profit) & (c("product_id") < number)
+        )
+        places.append(F.struct(number.alias("product_id"),
+                               (F.count_if(ahead) + 1).alias("profit_rank")))
+    none = F.array().cast("array<struct<product_id:bigint,profit_rank:bigint>>")
+    ranked = sold.agg((F.array(*places) if places else none).alias("places")).select(
+        F.inline("places")
+    )
+    best = best.join(ranked, "product_id")
     # Whatever precedes one of the best sellers by revenue, in all or in its category,
     # is itself a best seller: these two places need only the limited rows.
     by_revenue = [F.desc("net_revenue"), F.asc("product_id")]
