@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators.calendar import date_spine
@@ -99,18 +99,39 @@ def refresh_orders(
     merge_into_table(path, core.fct_orders(due, p), "order_id", "order_month")
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """A history table: the open rows of the newest complete run, and what that run and those
+    before it closed."""
+    opened = versions(spark, f"{path}/open")
+    if not opened:
+        return None
+    newest = opened[-1].rsplit("/", 1)[1]
+    closed = [v for v in versions(spark, f"{path}/closed") if v.rsplit("/", 1)[1] <= newest]
+    rows = spark.read.parquet(opened[-1])
+    # Runs may differ in their columns.
+    for folder in closed:
+        rows = rows.unionByName(spark.read.parquet(folder), allowMissingColumns=True)
+    return rows
+
+
 def refresh_history(snapshot: DataFrame, path: str, key: str, check: list[str], at: datetime):
-    """Write the next version of a history table next to the old one; a reader of the
-    latest complete version never sees a half-written one. A run that is repeated with
-    the same time finds its version complete and leaves it as it is; one that broke off
-    is written again from the version before."""
+    """Bring a history table up to date. Closed rows never change, so a run only adds those it
+    closes, and writes the open rows next to the old ones; it reads no closed row. A reader
+    sees a run when its open rows are complete. A run that is repeated with the same time finds
+    itself complete and does nothing; one that broke off is written again."""
     spark = snapshot.sparkSession
     name = f"{at:%Y%m%d%H%M%S%f}"
-    done = versions(spark, path)
+    done = versions(spark, f"{path}/open")
     if any(v.endswith(f"/version={name}") for v in done):
         return
     old = spark.read.parquet(done[-1]) if done else None
-    write_version(scd2_apply(old, snapshot, key, check, F.lit(at)), path, name=name)
+    after = scd2_apply(old, snapshot, key, check, F.lit(at))
+    if old is not None:
+        # Used for both parts.
+        after = written(after, "history")
+        closed = after.filter("valid_to IS NOT NULL")
+        write_version(closed, f"{path}/closed", sort_by=[key], name=name)
+    write_version(after.filter("valid_to IS NULL"), f"{path}/open", sort_by=[key], name=name)
 
 
 def build(
@@ -151,5 +172,5 @@ def build(
     for name, plan in plans.items():
         layout = LAYOUTS[name]
         write_version(plan(), f"{folder}/{name}", layout.partition_by, layout.sort_by)
-    names = [*plans, "fct_orders", *HISTORIES]
-    return {name: latest_version(spark, f"{folder}/{name}") for name in names}
+    tables = {name: latest_version(spark, f"{folder}/{name}") for name in [*plans, "fct_orders"]}
+    return tables | {name: read_history(spark, f"{folder}/{name}") for name in HISTORIES}

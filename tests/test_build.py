@@ -6,8 +6,10 @@ from conftest import ROWS, day, frames, money, rows
 from pyspark.sql import functions as F
 
 from orderlens.plans import core, enrich, marketing
-from orderlens.plans.build import build, refresh_orders
+from orderlens.operators.history import scd2_apply
+from orderlens.plans.build import build, read_history, refresh_history, refresh_orders
 from orderlens.sources import SALES_PARAMS, Shop, latest_version, run_folder, write_table
+from orderlens.sources.tables import versions, write_version
 
 P = replace(SALES_PARAMS, run_ts=datetime(2001, 8, 2, 6))
 
@@ -63,6 +65,32 @@ def test_build_and_incremental_build(spark, shop):
     assert rows(latest_version(spark, f"{folder}/fct_orders"), *whole.columns) == rows(whole)
 
 
+def test_history_runs_add_only_what_they_close(spark):
+    path = run_folder(spark, "history")
+    first = spark.range(1000).selectExpr("id", "'a' AS state", "1 AS other")
+    days = [datetime(2023, 1, d) for d in range(1, 5)]
+    changed = first.withColumn("state", F.when(F.col("id") < 10, "b").otherwise(F.col("state")))
+    runs = [first, changed, changed.filter("id <> 999"), changed.withColumn("extra", F.lit(2))]
+    history = None
+    for day_, snapshot in zip(days, runs, strict=True):
+        refresh_history(snapshot, path, "id", ["state"], day_)
+        history = scd2_apply(history, snapshot, "id", ["state"], F.lit(day_))
+        assert rows(read_history(spark, path), *history.columns) == rows(history)
+        refresh_history(first.limit(0), path, "id", ["state"], day_)  # repeated: nothing to do
+    closed = [spark.read.parquet(v).count() for v in versions(spark, f"{path}/closed")]
+    assert closed == [10, 1, 0]
+    opened = [spark.read.parquet(v).count() for v in versions(spark, f"{path}/open")]
+    assert opened == [1000, 1000, 999, 1000]
+    # A run that broke off after its closed rows isn't seen, and is written again.
+    later = datetime(2023, 2, 1)
+    old = rows(read_history(spark, path), "id", "state")
+    write_version(history.limit(5), f"{path}/closed", name=f"{later:%Y%m%d%H%M%S%f}")
+    assert rows(read_history(spark, path), "id", "state") == old
+    refresh_history(first, path, "id", ["state"], later)
+    assert read_history(spark, path).filter("valid_to IS NULL").count() == 1000
+    assert read_history(spark, path).filter("valid_to IS NOT NULL").count() == 21
+
+
 def test_build_after_a_load_that_broke_off(spark, shop):
     folder = run_folder(spark, "build")
     core.fct_orders(shop, SALES_PARAMS).write.option(
