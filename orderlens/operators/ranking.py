@@ -97,6 +97,49 @@ def _tile(place: Column, total: Column, tiles: int) -> Column:
     return F.when(in_large, large).otherwise(small).cast("int")
 
 
+def with_tiles(
+    df: DataFrame, values: Mapping[str, Column], tiles: int, key: str
+) -> DataFrame:
+    """Add one column per entry of ``values`` with the tile (1 to ``tiles``) of the row by that
+    value, smallest first, NULL last, equal values by ``key``, which is unique and never NULL.
+    Tiles have the sizes that ntile gives them. Values must fit decimal(38,6).
+
+    All values are sorted together, as narrow rows (value number, value, key), and of each only
+    the first row of every tile is fetched; rows are then compared with these, without a
+    join. Runs three jobs, however many values there are."""
+    number = {f"_value{i}": v.cast("decimal(38,6)") for i, v in enumerate(values.values())}
+    rows = written(df.withColumns(number), "tiled")
+    pairs = [F.struct(F.lit(i).alias("_of"), F.col(v).alias("_value")) for i, v in enumerate(number)]
+    long = rows.select(F.col(key).alias("_key"), F.inline(F.array(*pairs)))
+    rank = Rank([F.col("_value").isNull(), "_value", "_key"], ["_of"])
+    size, extra = divmod(rows.count(), tiles)
+    starts = [t * size + min(t, extra) + 1 for t in range(1, tiles)]
+    # At most tiles - 1 rows of each value.
+    firsts = (
+        _with_rank(long, "_place", rank, ["_of", "_value", "_key"])
+        .filter(F.col("_place").isin(starts))
+        .collect()
+    )
+    kind = rows.schema[key].dataType
+    out = {}
+    for i, (name, value) in enumerate(zip(values, number, strict=True)):
+        reached = [
+            _not_before(F.col(value), F.col(key), r["_value"], F.lit(r["_key"]).cast(kind))
+            for r in firsts if r["_of"] == i
+        ]
+        # Tiles without rows of their own begin nowhere.
+        out[name] = sum((F.when(x, 1).otherwise(0) for x in reached), F.lit(1))
+    return rows.withColumns(out).select(*df.columns, *values)
+
+
+def _not_before(value: Column, key: Column, first, first_key: Column) -> Column:
+    """Whether a row has its place at or behind that of (``first``, ``first_key``)."""
+    if first is None:
+        return value.isNull() & (key >= first_key)
+    first = F.lit(first).cast("decimal(38,6)")
+    return value.isNull() | (value > first) | ((value == first) & (key >= first_key))
+
+
 def row_number(
     df: DataFrame,
     order_by: Sequence[str | Column],

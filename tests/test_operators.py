@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.operators.calendar import date_spine, spine_of
-from orderlens.operators.ranking import ntile, row_number
+from orderlens.operators.ranking import ntile, row_number, with_tiles
 from orderlens.operators.rollup import (
     distinct,
     largest,
@@ -162,3 +162,19 @@ def test_spine_of_a_column(spark, shop):
         182,
     )
     assert spine_of(shop.orders.limit(0), "order_date").count() == 0
+
+
+def test_tiles_by_several_values(spark):
+    """As ntile over the rows in order, with ties, NULL and fewer rows than tiles."""
+    for n in (0, 1, 3, 5, 7, 503):
+        df = spark.range(n).selectExpr(
+            "id", "if(id % 11 = 3, NULL, id % 4) AS a", "cast(id * 37 % 101 AS decimal(10,2)) AS b"
+        )
+        got = with_tiles(df, {"ta": F.col("a"), "tb": -F.col("b")}, 5, "id")
+        assert got.columns == ["id", "a", "b", "ta", "tb"]
+        want = df.selectExpr(
+            "id", "ntile(5) OVER (ORDER BY a NULLS LAST, id) AS ta",
+            "ntile(5) OVER (ORDER BY -b NULLS LAST, id) AS tb",
+        )
+        found = sorted(tuple(r) for r in got.select("id", "ta", "tb").collect())
+        assert found == sorted(tuple(r) for r in want.collect())
