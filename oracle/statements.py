@@ -282,6 +282,17 @@ S["win_running_total"] = with_(
     "PRECEDING))::DOUBLE AS running FROM header_day",
     HEADERS.format(unit="day"),
 )
+S["win_over_orders"] = with_(
+    "entities",
+    """SELECT order_id, order_date, status, total_amount::DOUBLE AS total_amount,
+  (sum(total_amount) OVER (s ROWS UNBOUNDED PRECEDING))::DOUBLE AS status_running,
+  (sum(total_amount) OVER (s ROWS 6 PRECEDING))::DOUBLE
+    / count(*) OVER (s ROWS 6 PRECEDING) AS status_mean_7_rows,
+  lag(order_id) OVER s AS previous_order_id,
+  (sum(total_amount) OVER (ORDER BY order_date, order_id ROWS UNBOUNDED PRECEDING))::DOUBLE
+    AS running
+FROM heads WINDOW s AS (PARTITION BY status ORDER BY order_date, order_id)""",
+)
 S["win_moving_avg"] = with_(
     "entities",
     "SELECT period, amount::DOUBLE AS amount, (sum(amount) OVER w)::DOUBLE / count(*) OVER w "

@@ -17,7 +17,13 @@ from orderlens.operators.history import join_as_of, scd2_apply, scd2_as_of
 from orderlens.operators.incremental import incremental_merge, upsert
 from orderlens.operators.ranking import Rank, with_ranks
 from orderlens.operators.rollup import distinct, nested_rollup
-from orderlens.operators.windows import first_of, moving_average, previous, running_total
+from orderlens.operators.windows import (
+    first_of,
+    moving_average,
+    over_rows,
+    previous,
+    running_total,
+)
 from orderlens.params import REASON_CATEGORIES
 from orderlens.plans import analyses, core, enrich, finance, marketing, samples, staging
 from orderlens.plans.build import due_for_refresh
@@ -241,6 +247,19 @@ def _(s: Shop):
     return header_by(s, "day").select("period", "amount", mean.alias("mean_7_rows"))
 
 
+@query("win_over_orders")
+def _(s: Shop):
+    """Windows over all orders, not over periods: totals so far, the mean of the last seven
+    orders and the order before, by status; and the total so far of all."""
+    orders = s.orders.select("order_id", "order_date", "status", "total_amount")
+    order = ["order_date", "order_id"]
+    by_status = over_rows(
+        orders, order, ["status"], {"status_running": "total_amount"},
+        {"status_mean_7_rows": "total_amount"}, {"previous_order_id": "order_id"}, block_rows=4096,
+    )
+    return over_rows(by_status, order, running={"running": "total_amount"}, block_rows=4096)
+
+
 @query("win_cohort_cumulative")
 def _(s: Shop):
     sizes = marketing.cohort_sizes(marketing.signup_cohorts(s, P))

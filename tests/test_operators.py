@@ -16,7 +16,13 @@ from orderlens.operators.rollup import (
     smallest,
     total,
 )
-from orderlens.operators.windows import first_of, moving_average, previous, running_total
+from orderlens.operators.windows import (
+    first_of,
+    moving_average,
+    over_rows,
+    previous,
+    running_total,
+)
 
 
 @pytest.fixture(scope="module")
@@ -178,3 +184,30 @@ def test_tiles_by_several_values(spark):
         )
         found = sorted(tuple(r) for r in got.select("id", "ta", "tb").collect())
         assert found == sorted(tuple(r) for r in want.collect())
+
+
+@pytest.mark.parametrize("block_rows", [6, 50, 10_000])
+def test_windows_over_any_number_of_rows(spark, block_rows):
+    df = spark.range(700).selectExpr(
+        "id", "if(id % 13 < 9, 'big', if(id % 13 = 9, NULL, 'small')) AS g",
+        "id * 7919 % 101 AS day", "if(id % 10 = 4, NULL, cast(id % 37 AS decimal(12,2))) AS v",
+    )
+    for groups in ([], ["g"]):
+        got = over_rows(df, ["day", "id"], groups, {"s": "v"}, {"m": "v"}, {"p": "v"},
+                        block_rows=block_rows)
+        w = W.partitionBy(*groups).orderBy("day", "id")
+        last = w.rowsBetween(-6, 0)
+        want = df.withColumns({
+            "s": F.sum("v").over(w.rowsBetween(W.unboundedPreceding, 0)),
+            "m": F.sum("v").over(last).cast("double") / F.count("v").over(last),
+            "p": F.lag("v").over(w),
+        })
+        assert got.columns == want.columns
+        found, expected = ({r["id"]: tuple(r) for r in x.collect()} for x in (got, want))
+        assert found.keys() == expected.keys()
+        for i, row in expected.items():
+            assert found[i][:5] == row[:5] and found[i][6] == row[6]
+            assert found[i][5] == (None if row[5] is None else pytest.approx(row[5]))
+        assert "SinglePartition" not in got._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        over_rows(df, ["day", "id"], means={"m": "v"}, block_rows=3)
