@@ -282,6 +282,14 @@ S["win_running_total"] = with_(
     "PRECEDING))::DOUBLE AS running FROM header_day",
     HEADERS.format(unit="day"),
 )
+S["join_bucketed_facts"] = with_(
+    "staged",
+    """SELECT o.order_id, order_status, total_amount::DOUBLE AS total_amount, items,
+  items_total::DOUBLE AS items_total
+FROM s_orders o LEFT JOIN (
+  SELECT order_id, count(order_item_id) AS items, sum(line_total) AS items_total
+  FROM s_items GROUP BY 1) USING (order_id)""",
+)
 S["win_over_orders"] = with_(
     "entities",
     """SELECT order_id, order_date, status, total_amount::DOUBLE AS total_amount,

@@ -161,8 +161,21 @@ def write_version(
 
 
 def write_bucketed(
-    df: DataFrame, table: str, key: str, buckets: int, sort_by: Sequence[str] = ()
-) -> None:
-    """Save a catalog table bucketed on ``key``, so joins on it need no shuffle."""
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
-    writer.sortBy(*(sort_by or [key])).saveAsTable(table)
+    df: DataFrame,
+    table: str,
+    key: str,
+    buckets: int,
+    sort_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+) -> DataFrame:
+    """Save a catalog table bucketed on ``key``, so joins and groups on it need no shuffle, and
+    partitioned for pruning; at ``path`` if it is given, else in the warehouse."""
+    # One task per bucket writes its files, whatever the number of input tasks.
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, key).sortBy(*(sort_by or [key])).saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 
+from orderlens.catalog import totals_of_bucketed
 from orderlens.session import tune
 from orderlens.sources import (
     RAW_SCHEMAS,
@@ -86,3 +87,15 @@ def test_shuffles_follow_the_input(spark):
         assert spark.conf.get(key) == "4"
     finally:
         spark.conf.unset(key)
+
+
+def test_facts_of_an_order_join_without_a_shuffle(spark):
+    """Bucketed by order, neither the items' sums nor their join with the orders moves rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = totals_of_bucketed(spark, "/root/testdata/sf0.001")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
