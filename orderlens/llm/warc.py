@@ -27,10 +27,14 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import mapped
 from orderlens.sources.scratch import run_folder, written
 
-# Payload bytes of one shard (a task), and compressed bytes at which a file is full.
+# Bytes of one shard (a task) before compression, compressed bytes at which a file is full, and
+# about the bytes of a record's headers. A shard fills several files.
 SHARD_BYTES = 32 * 1024 * 1024
-FILE_BYTES = 128 * 1024 * 1024
+FILE_BYTES = 2 * 1024 * 1024
+HEADER_BYTES = 500
 SLOTS_PER_SHARD = 16
+# Slots whose sizes one task adds up.
+SLOTS_PER_RANGE = 4096
 LEAST_REVISITED = 100
 
 # Lines and names of the WARC 1.1 format.
@@ -207,8 +211,9 @@ def _shard_places(headers: DataFrame, shard_bytes: int) -> tuple[DataFrame, Colu
     The range of the ids is divided into slots of equal width; slots are filled into shards
     in their order, and a slot of more than a shard's bytes is divided by a hash of its
     rows. All of this depends on the rows alone."""
+    size = F.col("payload_bytes") + HEADER_BYTES
     span = headers.agg(
-        F.sum("payload_bytes").alias("bytes"), F.min("page_id").alias("low"),
+        F.sum(size).alias("bytes"), F.min("page_id").alias("low"),
         F.max("page_id").alias("high"),
     ).first()
     shards = max(1, -(-(span["bytes"] or 0) // shard_bytes))
@@ -216,10 +221,22 @@ def _shard_places(headers: DataFrame, shard_bytes: int) -> tuple[DataFrame, Colu
     width = max(1, -(-(high - low + 1) // (shards * SLOTS_PER_SHARD)))
     slot = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(-1)).cast("long")
     # One row per slot: a shard's worth of pages has sixteen of them.
-    sizes = headers.groupBy(slot.alias("_slot")).agg(F.sum("payload_bytes").alias("size"))
-    until = W.orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("size").over(until), F.lit(0))
-    places = sizes.select(
+    sizes = headers.groupBy(slot.alias("_slot")).agg(F.sum(size).alias("size"))
+    sizes = written(
+        sizes.withColumn("_range", F.floor(F.col("_slot") / SLOTS_PER_RANGE)), "sizes"
+    )
+    # What precedes a slot: the ranges of slots before its own (one row each), and the slots
+    # before it in its range.
+    ranges = sizes.groupBy("_range").agg(F.sum("size").alias("_of_range")).select(
+        F.col("_range").alias("_r"),
+        F.coalesce(
+            F.sum("_of_range").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)),
+            F.lit(0),
+        ).alias("_ranges_before"),
+    )
+    until = W.partitionBy("_range").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(until), F.lit(0)) + F.col("_ranges_before")
+    places = sizes.join(ranges, F.col("_range") == F.col("_r")).select(
         "_slot",
         F.floor(before / shard_bytes).alias("_at"),
         F.greatest(F.ceil(F.col("size") / shard_bytes), F.lit(1)).alias("_parts"),
@@ -266,7 +283,7 @@ def write_archive(
     )
     placed = (
         in_shards(wide).select(*columns).unionByName(in_shards(narrow).select(*columns))
-        .repartitionByRange(shards, "shard")
+        .repartitionById(shards, F.pmod("shard", F.lit(shards)).cast("int"))
         .sortWithinPartitions("shard", "page_id", "digest", "is_page", "url")
     )
     manifest = written(mapped(placed, _shards(folder, file_bytes), MANIFEST), "manifest")

@@ -1,6 +1,8 @@
 import glob
 import gzip
 import hashlib
+from collections import Counter
+from statistics import median
 
 import pytest
 
@@ -79,3 +81,19 @@ def test_damage_is_found_and_unnamed_files_are_ignored(spark, rows):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark, spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_files_roll_at_the_sizes_of_the_query(spark):
+    """With the query's own numbers a shard fills several files, and tasks hold like shares."""
+    rows = spark.range(2400).selectExpr(
+        "id AS page_id", "concat('http://x/', id) AS url",
+        "concat_ws('', transform(sequence(1, 600), i -> sha2(concat(id, ':', i), 256))) AS html",
+    )
+    archive = warc.write_archive(rows, run_folder(spark, "archive"))
+    files = archive.manifest.collect()
+    per_shard = Counter(r["shard"] for r in files)
+    assert len(per_shard) >= 3 and min(list(per_shard.values())[:-1]) >= 2
+    records = Counter()
+    for r in files:
+        records[r["shard"]] += r["records"]
+    assert max(records.values()) < 2 * median(records.values())
