@@ -57,16 +57,19 @@ def plain(df: DataFrame, averages: Sequence[str] = ()) -> DataFrame:
     return df.select(*out)
 
 
-# Folders for which a session has been set up.
-_TUNED: set[tuple[str, str]] = set()
+# Sizes of the folders that a session has used, and the one it is set up for.
+_SIZES: dict[tuple[str, str], int] = {}
+_TUNED: dict[str, str] = {}
 
 
 def _tuned(spark: SparkSession, folder: str) -> None:
-    """Set the session up for the tables in ``folder``, the first time it is used."""
-    run = (spark.sparkContext.applicationId, folder)
-    if run not in _TUNED:
-        tune(spark, folder_bytes(spark, folder, SALES_SCHEMAS))
-        _TUNED.add(run)
+    """Set the session up for the tables in ``folder``, whenever the folder changes."""
+    app = spark.sparkContext.applicationId
+    if (app, folder) not in _SIZES:
+        _SIZES[app, folder] = folder_bytes(spark, folder, SALES_SCHEMAS)
+    if _TUNED.get(app) != folder:
+        tune(spark, _SIZES[app, folder])
+        _TUNED[app] = folder
 
 
 def query(name: str, averages: Sequence[str] = ()):

@@ -177,7 +177,7 @@ def run_checks(
 ) -> DataFrame:
     """``(table, check, severity, failures, status)`` per check. All row rules of a table are
     counted in one pass over it, unless ``counted`` has them already (``write_counted``),
-    and all keys of all tables are compared in one shuffle."""
+    and all keys of one kind are compared in one shuffle."""
     parts = []
     counted = counted or {}
     ruled = [c for c in checks if c.rule is not None]
@@ -205,10 +205,10 @@ def run_checks(
 
 
 def _key_results(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Results of unique keys and parents. Every key column of every table becomes rows (space,
-    key, source), counted before and after one shuffle by space and key: a source counted
-    twice isn't unique, a child's source without the parent's is an orphan. Columns that
-    are compared share a space."""
+    """Results of unique keys and parents. Columns that are compared form a space, like all
+    order ids, and each space is one shuffle of its (key, source), counted before and after it:
+    a source that has a key twice isn't unique, a child's source without the parent's is an
+    orphan."""
     sources: dict[tuple, int] = {}
 
     def source(table: str, key: tuple[str, ...], with_null: bool) -> int:
@@ -217,50 +217,34 @@ def _key_results(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
     asked = []
     for c in checks:
         own = source(c.table, c.key, not c.skip_null)
-        asked.append((c, own, c.parent and source(c.parent[0], (c.parent[1],), False)))
+        asked.append((c, own, None if c.parent is None else source(c.parent[0], (c.parent[1],), False)))
     space = list(range(len(sources)))
     for _, own, parent in asked:
         if parent is not None:
             low, high = sorted((space[own], space[parent]))
             space = [low if s == high else s for s in space]
 
-    rows = []
-    for table in dict.fromkeys(t for t, _, _ in sources):
-        keys = []
-        for (t, key, with_null), number in sources.items():
-            if t == table:
-                one = len(key) == 1
-                text = F.col(key[0]).cast("string") if one else F.to_json(F.struct(*key))
-                present = F.lit(True) if with_null else F.forall(
-                    F.array(*[F.col(k).isNotNull() for k in key]), lambda x: x
-                )
-                keys.append(
-                    F.struct(
-                        F.lit(space[number]).alias("space"), text.alias("key"),
-                        F.lit(number).alias("source"), present.alias("present"),
-                    )
-                )
-        rows.append(tables[table].select(F.inline(F.array(*keys))).filter("present"))
-    by_key = (
-        reduce(DataFrame.unionByName, rows)
-        .groupBy("space", "key", "source")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("space", "key")
-        .agg(F.map_from_entries(F.collect_list(F.struct("source", "n"))).alias("n"))
-    )
-
-    def found(number: int) -> Column:
-        return F.try_element_at("n", F.lit(number))
-
-    failures = []
-    for i, (_, own, parent) in enumerate(asked):
-        bad = (
-            F.when(found(own) > 1, 1) if parent is None
-            else F.when(found(parent).isNull(), found(own))
+    parts = []
+    for number in dict.fromkeys(space):
+        rows = []
+        for (table, key, with_null), at in sources.items():
+            if space[at] == number:
+                value = F.col(key[0]) if len(key) == 1 else F.struct(*key)
+                df = tables[table] if with_null else tables[table].dropna(subset=list(key))
+                rows.append(df.select(value.alias("key"), F.lit(at).alias("source")))
+        mine = [a for a in asked if space[a[1]] == number]
+        counts = {at: F.count_if(F.col("source") == at) for at in range(len(space)) if space[at] == number}
+        by_key = reduce(DataFrame.union, rows).groupBy("key").agg(
+            *[n.alias(f"_n{at}") for at, n in counts.items()]
         )
-        failures.append(F.coalesce(F.sum(bad), F.lit(0)).cast("long").alias(f"_{i}"))
-    results = [_result(c, F.col(f"_{i}")) for i, (c, _, _) in enumerate(asked)]
-    return by_key.agg(*failures).select(F.inline(F.array(*results)))
+        failures = []
+        for i, (_, own, parent) in enumerate(mine):
+            n = F.col(f"_n{own}")
+            bad = F.when(n > 1, 1) if parent is None else F.when(F.col(f"_n{parent}") == 0, n)
+            failures.append(F.coalesce(F.sum(bad), F.lit(0)).cast("long").alias(f"_{i}"))
+        results = [_result(c, F.col(f"_{i}")) for i, (c, _, _) in enumerate(mine)]
+        parts.append(by_key.agg(*failures).select(F.inline(F.array(*results))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_counted(

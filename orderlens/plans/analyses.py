@@ -102,7 +102,8 @@ def customer_segmentation_summary(rfm: DataFrame) -> DataFrame:
         F.sum("frequency").alias("_orders"),
         F.sum("monetary").alias("_revenue"),
     )
-    # One row per segment and action: at most nine names times eight actions.
+    # One row per segment and action: at most nine names times eight actions. Used twice.
+    groups = written(groups, "segments")
     whole = groups.agg(
         F.sum("customer_count").alias("_all_customers"),
         F.sum("_revenue").alias("_all_revenue"),

@@ -64,12 +64,11 @@ def due_for_refresh(
         orders = orders.filter(due)
     else:
         named = changed_orders.select(F.col("order_id").alias("_named")).distinct()
+        named = written(named, "named_orders")
         orders = orders.join(named, F.col("order_id") == F.col("_named"), "left").filter(
             due | F.col("_named").isNotNull()
         ).drop("_named")
-    orders = written(orders, "due_orders")
     items = shop.order_items.join(orders.select("order_id"), "order_id", "left_semi")
-    items = written(items, "due_items")
     returns = shop.returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
     return shop.replace(orders=orders, order_items=items, returns=returns)
 
