@@ -118,7 +118,9 @@ def scan(
     coefficient of at least ``threshold``.
 
     Null, empty and one-word texts have no bigrams and match nothing; rows without an id
-    carry null; repeated rows give repeated results; other columns are ignored. Templates
+    carry null; repeated rows give repeated results; other columns are ignored. Long texts are
+    read whole; parts whose size no template can match are dropped before any bigram is made.
+    Templates of equal coefficients are all returned. An empty table gives no rows. Templates
     go to every task, so they are limited to about ten thousand bigrams; divide a larger
     set and unite the results.
     """

@@ -196,8 +196,9 @@ def near_duplicates(
     row's own. class_id is the smallest id with an equal set.
 
     Null, empty and blank texts have no shingles and link with nothing. A null id is kept,
-    without a component. Rows that share an id share a component. Other columns are
-    ignored. Runs jobs.
+    without a component. Rows that share an id share a component. Long texts are read whole, in
+    the task that holds them. An empty table gives no rows. Other columns are ignored. Runs
+    jobs.
 
     How it stays linear and whole: equal sets are one class, so copies cost one row. Every
     class is first confirmed against two members of each of its buckets, which joins nearly

@@ -212,8 +212,10 @@ def _fit(x: np.ndarray, y: np.ndarray, ids: np.ndarray, vectors: np.ndarray) ->
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 
-    Null and empty texts are documents without words, with all pooled numbers 0. Labels,
-    language, source and the id don't reach the score; other columns are ignored.
+    Null and empty texts are documents without words, with all pooled numbers 0. Long texts
+    are read whole. Equal texts have equal scores, repeated rows are repeated, an empty table
+    gives no rows. Labels, language, source and the id don't reach the score; other columns are
+    ignored.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

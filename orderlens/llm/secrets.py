@@ -218,8 +218,9 @@ def scan(
     weigh the same, however rare one is; the dictionary counts all texts.
     Without both labels the probability is the label's share, or 0 without any.
 
-    Null and empty texts have no candidates; a null id is carried along; repeated rows give
-    repeated findings. Runs jobs.
+    Null and empty texts have no candidates; long texts are read whole; a null id is carried
+    along; repeated rows give repeated findings; an empty table gives none; other columns are not
+    read. Runs jobs.
     """
     found = written(candidates(docs, path_col), "candidates")
     labelled = weak_labels(found) if findings is None else findings
