@@ -27,7 +27,7 @@ from orderlens.functions.numeric import (
     safe_divide,
     zero_if_null,
 )
-from orderlens.functions.text import concat_code, email_domain, surrogate_key
+from orderlens.functions.text import concat_code, email_domain, packed, surrogate_key, unpacked
 
 __all__ = [
     "activity_status",
@@ -41,6 +41,7 @@ __all__ = [
     "email_domain",
     "map_values",
     "money_avg",
+    "packed",
     "pct_change",
     "pct_of",
     "performance_tier",
@@ -52,6 +53,7 @@ __all__ = [
     "round_to",
     "safe_divide",
     "surrogate_key",
+    "unpacked",
     "year_quarter",
     "zero_if_null",
 ]

@@ -20,7 +20,7 @@ from orderlens.operators.history import scd2_apply
 from orderlens.operators.incremental import merge_into_table, replace_table
 from orderlens.params import Params
 from orderlens.plans import core, finance, marketing
-from orderlens.plans.enrich import with_written_lines
+from orderlens.plans.enrich import orders_of_returns, packed_ids, unpacked_ids, with_written_lines
 from orderlens.plans.staging import stamp
 from orderlens.sources.scratch import written
 from orderlens.sources.tables import Shop, latest_version, versions, write_version
@@ -56,8 +56,9 @@ def due_for_refresh(
     shop: Shop, newest: Column, lookback_days: int, changed_orders: DataFrame | None = None
 ) -> Shop:
     """The shop cut down to what an incremental run reads: orders dated no earlier than
-    ``lookback_days`` before ``newest`` and those in ``changed_orders``, their items and
-    the items' returns. Everything is cut before any join of the plans."""
+    ``lookback_days`` before ``newest`` and those in ``changed_orders``, and their items, cut
+    before any join of the plans. Returns don't name their order: finding those of the items
+    would move as much as the plans' own join, which drops the others."""
     due = newest.isNull() | (F.col("order_date") >= F.date_sub(newest, lookback_days))
     orders = shop.orders
     if changed_orders is None:
@@ -68,9 +69,10 @@ def due_for_refresh(
         orders = orders.join(named, F.col("order_id") == F.col("_named"), "left").filter(
             due | F.col("_named").isNotNull()
         ).drop("_named")
-    items = shop.order_items.join(orders.select("order_id"), "order_id", "left_semi")
-    returns = shop.returns.join(items.select("order_item_id"), "order_item_id", "left_semi")
-    return shop.replace(orders=orders, order_items=items, returns=returns)
+    items = packed_ids(shop.order_items, shop).join(
+        orders.select("order_id"), "order_id", "left_semi"
+    )
+    return shop.replace(orders=orders, order_items=unpacked_ids(items, shop))
 
 
 def refresh_orders(
@@ -90,8 +92,8 @@ def refresh_orders(
         return
     newest = F.lit(stored.agg(F.max("order_date")).first()[0])
     since = F.date_sub(newest, p.lookback_days)
-    late = shop.returns.filter(F.col("return_date") >= since).select("order_item_id")
-    named = shop.order_items.join(late, "order_item_id", "left_semi").select("order_id")
+    late = shop.returns.filter(F.col("return_date") >= since)
+    named = orders_of_returns(shop, late)
     if changed_orders is not None:
         named = named.unionByName(changed_orders.select("order_id"))
     due = due_for_refresh(shop, newest, p.lookback_days, named)

@@ -162,3 +162,12 @@ def test_rfm_rules(spark, scores, segment, action):
 def test_concat_code(spark):
     assert value(spark, fn.concat_code(F.lit(5), F.lit(1), F.lit(3))) == "513"
     assert value(spark, fn.concat_code(F.lit(5), F.lit(None).cast("int"))) is None
+
+
+def test_packed_text(spark):
+    texts = [None, "", "ab", "AB", "aB", "abc", "00ff", "zz", "ab\n", "\x01", "é", "ab ", "d41d8cd98f00b204e9800998ecf8427e"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("b", fn.packed(F.col("t")))
+    back = df.select("t", "b", fn.unpacked(F.col("b")).alias("back")).collect()
+    assert [r.back for r in back] == texts
+    assert len({bytes(r.b) for r in back if r.b is not None}) == len(texts) - 1
+    assert len(back[-1].b) == 17

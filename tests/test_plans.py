@@ -3,12 +3,14 @@
 import duckdb
 import pytest
 from compare import rows_of
-from conftest import ROWS, frames, rows
+from conftest import ROWS, day, frames, rows
+from pyspark.sql import functions as F
 
 import oracle.base
 from oracle import STATEMENTS
 from orderlens.catalog import plain
 from orderlens.plans import analyses, core, enrich, finance, marketing, samples, staging
+from orderlens.plans.build import due_for_refresh
 from orderlens.sources import SALES_PARAMS as P
 from orderlens.sources import Shop
 
@@ -146,3 +148,50 @@ def test_metric_rollup(shop):
     )
     assert out.columns == ["period", "region", "revenue", "n", "mean"]
     assert out.agg(F.sum("n")).first()[0] == len(ROWS["orders"])
+
+
+def exchanges(df):
+    """Shuffles in a plan without broadcasts."""
+    conf, key = df.sparkSession.conf, "spark.sql.autoBroadcastJoinThreshold"
+    conf.set(key, "-1")
+    try:
+        plan = df.filter("true")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set(key, "10MB")
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_written_lines_are_rolled_up_without_a_shuffle(shop):
+    shared = enrich.with_written_lines(shop)
+    assert exchanges(enrich.order_rollup(shared, P)) == 0
+    # Only the orders move to join the lines.
+    assert exchanges(enrich.sold_lines(shared)) == 1
+
+
+def test_products_are_summed_where_their_rows_were_joined(shop):
+    # Items and returns by item, items and orders by order, items and products by product.
+    assert exchanges(enrich.sold_lines(shop)) == 6
+    # Only the names' join brings another table.
+    assert exchanges(finance.fct_product_profitability(shop, P)) == 7
+
+
+def test_item_ids_travel_as_bytes(shop):
+    assert dict(enrich.joined_lines(shop).dtypes)["order_item_id"] == "binary"
+    items = enrich.packed_ids(shop.order_items, shop)
+    assert rows(enrich.unpacked_ids(items, shop)) == rows(shop.order_items)
+    numbered = shop.replace(
+        order_items=shop.order_items.withColumn("order_item_id", F.ascii("order_item_id")),
+        returns=shop.returns.withColumn("order_item_id", F.ascii("order_item_id")),
+    )
+    assert dict(enrich.joined_lines(numbered).dtypes)["order_item_id"] == "int"
+    assert rows(enrich.order_rollup(numbered, P)) == rows(enrich.order_rollup(shop, P))
+
+
+def test_due_returns_are_not_looked_up_by_their_items(shop):
+    newest = F.lit(day(4, 3))
+    due = due_for_refresh(shop, newest, 3)
+    # Orders and items by order, items and returns by item; products by product; sums by order.
+    assert exchanges(due.returns) == 0
+    got = core.fct_order_figures(due, P)
+    want = core.fct_order_figures(shop, P).filter(F.col("order_date") >= day(3, 31))
+    assert rows(got) == rows(want)

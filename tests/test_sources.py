@@ -2,7 +2,8 @@ from datetime import date
 
 import pytest
 
-from orderlens.catalog import totals_of_bucketed
+from orderlens import catalog
+from orderlens.catalog import buckets_of, totals_of_bucketed
 from orderlens.session import tune
 from orderlens.sources import (
     RAW_SCHEMAS,
@@ -13,6 +14,7 @@ from orderlens.sources import (
     write_bucketed,
     write_table,
 )
+from orderlens.sources import commerce
 
 FILES = {
     "users": "user_id,email,signup_date,country,customer_segment\n1,a@b.co,2023-01-10,USA,Basic\n",
@@ -99,3 +101,29 @@ def test_facts_of_an_order_join_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     assert "Exchange" not in plan and "SortMergeJoin" in plan
     assert joined.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+
+
+def test_buckets_follow_the_input():
+    assert [buckets_of(2**20), buckets_of(2**30), buckets_of(6 * 2**30)] == [8, 64, 384]
+
+
+def test_shuffles_follow_the_rows_of_the_tables(spark):
+    """The files are compressed; what is shuffled and sorted are their rows."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    catalog._SIZES[spark.sparkContext.applicationId, "/a"] = 2**30
+    try:
+        catalog._tuned(spark, "/a")
+        assert int(spark.conf.get(key)) == 64
+    finally:
+        catalog._TUNED.clear()
+        spark.conf.unset(key)
+
+
+def test_returns_move_before_their_ids_are_made(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        returns = commerce.shop_from_sales_tables(spark, "/root/testdata/sf0.001").returns
+        plan = returns._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert "md5" in plan and "md5" not in plan[plan.index("Exchange"):]
