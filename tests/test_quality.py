@@ -142,3 +142,30 @@ def test_mart_checks(shop):
 
 def test_number_of_declared_checks():
     assert len(all_checks(date(2023, 1, 1))) == 141
+
+
+def test_text_keys_are_compared_as_bytes(spark):
+    """Hex digits, other text and numbers as keys; text against numbers as before."""
+    a = spark.createDataFrame([("ab",), ("ab",), ("AB",), ("5",), ("x",), (None,)], "k string")
+    b = spark.createDataFrame([("ab",), ("x",)], "k string")
+    n = spark.createDataFrame([(5,), (6,)], "k bigint")
+    own = dq.Check("a", "unique", key=("k",))
+    text = dq.Check("a", "known", key=("k",), parent=("b", "k"))
+    digits = spark.createDataFrame([("5",), ("7",)], "k string")
+    mixed = dq.Check("a", "numbered", key=("k",), parent=("n", "k"))
+    found = dq.run_checks({"a": a, "b": b, "n": n}, [own, text])
+    assert {r["check"]: r.failures for r in found.collect()} == {"unique": 1, "known": 2}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "unhex" in plan
+    found = dq.run_checks({"a": digits, "n": n}, [mixed])
+    assert [r.failures for r in found.collect()] == [1]
+
+
+def test_all_checks_write_returns_and_marts_only(spark, monkeypatch):
+    from orderlens import catalog
+
+    names = []
+    monkeypatch.setattr(catalog, "checked", lambda tables, checks, write: names.extend(write) or tables["raw_returns"])
+    catalog.QUERIES["dq_all"](spark, "/root/testdata/sf0.001")
+    assert "raw_order_items" not in names and "stg_order_items" not in names
+    assert "fct_order_items" in names
