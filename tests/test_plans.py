@@ -3,12 +3,13 @@
 import duckdb
 import pytest
 from compare import rows_of
-from conftest import ROWS, day, frames, rows
+from conftest import ROWS, day, frames, money, rows
 from pyspark.sql import functions as F
 
 import oracle.base
 from oracle import STATEMENTS
 from orderlens.catalog import plain
+from orderlens.operators import quality as dq
 from orderlens.plans import analyses, core, enrich, finance, marketing, samples, staging
 from orderlens.plans.build import due_for_refresh
 from orderlens.sources import SALES_PARAMS as P
@@ -195,3 +196,85 @@ def test_due_returns_are_not_looked_up_by_their_items(shop):
     got = core.fct_order_figures(due, P)
     want = core.fct_order_figures(shop, P).filter(F.col("order_date") >= day(3, 31))
     assert rows(got) == rows(want)
+
+
+@pytest.fixture(scope="module")
+def odd_shop(spark):
+    """Products, items, orders and returns that come twice, and keys that are NULL."""
+    more = {
+        "products": [
+            (10, "ring", "STANDARD", 1, money("100.00")),
+            (10, "bracelet", "MEDIUM", 2, money("7.00")),
+            (10, None, None, None, None),
+            (None, "lost", "LARGE", 3, money("5.00")),
+            (None, "lost", "LARGE", 3, money("6.00")),
+        ],
+        "orders": [(101, 2, day(3, 2), "completed", money("11.00")), (None, 1, day(3, 2), "completed", money("1.00"))],
+        "order_items": [
+            ("a", 100, 10, 2, money("150.00")),
+            ("a", 103, 11, 1, money("3.00")),
+            ("k", 109, None, 2, money("4.00")),
+            (None, 100, 10, 1, money("5.00")),
+            ("m", None, 12, 1, money("6.00")),
+            ("abcd", 100, 999, 1, money("5.00")),
+        ],
+        "returns": [
+            ("r1", "a", day(3, 20), "defective", money("150.00")),
+            (None, "a", None, None, None),
+            ("r11", None, day(3, 20), "defective", money("1.00")),
+            ("r12", "abcd", day(3, 20), "defective", money("1.00")),
+        ],
+    }
+    return Shop(**frames(spark, {name: ROWS[name] + more.get(name, []) for name in ROWS}))
+
+
+@pytest.fixture(scope="module")
+def odd_items(odd_shop):
+    return enrich.with_written_items(odd_shop)
+
+
+@pytest.mark.parametrize("table", ["orders", "order_items", "returns"])
+def test_written_items_keep_the_rows(odd_shop, odd_items, table):
+    assert getattr(odd_items, table).schema == getattr(odd_shop, table).schema
+    assert rows(getattr(odd_items, table)) == rows(getattr(odd_shop, table))
+
+
+def test_written_items_have_all_of_a_line(odd_shop, odd_items):
+    plain_lines = enrich.joined_lines(odd_shop)
+    assert rows(odd_items.lines, *plain_lines.columns) == rows(plain_lines)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["int_order_items_enriched", "fct_order_items", "int_orders_enriched", "int_customer_orders",
+     "int_product_performance", "fct_product_profitability", "fct_customer_cohorts"],
+)
+def test_plans_on_written_items(odd_shop, odd_items, name):
+    ours, plain_rows = PLANS[name](odd_items), PLANS[name](odd_shop)
+    assert ours.dtypes == plain_rows.dtypes
+    assert rows_of(plain(ours, AVERAGES).toPandas()) == rows_of(plain(plain_rows, AVERAGES).toPandas())
+
+
+def test_checked_columns_of_item_facts_need_no_shuffle(spark, odd_items):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        for build in (enrich.int_order_items_enriched, core.fct_order_items):
+            ids = build(odd_items, P).select("order_item_id", "order_id", "product_id", "quantity")
+            plan = ids._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "returns" not in plan
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_refunds_are_compared_by_packed_ids(odd_shop):
+    """Any text is an id; the failing rows have it as it was."""
+    returns, items = staging.stg_returns(odd_shop.returns, P), staging.stg_order_items(odd_shop.order_items, P)
+    found = dq.refund_above_limit(returns, items, "0.1")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "unhex" in plan
+    joined = returns.join(items, "order_item_id").filter("refund_amount > line_total * 0.1")
+    columns = ["return_id", "order_item_id", "refund_amount"]
+    assert rows(found, *columns) == rows(joined, *columns) != []
+    assert dict(found.dtypes)["order_item_id"] == "string"

@@ -169,3 +169,39 @@ def test_all_checks_write_returns_and_marts_only(spark, monkeypatch):
     catalog.QUERIES["dq_all"](spark, "/root/testdata/sf0.001")
     assert "raw_order_items" not in names and "stg_order_items" not in names
     assert "fct_order_items" in names
+
+
+@pytest.mark.parametrize("few, bits", [(10_000, 48), (10_000, 1), (0, 48), (0, 1)])
+def test_settled_checks_find_the_same(spark, monkeypatch, few, bits):
+    """Keys are compared themselves wherever hashes are equal, by chance or not."""
+    monkeypatch.setattr(dq, "FEW_HASHES", few)
+    monkeypatch.setattr(dq, "HASH_BITS", bits)
+    ids = [f"{i:032x}" for i in range(50)] + ["ab", "AB", None, None]
+    a = spark.createDataFrame([(i, 1) for i in [*ids, ids[7], ids[7], "ab"]], "k string, n int")
+    b = spark.createDataFrame([(i, 2) for i in ids], "k string, n int")
+    tables = {"a": a, "b": b}
+    checks = [
+        dq.Check("a", "unique", key=("k",)),
+        dq.Check("b", "unique", key=("k",)),
+        dq.Check("a", "pairs", key=("k", "n"), skip_null=False),
+        dq.Check("b", "unique n", key=("n",)),
+        dq.Check("a", "known", key=("n",), parent=("b", "n")),
+        dq.Check("a", "not null", rule=dq.is_null("k")),
+        dq.Check("b", "counted", rows=lambda t: t["b"].filter("n > 1"), severity="warn"),
+    ]
+    want = {
+        ("a", "unique"): 2, ("b", "unique"): 0, ("a", "pairs"): 3, ("b", "unique n"): 1,
+        ("a", "known"): 57, ("a", "not null"): 2, ("b", "counted"): 54,
+    }
+    for settled in (False, True):
+        found = dq.run_checks(tables, checks, settled=settled).collect()
+        assert {(r["table"], r["check"]): r["failures"] for r in found} == want
+
+
+def test_settled_checks_hold_no_shuffle(spark):
+    """The results are tables: to read them moves nothing."""
+    a = spark.range(100).selectExpr("md5(string(id % 90)) AS k")
+    found = dq.run_checks({"a": a}, [dq.Check("a", "unique", key=("k",))], settled=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert [r["failures"] for r in found.collect()] == [10]

@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -14,7 +15,7 @@ from orderlens.sources import (
     write_bucketed,
     write_table,
 )
-from orderlens.sources import commerce
+from orderlens.sources import commerce, scratch
 
 FILES = {
     "users": "user_id,email,signup_date,country,customer_segment\n1,a@b.co,2023-01-10,USA,Basic\n",
@@ -127,3 +128,34 @@ def test_returns_move_before_their_ids_are_made(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     assert "md5" in plan and "md5" not in plan[plan.index("Exchange"):]
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return disk.getAllFiles().mkString(" ").count("shuffle_")
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """The setting for it holds for the job only."""
+    setting = spark.conf.get(scratch.DROP_SHUFFLES)
+    spark.conf.set(scratch.DROP_SHUFFLES, "false")
+    try:
+        before = shuffle_files(spark)
+        df = spark.range(1000).repartition(3, "id").groupBy("id").count()
+        assert scratch.written(df, "counts").count() == 1000
+        until = time.time() + 20
+        while (after := shuffle_files(spark)) > before + 2 and time.time() < until:
+            time.sleep(0.2)
+        # The count above has files of its own, of one shuffle.
+        assert after <= before + 2
+        assert spark.conf.get(scratch.DROP_SHUFFLES) == "false"
+    finally:
+        spark.conf.set(scratch.DROP_SHUFFLES, setting)
+
+
+def test_written_texts_come_back(spark):
+    texts = [("ab",), ("AB",), ("0f",), ("",), ("é",), (None,), ("f",)]
+    df = spark.createDataFrame(texts, "k string")
+    out = scratch.written(df, "texts", ["k"])
+    assert out.schema == df.schema
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(texts, key=repr)
