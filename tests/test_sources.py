@@ -142,13 +142,13 @@ def test_written_tables_leave_no_shuffle_files(spark):
     try:
         before = shuffle_files(spark)
         df = spark.range(1000).repartition(3, "id").groupBy("id").count()
-        assert scratch.written(df, "counts").count() == 1000
+        out = scratch.written(df, "counts")
         until = time.time() + 20
-        while (after := shuffle_files(spark)) > before + 2 and time.time() < until:
+        while (after := shuffle_files(spark)) > before and time.time() < until:
             time.sleep(0.2)
-        # The count above has files of its own, of one shuffle.
-        assert after <= before + 2
+        assert after <= before
         assert spark.conf.get(scratch.DROP_SHUFFLES) == "false"
+        assert out.count() == 1000
     finally:
         spark.conf.set(scratch.DROP_SHUFFLES, setting)
 
